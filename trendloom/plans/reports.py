@@ -27,10 +27,10 @@ def _one_array(df: DataFrame, order: list[str], value: Column) -> Column:
 
 
 def _counts(df: DataFrame, key: str) -> Column:
-    """``(key, n)`` rows as an array of name and count, most frequent first."""
-    shaped = df.select(F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name"), "n",
-                       (-F.col("n")).alias("down"))
-    return _one_array(shaped, ["down", "name"], F.struct("name", "n"))
+    """``(key, n)`` rows as an ordered map from name to count, most frequent first."""
+    shaped = df.groupBy(F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("name")) \
+        .agg(F.sum("n").alias("n")).withColumn("down", -F.col("n"))
+    return F.map_from_entries(_one_array(shaped, ["down", "name"], F.struct("name", "n")))
 
 
 def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec: SliceSpec,
@@ -70,7 +70,7 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
     one = works.sparkSession.range(1).select(
         series.alias("s"),
         F.struct(*[value.alias(name) for name, value in totals.items()]).alias("totals"),
-        _counts(cells.groupBy("type").agg(F.sum("n").alias("n")), "type").alias("by_type"),
+        _counts(cells, "type").alias("by_type"),
         _counts(top_countries, "country").alias("by_country"),
         _one_array(topics_listed, ["down", "id"],
                    F.struct("id", "name", "works", "growth", "series")).alias("topics"),
