@@ -7,13 +7,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.schemas import PREPRINTS, WORKS
+from trendloom.functions.arrays import bind
+from trendloom.schemas import PREPRINTS, RAW_WORK, WORKS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small table stored in few splits, for work heavy on text.
+    A table with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _select(df: DataFrame, columns: dict[str, str], schema) -> DataFrame:
     return df.select(*[F.expr(columns[f.name]).cast(f.dataType).alias(f.name)
                        for f in schema.fields])
@@ -172,19 +180,29 @@ def pre_xml_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</identifier></header>"))
     record = F.concat(F.lit("<record>"), F.when(F.col("doc_id") % 10 == 9, gone).otherwise(body),
                       F.lit("</record>"))
-    return table(spark, sf_dir, "documents").select(record.alias("record"))
+    return spread(table(spark, sf_dir, "documents")).select(record.alias("record"))
+
+
+def inverted_index(text: Column) -> Column:
+    """Word to positions of one text: sort its words once and cut the runs apart."""
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+
+    def by_runs(xs: Column) -> Column:
+        starts = F.filter(
+            F.transform(xs, lambda _, j: j),
+            lambda j: ~F.coalesce(F.get(xs, j - 1)["w"] == F.get(xs, j)["w"], F.lit(False)))
+        return bind(starts, lambda ss: F.map_from_arrays(
+            F.transform(ss, lambda s: F.get(xs, s)["w"]),
+            F.transform(ss, lambda s, k: F.transform(
+                F.slice(xs, s + 1, F.coalesce(F.get(ss, k + 1), F.size(xs)) - s),
+                lambda x: x["i"]))))
+    return bind(placed, by_runs)
 
 
 def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``works_v`` in the nested shape of the source, abstracts as inverted indexes."""
-    docs = table(spark, sf_dir, "documents")
-    words = docs.where("doc_id % 4 <> 3 AND doc_id % 40 <> 1").select(
-        "doc_id", F.posexplode(F.expr("filter(split(text, '\\\\s+'), w -> w <> '')")))
-    index = (
-        words.groupBy("doc_id", "col").agg(F.collect_list("pos").alias("places"))
-        .groupBy("doc_id").agg(F.map_from_entries(
-            F.collect_list(F.struct("col", "places"))).alias("abstract_inverted_index"))
-    )
+    docs = spread(table(spark, sf_dir, "documents"))
     raw_topic = ("CASE WHEN doc_id % 60 <> 59 THEN named_struct('id', concat('https://t.org/', source),"
                  " 'display_name', concat('Topic ', source),"
                  " 'score', cast(doc_id % 100 AS float) / cast(100 AS float), 'subfield',"
@@ -213,8 +231,8 @@ def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                              " CASE WHEN doc_id % 8 = 4 THEN concat('https://ARXIV.org/pdf/P', doc_id, '.pdf')"
                              " END, 'source', named_struct('display_name', " + _WORK["venue"] + "))"),
     }
-    from trendloom.schemas import RAW_WORK
-    return _select(docs.join(index, "doc_id", "left"), columns, RAW_WORK)
+    index = F.when(F.expr("doc_id % 4 <> 3 AND doc_id % 40 <> 1"), inverted_index(F.col("text")))
+    return _select(docs.withColumn("abstract_inverted_index", index), columns, RAW_WORK)
 
 
 def series_v(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,8 +34,8 @@ def first_institutions(authorships: Column) -> Column:
     numbered = F.transform(mentioned, lambda x, i: F.struct(
         x["id"].alias("id"), i.alias("at"), x["display_name"].alias("name"),
         x["country_code"].alias("country")))
-    first = keep_edges(F.array_sort(numbered), "id")
-    in_order = F.array_sort(F.transform(first, lambda x: F.struct(
+    first = keep_edges(F.sort_array(numbered), "id")
+    in_order = F.sort_array(F.transform(first, lambda x: F.struct(
         x["at"].alias("at"), x["id"].alias("id"), x["name"].alias("name"),
         x["country"].alias("country"))))
     return F.transform(in_order, lambda x: F.struct(

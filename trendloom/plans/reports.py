@@ -22,7 +22,7 @@ NEGATIVE_CONTROLS = ("метавселенная", "NFT")
 
 def _one_array(df: DataFrame, order: list[str], value: Column) -> Column:
     """A bounded report list as one sorted array, usable as a scalar in another plan."""
-    pairs = F.array_sort(F.collect_list(F.struct(*order, value.alias("value"))))
+    pairs = F.sort_array(F.collect_list(F.struct(*order, value.alias("value"))))
     return df.agg(F.transform(pairs, lambda x: x["value"])).scalar()
 
 
@@ -50,7 +50,7 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
     yearly = cells.groupBy("year").agg(F.sum("n").alias("n"), F.sum("with_abstract").alias("a"))
     years = yearly.join(pre.select(F.col("year").try_cast("int").alias("year"), "preprints"),
                         "year", "left").withColumn("p", F.coalesce("preprints", F.lit(0)))
-    series = years.agg(F.array_sort(F.collect_list(F.struct("year", "n", "a", "p")))).scalar()
+    series = years.agg(F.sort_array(F.collect_list(F.struct("year", "n", "a", "p")))).scalar()
     topics = topic_growth(works, min_works, top_topics, growth_digits)
     topics_listed = topics.select(
         (-F.col("growth")).alias("down"), F.col("topic_id").alias("id"), "name", "works", "growth",
@@ -95,7 +95,7 @@ def index_doc(cards: DataFrame, spec: SliceSpec, index_version: str, built_at: s
     """
     columns = [c for c in cards.columns if c not in ("rank", "topic_id")]
     listed = F.transform(
-        F.array_sort(F.collect_list(F.struct("rank", F.struct(*columns, "rank").alias("card")))),
+        F.sort_array(F.collect_list(F.struct("rank", F.struct(*columns, "rank").alias("card")))),
         lambda x: x["card"])
     span = F.array(*[F.lit(y) for y in years]) if years else F.array(
         F.min(F.get("series", F.lit(0))["year"]), F.max(F.element_at("series", -1)["year"]))

@@ -51,7 +51,7 @@ def corpus_by_year(counts: DataFrame) -> DataFrame:
 
 def _year_grid(base: DataFrame) -> Column:
     """All years with their base as one sorted array: a scalar, at most one entry per year."""
-    return base.agg(F.array_sort(F.collect_list(F.struct("year", "base")))).scalar()
+    return base.agg(F.sort_array(F.collect_list(F.struct("year", "base")))).scalar()
 
 
 def _per_topic(counts: DataFrame) -> DataFrame:
@@ -203,10 +203,10 @@ def trend_cards(works: DataFrame, top: int = TOP_CARDS, min_works: int = MIN_WOR
     spread = name_spread(named)
     listed = top_per_group(named, ["topic_id", "kind"], [F.desc("n"), F.asc("value")], TOP_NAMES)
     lists = listed.groupBy("topic_id").agg(*[
-        F.transform(F.array_sort(F.collect_list(F.when(
+        F.transform(F.sort_array(F.collect_list(F.when(
             F.col("kind") == kind, F.struct("rank", "value")))), lambda x: x["value"]).alias(name)
         for kind, name in (("org", "top_organizations"), ("country", "top_countries"))])
-    best = topic_best_works(hot).groupBy("topic_id").agg(F.array_sort(F.collect_list(F.struct(
+    best = topic_best_works(hot).groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct(
         "rank", "title", "url", "year", "venue", "cited_by"))).alias("best"))
 
     def entry(x: Column) -> Column:

@@ -45,9 +45,9 @@ def to_document(doc: DataFrame) -> DataFrame:
 
 def series_document(series: DataFrame, slice_id: str, source: str) -> DataFrame:
     """``(series, year, n)`` rows as the one-row series document; bounded by series and years."""
-    points = series.groupBy("series").agg(F.map_from_entries(F.array_sort(F.collect_list(
+    points = series.groupBy("series").agg(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct(F.col("year").cast("string").alias("year"), "n")))).alias("points"))
-    return points.agg(F.map_from_entries(F.array_sort(F.collect_list(
+    return points.agg(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct("series", F.map_entries("points").alias("p"))))).alias("m")) \
         .select(F.lit(slice_id).alias("slice_id"), F.lit(source).alias("source"),
                 F.transform_values("m", lambda _, p: F.map_from_entries(p)).alias("years"))
@@ -56,7 +56,7 @@ def series_document(series: DataFrame, slice_id: str, source: str) -> DataFrame:
 def manifest_document(years: DataFrame, query: Column, slice_id: str, fetched_on: str,
                       code_version: str, source: str) -> DataFrame:
     """The head of the manifest as one row, bounded by the number of years."""
-    by_year = F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+    by_year = F.map_from_entries(F.sort_array(F.collect_list(F.struct(
         F.col("year").cast("string").alias("year"),
         F.struct("rows", "files", "bytes", "expected", "gap").alias("v")))))
     return years.agg(F.sum("rows").alias("rows_total"), by_year.alias("years")).select(

@@ -90,8 +90,11 @@ def read_raw_preprints(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def parse_records(xml: DataFrame, column: str = "record") -> DataFrame:
-    """XML records held in a text column, parsed with the same schema."""
-    return xml.select(F.from_xml(column, RAW_PREPRINT).alias("r")).select("r.*")
+    """XML records held in a text column, parsed with the same schema.
+
+    The generator keeps later filters above the parser: pushed below, they would parse again.
+    """
+    return xml.select(F.inline(F.array(F.from_xml(column, RAW_PREPRINT))))
 
 
 def probe(df: DataFrame, limit: int) -> DataFrame:
