@@ -322,7 +322,7 @@ ORACLE: dict[str, str] = {
   (SELECT string_agg(type || '=' || n, ',' ORDER BY n DESC, type) FROM (SELECT type, count(*) AS n FROM w GROUP BY type)) AS by_type,
   (SELECT string_agg(coalesce(country, 'null') || '=' || n, ',' ORDER BY n DESC, coalesce(country, 'null')) FROM
     (SELECT country, n FROM ct ORDER BY n DESC, country NULLS LAST LIMIT 20)) AS by_country,
-  (SELECT string_agg(topic_id, ',' ORDER BY growth DESC, topic_id) FROM tr) AS topic_ids,
+  (SELECT coalesce(string_agg(topic_id, ',' ORDER BY growth DESC, topic_id), '') FROM tr) AS topic_ids,
   (SELECT string_agg({_LINK}, ',' ORDER BY id) FROM (
     SELECT *, row_number() OVER (ORDER BY id) - 1 AS i FROM w)
     WHERE i % {_STEP.format(60)} = 0 AND i < 60 * {_STEP.format(60)}) AS links

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from helpers import works
+from pyspark.sql import functions as F
+
+from trendloom.operators import ranking, sampling
+
+
+def corpus(spark, n=1000, copies=1, year=lambda i: 2010 + i % 3):
+    df = spark.range(n * copies).select(
+        F.concat(F.lit("W"), (F.col("id") / copies).cast("int").cast("string")).alias("id"),
+        (F.lit(2010) + F.pmod("id", F.lit(3))).cast("smallint").alias("publication_year"),
+        F.col("id").alias("row"))
+    return df
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_row_index_is_dense_and_follows_the_order(spark, partitions):
+    df = corpus(spark).repartition(partitions)
+    rows = ranking.with_row_index(df, "id").select("id", "row_index").collect()
+    assert [r.id for r in sorted(rows, key=lambda r: r.row_index)] == sorted(r.id for r in rows)
+    assert sorted(r.row_index for r in rows) == list(range(1000))
+
+
+def test_row_index_counts_copies_of_one_key(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, "same").otherwise(
+        F.col("id").cast("string")).alias("id"))
+    rows = ranking.with_row_index(df, "id").collect()
+    assert sorted(r.row_index for r in rows) == list(range(3000))
+
+
+def test_chunks_of_a_fixed_size(spark):
+    df = spark.createDataFrame([(f"W{i}",) for i in (5, 3, 1, 2, 4)], "id string")
+    chunks = {r.id: r.chunk for r in ranking.with_chunks(df, 2).collect()}
+    assert chunks == {"W1": 0, "W2": 0, "W3": 1, "W4": 1, "W5": 2}
+
+
+@pytest.mark.parametrize("heads", [10_000, 0])
+@pytest.mark.parametrize("page, expected", [(0, ["a", "b"]), (1, ["c", "d"]), (9, ["e"]), (-1, ["a", "b"])])
+def test_pages(spark, heads, page, expected):
+    df = spark.createDataFrame([(c,) for c in "edcba"], "id string")
+    assert [r.id for r in ranking.page_of(df, ["id"], page, 2, heads).collect()] == expected
+
+
+def test_page_of_nothing(spark):
+    assert ranking.page_of(spark.createDataFrame([], "id string"), ["id"], 3).collect() == []
+
+
+def test_top_per_group_breaks_ties_by_the_given_order(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "w"), ("a", 0, "z"), ("b", 5, "q")],
+                               "g string, n int, k string")
+    rows = ranking.top_per_group(df, "g", [F.desc("n"), F.asc("k")], 2).collect()
+    assert {(r.g, r.k, r["rank"]) for r in rows} == {("a", "w", 1), ("a", "x", 2), ("b", "q", 1)}
+
+
+def test_systematic_sample_takes_every_nth_key(spark):
+    df = corpus(spark, 1000)
+    keys = ids(df)
+    assert ids(sampling.systematic_sample(df, 300)) == sorted(keys[::3][:300])
+    assert ids(sampling.systematic_sample(df, 5000)) == keys
+    assert ids(sampling.systematic_sample(df, 7)) == sorted(keys[::1000 // 7][:7])
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_stratified_sample_is_exact_and_independent_of_partitioning(spark, bits):
+    df = corpus(spark, 1000)
+    drawn = [ids(sampling.stratified_sample(df.repartition(p), 100, bits=bits)) for p in (1, 7)]
+    assert drawn[0] == drawn[1]
+    years = Counter(r.publication_year for r in
+                    sampling.stratified_sample(df, 100, bits=bits).collect())
+    assert years == {2010: 33, 2011: 33, 2012: 33}
+
+
+def test_stratified_sample_keeps_wide_rows_and_drops_empty_quotas(spark):
+    df = works(spark, [dict(id=f"W{i}", publication_year=2010, title=f"t{i}") for i in range(50)]
+               + [dict(id="X", publication_year=2011)])
+    out = sampling.stratified_sample(df, 20)
+    assert out.columns == df.columns
+    assert Counter(r.publication_year for r in out.collect()) == {2010: 20}
+
+
+def test_sample_of_everything_is_everything(spark):
+    df = corpus(spark, 90)
+    assert ids(sampling.stratified_sample(df, 900)) == ids(df)
+    assert ids(sampling.uniform_sample(df, 900)) == ids(df)
+
+
+def test_sample_is_drawn_evenly_from_the_hash_order(spark):
+    first = ids(sampling.uniform_sample(corpus(spark, 1000), 50))
+    more = ids(sampling.uniform_sample(corpus(spark, 1000), 200))
+    assert len(first) == 50 and set(first) < set(more)
+    assert ids(sampling.uniform_sample(corpus(spark, 1000), 50, seed=7)) != first
+
+
+def test_sizes_stay_exact_when_one_key_holds_a_third_of_the_rows(spark):
+    many = spark.range(3000).select(
+        F.when(F.col("id") < 1000, "hot").otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit(2010).cast("smallint").alias("publication_year"), F.col("id").alias("row"))
+    for n in (10, 500, 1500, 2900):
+        out = sampling.uniform_sample(many, n).collect()
+        assert len(out) == n and len({r.row for r in out}) == n
+
+
+def test_quotas_round_half_to_even(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [("c",)] * 2, "s string")
+    quotas = {r.s: r.quota for r in sampling.stratum_quotas(df, "s", 5).collect()}
+    assert quotas == {"a": round(2.5), "b": round(1.5), "c": 1}
