@@ -487,15 +487,15 @@ def _components(vectors: DataFrame) -> DataFrame:
 
 
 def embed_works(spark, sf_dir):
-    inputs = embed.embedding_inputs(works_v(spark, sf_dir))
+    inputs = embed.embedding_inputs(works_v(spark, sf_dir, heavy=True))
     return _components(embed.embed(inputs, letter_encoder(), LETTERS))
 
 
 def embed_resume(spark, sf_dir):
     """An early run over the preprints, then the whole corpus: nothing is encoded twice."""
-    works, path = works_v(spark, sf_dir), scratch_path(spark, "embeddings")
+    works, path = works_v(spark, sf_dir, heavy=True), scratch_path(spark, "embeddings")
     embed.embed_corpus(works.where("type = 'preprint'"), path, letter_encoder(), "letters", LETTERS)
-    embed.embed_corpus(works, path, letter_encoder(), "letters", LETTERS, waves=2)
+    embed.embed_corpus(works, path, letter_encoder(), "letters", LETTERS)
     return _components(embed.stored_embeddings(spark, path))
 
 

@@ -15,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small table stored in few splits, for work heavy on text.
-    A table with enough splits is left alone."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a small table stored in few splits. A table with enough splits
+    is left alone, so nothing is shuffled at scale."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def _select(df: DataFrame, columns: dict[str, str], schema) -> DataFrame:
@@ -56,9 +56,10 @@ _WORK = {
 }
 
 
-def works_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``WORKS`` from ``documents``."""
-    return _select(table(spark, sf_dir, "documents"), _WORK, WORKS)
+def works_v(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """``WORKS`` from ``documents``; ``heavy`` marks uses that work on every text."""
+    docs = table(spark, sf_dir, "documents")
+    return _select(spread(docs, "doc_id") if heavy else docs, _WORK, WORKS)
 
 
 WORKS_SQL = """
@@ -91,8 +92,9 @@ w AS (SELECT doc_id, 'W' || doc_id AS id,
 
 def star_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``WORKS`` from the order star: one work per line, topic = brand, org = supplier."""
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    line = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
+        "l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.year("o_orderdate").alias("y"), F.to_date("o_orderdate").alias("day"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -180,7 +182,7 @@ def pre_xml_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</identifier></header>"))
     record = F.concat(F.lit("<record>"), F.when(F.col("doc_id") % 10 == 9, gone).otherwise(body),
                       F.lit("</record>"))
-    return spread(table(spark, sf_dir, "documents")).select(record.alias("record"))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(record.alias("record"))
 
 
 def inverted_index(text: Column) -> Column:
@@ -202,7 +204,7 @@ def inverted_index(text: Column) -> Column:
 
 def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``works_v`` in the nested shape of the source, abstracts as inverted indexes."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     raw_topic = ("CASE WHEN doc_id % 60 <> 59 THEN named_struct('id', concat('https://t.org/', source),"
                  " 'display_name', concat('Topic ', source),"
                  " 'score', cast(doc_id % 100 AS float) / cast(100 AS float), 'subfield',"

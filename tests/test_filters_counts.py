@@ -140,3 +140,10 @@ def test_preview_rows(spark):
     row = preview.preprint_snippet(pre).collect()[0]
     assert row.title.endswith(" [...]") and len(row.title) <= 88
     assert (row.updated, row.categories, row.link) == ("—", "a b", "https://arxiv.org/abs/p")
+
+
+def test_slice_probe(spark):
+    funnel, fields, languages = preview.slice_probe(sample(spark), SPEC)
+    assert [r.n for r in funnel.orderBy("step").collect()] == [3, 2, 2]
+    assert dict(fields.collect())["has_doi"] == 1.0
+    assert [tuple(r) for r in languages.collect()] == [("en", 1), (None, 1)]

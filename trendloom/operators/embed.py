@@ -7,7 +7,7 @@ that worker has rows to encode.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,7 @@ from trendloom.functions.arrays import bind
 from trendloom.functions.text import strip
 from trendloom.operators.filters import embeddable
 from trendloom.schemas import EMBEDDING_DIM
+from trendloom.sources.tables import exists
 
 # Model input convention and batch sizes.
 SEPARATOR = "[SEP]"
@@ -102,38 +103,34 @@ def pending_inputs(works: DataFrame, done: DataFrame | None, model: str,
                        ["id", "text_hash", "model"], "left_anti")
 
 
-def stored_embeddings(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame | None:
+def stored_embeddings(spark: SparkSession, path: str) -> DataFrame | None:
     """The embedding table at ``path`` or None when nothing is stored yet."""
     schema = T.StructType([
         T.StructField("id", T.StringType()), T.StructField("text_hash", T.StringType()),
         T.StructField("model", T.StringType()),
         T.StructField("embedding", T.ArrayType(T.FloatType()))])
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.schema(schema).parquet(path) if fs.exists(target) else None
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
 def embed_corpus(works: DataFrame, path: str, encoder_factory: Callable[[], Encoder], model: str,
-                 dim: int = EMBEDDING_DIM, separator: str = SEPARATOR, waves: int = 1,
-                 chunk_size: int = CHUNK_SIZE, batch_size: int = BATCH_SIZE) -> int:
+                 dim: int = EMBEDDING_DIM, separator: str = SEPARATOR,
+                 waves: Sequence[Column] = (), chunk_size: int = CHUNK_SIZE,
+                 batch_size: int = BATCH_SIZE) -> int:
     """Embed whatever is not stored yet, append it at ``path``, return the number of embedded works.
 
     A row counts as done when its id, text and model are stored, so a changed text is embedded
-    again and an interrupted run continues. ``waves`` splits a large corpus into that many
-    committed jobs by a hash of the id, which bounds what an interruption can cost; files hold at
-    most ``chunk_size`` rows.
+    again and an interrupted run continues. ``waves`` are row conditions, best on a folder column
+    such as the year so that each reads only its part; every wave is one committed job, which
+    bounds what an interruption can cost. A last pass covers all rows no wave has matched. Files
+    hold at most ``chunk_size`` rows.
     """
     spark = works.sparkSession
     inputs = embedding_inputs(works, separator)
     if inputs.isEmpty():
         raise ValueError("no work with a non-blank abstract in English: nothing to embed")
-    for wave in range(waves):
-        part = works.where(F.pmod(F.xxhash64("id"), F.lit(waves)) == wave)
+    for part in [works.where(wave) for wave in waves] + [works]:
         pending = pending_inputs(part, stored_embeddings(spark, path), model, separator)
         vectors = embed(pending, encoder_factory, dim, batch_size)
         vectors.write.mode("append").option("compression", "zstd") \
             .option("maxRecordsPerFile", chunk_size).parquet(path)
-    now = inputs.select("id", F.sha2("text", 256).alias("text_hash"))
-    held = stored_embeddings(spark, path).where(F.col("model") == model)
-    return now.join(held, ["id", "text_hash"], "left_semi").count()
+    return inputs.count()

@@ -41,6 +41,9 @@ def _cutoffs(keyed: DataFrame, stratum: str, key: str, quotas: DataFrame, bits:
         .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
         .select(F.col("__s"), "bucket", (F.col("quota") - F.col("before")).alias("rest"))
     )
+    # One row per stratum, stored so that its true size is known: the keys then meet it in a
+    # broadcast join chosen by that size and are not shuffled.
+    last_bucket = materialize(last_bucket, "last-buckets")
     edge = keyed.withColumn("bucket", _bucket(bits)).join(
         last_bucket.withColumnRenamed("bucket", "__b"),
         F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))

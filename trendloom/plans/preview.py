@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from trendloom.functions.arrays import drop_blank
 from trendloom.functions.text import empty_to_null, shorten
-from trendloom.operators.filters import UNTITLED, public_link
+from trendloom.operators.counts import completeness, slice_funnel, top_values
+from trendloom.operators.filters import UNTITLED, SliceSpec, public_link, slice_filter
+from trendloom.operators.sampling import uniform_sample
 
 # Preview widths and the default texts of the record browser.
 TITLE_WIDTH = 88
@@ -46,3 +48,12 @@ def preprint_snippet(preprints: DataFrame, prefix: str = "https://arxiv.org/abs/
         .alias("abstract"),
         F.concat(F.lit(prefix), "id").alias("link"),
     )
+
+
+def slice_probe(works: DataFrame, spec: SliceSpec, n: int = 200,
+                seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A look at a slice before it is used: the funnel over everything, then field completeness
+    and the main languages on a uniform sample of the slice."""
+    drawn = uniform_sample(slice_filter(works, spec), n, seed=seed)
+    return (slice_funnel(works, spec), completeness(drawn, spec),
+            top_values(drawn, F.col("language"), "language", 4))

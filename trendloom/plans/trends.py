@@ -94,8 +94,11 @@ def topic_points(series: DataFrame) -> DataFrame:
         .select("topic_id", "name", "n_years", "at", "point.*")
 
 
-def _span(values: Column, first: Column, length: Column) -> Column:
-    return exact_sum(F.slice(values, first + 1, length))
+def _spans(values: Column, cuts: list[Column]) -> Column:
+    """Sums of the pieces of an array between consecutive cuts, as one struct."""
+    return F.struct(*[
+        exact_sum(F.slice(values, a + 1, F.greatest(F.lit(0), b - a))).alias(f"p{i}")
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:]), 1)])
 
 
 def _or(total: Column, floor: float) -> Column:
@@ -104,37 +107,37 @@ def _or(total: Column, floor: float) -> Column:
 
 def growth_of(values: Column, floor: float = NO_SHARE) -> Column:
     """Later part over earlier part of a yearly series; an odd year goes to the later part."""
-    def compute(v: Column) -> Column:
+    def parts(v: Column) -> Column:
         n = F.size(v)
-        half = F.floor(n / 2).cast("int")
-        return _span(v, half, n - half) / _or(_span(v, F.lit(0), half), floor)
-    return bind(values, compute)
+        return _spans(v, [F.lit(0), F.floor(n / 2).cast("int"), n])
+    return bind(bind(values, parts), lambda p: p["p2"] / _or(p["p1"], floor))
 
 
 def acceleration_of(values: Column) -> Column:
     """Change of pace: the pace of the last third over the pace of the middle third."""
-    def compute(v: Column) -> Column:
+    def parts(v: Column) -> Column:
         n = F.size(v)
         third = F.greatest(F.lit(1), F.floor(n / 3).cast("int"))
-        p1 = _or(_span(v, F.lit(0), third), NO_SHARE)
-        p2 = _or(_span(v, third, third), NO_SHARE)
-        p3 = _span(v, third * 2, F.greatest(F.lit(0), n - third * 2))
-        return (p3 / p2) / (p2 / p1)
-    return bind(values, compute)
+        return _spans(v, [F.lit(0), third, third * 2, n])
+
+    def pace(p: Column) -> Column:
+        start, middle = _or(p["p1"], NO_SHARE), _or(p["p2"], NO_SHARE)
+        return (p["p3"] / middle) / (middle / start)
+    return bind(bind(values, parts), pace)
 
 
 def topic_metrics(works: DataFrame, min_works: int = MIN_WORKS, share_digits: int | None = 1,
                   growth_digits: int | None = 2, score_digits: int | None = 3) -> DataFrame:
     """Series, growth, acceleration and score of every topic with enough works."""
-    shares = F.transform("series", lambda p: p["per_10k"])
+    shares = F.col("series")["per_10k"]
     return (
         topic_series(works, share_digits).where(F.col("works_total") >= min_works)
-        .withColumn("raw_growth", growth_of(shares))
-        .withColumn("normalized_growth", round_exact(F.col("raw_growth"), growth_digits))
-        .withColumn("acceleration", round_exact(acceleration_of(shares), growth_digits))
-        .withColumn("score", round_exact(
-            F.least(F.col("raw_growth") / 3, F.lit(1.0)), score_digits))
-        .drop("raw_growth")
+        .withColumns({"raw_growth": growth_of(shares), "raw_acceleration": acceleration_of(shares)})
+        .select("topic_id", "name", "works_total", "first_year", "series",
+                round_exact(F.col("raw_growth"), growth_digits).alias("normalized_growth"),
+                round_exact(F.col("raw_acceleration"), growth_digits).alias("acceleration"),
+                round_exact(F.least(F.col("raw_growth") / 3, F.lit(1.0)), score_digits)
+                .alias("score"))
     )
 
 
