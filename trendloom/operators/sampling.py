@@ -6,6 +6,8 @@ only the keys of that bucket are ranked, and the wide rows are then picked by a
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,33 +22,47 @@ def _bucket(bits: int) -> Column:
     return F.shiftrightunsigned(F.col("__hash"), 64 - bits)
 
 
+def _proportional(rows: int) -> Callable[[Column, Column], Column]:
+    """A stratum's share of ``rows``, rounded half to even and at most its size."""
+    def quota(size: Column, total: Column) -> Column:
+        share = F.bround(F.lit(rows).cast("double") * size / total, 0).cast("bigint")
+        return F.least(size, share)
+    return quota
+
+
 def stratum_quotas(works: DataFrame, stratum: str, rows: int) -> DataFrame:
-    """Rows to draw per stratum, ``(stratum, size, quota)``: proportional, at most its size."""
+    """Rows to draw per stratum: ``(stratum, size, quota)``."""
     sizes = works.groupBy(stratum).agg(F.count(F.lit(1)).alias("size"))
     total = sizes.agg(F.sum("size")).scalar()
-    share = F.bround(F.lit(rows).cast("double") * F.col("size") / total, 0).cast("bigint")
-    return sizes.withColumn("quota", F.least("size", share))
+    return sizes.withColumn("quota", _proportional(rows)(F.col("size"), total))
 
 
-def _cutoffs(keyed: DataFrame, stratum: str, key: str, quotas: DataFrame, bits: int) -> DataFrame:
-    """Per stratum the last hash and key that are drawn, and how many copies of that key."""
-    so_far = Window.partitionBy(stratum).orderBy("bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    histogram = keyed.groupBy(stratum, _bucket(bits).alias("bucket")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Column],
+             bits: int) -> DataFrame:
+    """Per stratum the last hash and key that are drawn, and how many copies of that key.
+
+    ``keyed`` holds ``__stratum``, the key and ``__hash``. Both windows run over the histogram:
+    at most ``2**bits`` rows per stratum.
+    """
+    stratum = Window.partitionBy("__stratum")
+    so_far = stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    histogram = materialize(
+        keyed.groupBy("__stratum", _bucket(bits).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n")), "sample-histogram")
+    total = histogram.agg(F.sum("n")).scalar()
     last_bucket = (
-        histogram.withColumn("before", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
-        .join(quotas.select(F.col(stratum).alias("__s"), "quota"),
-              F.col(stratum).eqNullSafe(F.col("__s")))
+        histogram.withColumns({"size": F.sum("n").over(stratum), "total": total,
+                               "before": F.coalesce(F.sum("n").over(so_far), F.lit(0))})
+        .withColumn("quota", quota(F.col("size"), F.col("total")))
         .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
-        .select(F.col("__s"), "bucket", (F.col("quota") - F.col("before")).alias("rest"))
+        .select(F.col("__stratum").alias("__s"), F.col("bucket").alias("__b"),
+                (F.col("quota") - F.col("before")).alias("rest"))
     )
     # One row per stratum, stored so that its true size is known: the keys then meet it in a
     # broadcast join chosen by that size and are not shuffled.
     last_bucket = materialize(last_bucket, "last-buckets")
     edge = keyed.withColumn("bucket", _bucket(bits)).join(
-        last_bucket.withColumnRenamed("bucket", "__b"),
-        F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
+        last_bucket, F.col("__stratum").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
     by_hash = Window.partitionBy("__s").orderBy("__hash", key) \
         .rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -61,43 +77,48 @@ def _cutoffs(keyed: DataFrame, stratum: str, key: str, quotas: DataFrame, bits:
     )
 
 
-def _draw(works: DataFrame, stratum: str, key: str, quotas: DataFrame, seed: int,
-          bits: int) -> DataFrame:
-    hashed = F.xxhash64(F.col(key), F.col(stratum), F.lit(seed))
-    keyed = works.select(stratum, key, hashed.alias("__hash"))
-    cutoffs = materialize(_cutoffs(keyed, stratum, key, quotas, bits), "sample-cutoffs")
+def _draw(works: DataFrame, stratum: str | None, key: str,
+          quota: Callable[[Column, Column], Column], seed: int, bits: int) -> DataFrame:
+    """Rows up to each stratum's cut-off; ``stratum`` None draws from the table as a whole."""
+    group = F.col(stratum) if stratum else F.lit(0)
+    hashed = F.xxhash64(F.col(key), group, F.lit(seed))
+    keyed = works.select(group.alias("__stratum"), key, hashed.alias("__hash"))
+    cutoffs = materialize(_cutoffs(keyed, key, quota, bits), "sample-cutoffs")
     split_copies = not cutoffs.where(F.col("copies") > F.col("__keep")).isEmpty()
-    # One row per stratum: the caller vouches for few strata, Spark still checks the size.
-    joined = works.withColumn("__hash", hashed).withColumn("__bucket", _bucket(bits)).join(
-        cutoffs, F.col(stratum).eqNullSafe(F.col("__s")))
+    located = works.withColumn("__hash", hashed).withColumn("__bucket", _bucket(bits))
+    if stratum:            # one row per stratum; Spark checks the stored size before it broadcasts
+        located = located.join(cutoffs, F.col(stratum).eqNullSafe(F.col("__s")))
+    else:                  # a single row, so plain constants do
+        cut_row = cutoffs.first()
+        if cut_row is None:
+            return works.limit(0)
+        located = located.withColumns({
+            f.name: F.lit(cut_row[f.name]).cast(f.dataType) for f in cutoffs.schema.fields})
     order = (F.col("__bucket"), F.col("__hash"), F.col(key))
     cut = (F.col("__cut_bucket"), F.col("__cut_hash"), F.col("__cut_key"))
     below = F.struct(*order) < F.struct(*cut)
     at = F.struct(*order) == F.struct(*cut)
     if not split_copies:
-        return joined.where(below | at).select(*works.columns)
-    # Several rows share the last key and only some fit: take that many of them.
-    top = cutoffs.agg(F.max("__keep")).scalar()
-    ranked = joined.where(at).withColumn(
-        "__copy", F.row_number().over(Window.partitionBy("__s").orderBy("__hash")))
-    some = ranked.where((F.col("__copy") <= F.col("__keep")) & (F.col("__copy") <= top))
-    return joined.where(below).select(*works.columns) \
-        .unionByName(some.select(*works.columns))
+        return located.where(below | at).select(*works.columns)
+    # Several rows share the last key and only some fit: take that many of them. The constant
+    # bound lets every map task cut its own copies before the shuffle.
+    top = cutoffs.agg(F.max("__keep")).first()[0]
+    copy = F.row_number().over(Window.partitionBy("__s").orderBy("__hash"))
+    some = located.where(at).withColumn("__copy", copy).where(F.col("__copy") <= top) \
+        .where(F.col("__copy") <= F.col("__keep"))
+    return located.where(below).select(*works.columns).unionByName(some.select(*works.columns))
 
 
 def stratified_sample(works: DataFrame, rows: int = 40_000, stratum: str = "publication_year",
                       key: str = "id", seed: int = SAMPLE_SEED, bits: int = 16) -> DataFrame:
     """A sample of about ``rows`` rows, proportional over the strata and exact in each."""
-    return _draw(works, stratum, key, stratum_quotas(works, stratum, rows), seed, bits)
+    return _draw(works, stratum, key, _proportional(rows), seed, bits)
 
 
 def uniform_sample(works: DataFrame, n: int = 200, key: str = "id", seed: int = 42,
                    bits: int = 16) -> DataFrame:
     """Exactly ``n`` rows (or all, when there are fewer)."""
-    whole = works.withColumn("__all", F.lit(0))
-    quotas = whole.groupBy("__all").agg(F.count(F.lit(1)).alias("size")) \
-        .withColumn("quota", F.least("size", F.lit(n)))
-    return _draw(whole, "__all", key, quotas, seed, bits).drop("__all")
+    return _draw(works, None, key, lambda size, total: F.least(size, F.lit(n)), seed, bits)
 
 
 def systematic_sample(works: DataFrame, limit: int = 4000, key: str = "id") -> DataFrame:

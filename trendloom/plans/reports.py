@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.operators.counts import country_counts, preprints_by_year
+from trendloom.operators.counts import country_counts
 from trendloom.operators.filters import SliceSpec, catalogue_rows, has_text
 from trendloom.operators.sampling import systematic_sample
 from trendloom.plans.trends import CATALOGUE_MIN_WORKS, CATALOGUE_TOPICS, topic_growth
@@ -45,11 +45,12 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
         F.col("publication_year").cast("int").alias("year"), "type").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(has_text()).alias("with_abstract")), "cells")
     countries = materialize(country_counts(works), "countries")
-    pre = materialize(preprints_by_year(preprints), "preprint-years")
+    first_years = materialize(preprints.groupBy(F.substring("created", 1, 4).alias("created"))
+                              .agg(F.count(F.lit(1)).alias("preprints")), "preprint-years")
+    pre = first_years.select(F.col("created").try_cast("int").alias("year"), "preprints")
 
     yearly = cells.groupBy("year").agg(F.sum("n").alias("n"), F.sum("with_abstract").alias("a"))
-    years = yearly.join(pre.select(F.col("year").try_cast("int").alias("year"), "preprints"),
-                        "year", "left").withColumn("p", F.coalesce("preprints", F.lit(0)))
+    years = yearly.join(pre, "year", "left").withColumn("p", F.coalesce("preprints", F.lit(0)))
     series = years.agg(F.sort_array(F.collect_list(F.struct("year", "n", "a", "p")))).scalar()
     topics = topic_growth(works, min_works, top_topics, growth_digits)
     topics_listed = topics.select(
@@ -60,7 +61,7 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
     rows = catalogue_rows(systematic_sample(sample, shown))
     totals = {
         "works": cells.agg(F.sum("n")).scalar(),
-        "preprints": preprints.agg(F.count(F.lit(1))).scalar(),
+        "preprints": first_years.agg(F.coalesce(F.sum("preprints"), F.lit(0))).scalar(),
         "with_abstract": cells.agg(F.sum("with_abstract")).scalar(),
         "countries": countries.agg(F.count(F.lit(1))).scalar(),
         "topics": n_topics,
