@@ -14,7 +14,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from contract.queries import QUERIES, landed_works, stored_preprints, stored_works  # noqa: E402
+from contract.queries import (  # noqa: E402
+    QUERIES, landed_works, star_works, stored_preprints, stored_works,
+)
 from trendloom.session import build_session  # noqa: E402
 
 HEADLINE = (
@@ -37,7 +39,7 @@ def main() -> None:
         "spark.ui.enabled": "false", "spark.driver.memory": "12g",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    for prepare in (stored_works, stored_preprints, landed_works):    # shared inputs, not timed
+    for prepare in (stored_works, stored_preprints, star_works, landed_works):    # shared inputs, not timed
         prepare(spark, sf_dir)
     QUERIES["works_by_type"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

@@ -41,6 +41,12 @@ def stored_preprints(spark: SparkSession, sf_dir: str) -> str:
                  lambda path: sinks.write_preprints(pre_v(spark, sf_dir), path))
 
 
+def star_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The works derived from the order star, read back from year folders."""
+    return tables.read_works(spark, _once(
+        spark, sf_dir, "star", lambda path: sinks.write_works(star_v(spark, sf_dir), path)))
+
+
 def landed_works(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "raw-works", lambda path: raw_v(spark, sf_dir).write.json(path))
 
@@ -382,36 +388,36 @@ def acceptance(spark, sf_dir):
 # Trends
 
 def topic_year_series(spark, sf_dir):
-    return trends.topic_points(trends.topic_series(star_v(spark, sf_dir), None)).select(
+    return trends.topic_points(trends.topic_series(star_works(spark, sf_dir), None)).select(
         "topic_id", "year", "works")
 
 
 def topic_share(spark, sf_dir):
-    return trends.topic_points(trends.topic_series(star_v(spark, sf_dir), None)).select(
+    return trends.topic_points(trends.topic_series(star_works(spark, sf_dir), None)).select(
         "topic_id", "year", "base", F.round("per_10k", 6).alias("per_10k"))
 
 
 def trend_growth(spark, sf_dir):
-    return trends.topic_metrics(star_v(spark, sf_dir), MIN_WORKS, None, None, None).select(
+    return trends.topic_metrics(star_works(spark, sf_dir), MIN_WORKS, None, None, None).select(
         "topic_id", F.round("normalized_growth", 6).alias("normalized_growth"),
         F.round("score", 6).alias("score"))
 
 
 def trend_acceleration(spark, sf_dir):
-    return trends.topic_metrics(star_v(spark, sf_dir), MIN_WORKS, None, None, None).select(
+    return trends.topic_metrics(star_works(spark, sf_dir), MIN_WORKS, None, None, None).select(
         "topic_id", F.round("acceleration", 6).alias("acceleration"))
 
 
 def topic_orgs(spark, sf_dir):
-    return trends.topic_top_names(star_v(spark, sf_dir))
+    return trends.topic_top_names(star_works(spark, sf_dir))
 
 
 def topic_diffusion(spark, sf_dir):
-    return trends.topic_diffusion(star_v(spark, sf_dir))
+    return trends.topic_diffusion(star_works(spark, sf_dir))
 
 
 def topic_best_works(spark, sf_dir):
-    return trends.topic_best_works(star_v(spark, sf_dir)).drop("url")
+    return trends.topic_best_works(star_works(spark, sf_dir)).drop("url")
 
 
 def topic_growth(spark, sf_dir):
@@ -421,7 +427,7 @@ def topic_growth(spark, sf_dir):
 
 
 def exact_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.trend_cards(star_v(spark, sf_dir), min_works=MIN_WORKS, share_digits=None,
+    return trends.trend_cards(star_works(spark, sf_dir), min_works=MIN_WORKS, share_digits=None,
                               growth_digits=None, score_digits=None)
 
 
