@@ -83,6 +83,16 @@ def test_manifest_differences(spark):
     assert got == {"a": "ok", "b": "changed", "c": "missing", "d": "extra"}
 
 
+def test_manifest_document_of_the_stored_format(spark, tmp_path):
+    doc = {"slice_id": "s", "query": {"years": [2010, 2025]}, "rows_total": 5,
+           "years": {"2010": {"rows": 5, "files": 1, "bytes": 9, "expected": 5, "gap": 0.0}},
+           "files": {"raw/a.parquet": {"bytes": 9, "sha256": "x"},
+                     "raw/b.parquet": {"bytes": 8, "sha256": "y"}}}
+    (tmp_path / "manifest.json").write_text(json.dumps(doc, indent=2))
+    rows = documents.read_manifest_files(spark, str(tmp_path / "manifest.json")).collect()
+    assert sorted(map(tuple, rows)) == [("raw/a.parquet", 9, "x"), ("raw/b.parquet", 8, "y")]
+
+
 def test_ground_truth_shape(spark, tmp_path):
     entries = [{"name": "NFT", "hype_year": 2021, "note": "n"}, {"name": "", "hype_year": 1990}]
     (tmp_path / "truth.json").write_text(json.dumps({"note": "x", "entries": entries}, indent=1))

@@ -53,7 +53,7 @@ def preprint_link(works: DataFrame, preprints: DataFrame) -> DataFrame:
 def linked_preprints(works: DataFrame, preprints: DataFrame) -> DataFrame:
     """The distinct preprint ids that occur on both sides."""
     named = works.where(F.col("arxiv_id") != "").select(F.col("arxiv_id").alias("id")).distinct()
-    return named.join(preprints.select("id"), "id", "left_semi")
+    return named.join(preprints.select("id").distinct(), "id", "left_semi")
 
 
 def _check(order: int, name: str, ok: Column, value: Column) -> Column:

@@ -1,8 +1,9 @@
 """Exact, reproducible samples that do not depend on how the data is partitioned.
 
-A row's place in the sample order is the hash of its key. Instead of sorting everything, a
-histogram over the leading hash bits finds the one bucket in which each stratum's quota ends,
-only the keys of that bucket are ranked, and the wide rows are then picked by a plain filter.
+A row's place in the sample order is the MD5 of key, stratum and seed, so any engine can repeat
+the draw. Instead of sorting everything, a histogram over the leading hex digits finds the one
+bucket in which each stratum's quota ends, only the keys of that bucket are ranked, and the wide
+rows are then picked by a plain filter.
 """
 from __future__ import annotations
 
@@ -18,8 +19,8 @@ SAMPLE_SEED = 20260904
 _BROADCAST_KEYS = 100_000
 
 
-def _bucket(bits: int) -> Column:
-    return F.shiftrightunsigned(F.col("__hash"), 64 - bits)
+def _bucket(digits: int) -> Column:
+    return F.substring("__hash", 1, digits)
 
 
 def _proportional(rows: int) -> Callable[[Column, Column], Column]:
@@ -38,16 +39,16 @@ def stratum_quotas(works: DataFrame, stratum: str, rows: int) -> DataFrame:
 
 
 def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Column],
-             bits: int) -> DataFrame:
+             digits: int) -> DataFrame:
     """Per stratum the last hash and key that are drawn, and how many copies of that key.
 
     ``keyed`` holds ``__stratum``, the key and ``__hash``. Both windows run over the histogram:
-    at most ``2**bits`` rows per stratum.
+    at most ``16**digits`` rows per stratum.
     """
     stratum = Window.partitionBy("__stratum")
     so_far = stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     histogram = materialize(
-        keyed.groupBy("__stratum", _bucket(bits).alias("bucket"))
+        keyed.groupBy("__stratum", _bucket(digits).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n")), "sample-histogram")
     total = histogram.agg(F.sum("n")).scalar()
     last_bucket = (
@@ -61,7 +62,7 @@ def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Colum
     # One row per stratum, stored so that its true size is known: the keys then meet it in a
     # broadcast join chosen by that size and are not shuffled.
     last_bucket = materialize(last_bucket, "last-buckets")
-    edge = keyed.withColumn("bucket", _bucket(bits)).join(
+    edge = keyed.withColumn("bucket", _bucket(digits)).join(
         last_bucket, F.col("__stratum").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
     by_hash = Window.partitionBy("__s").orderBy("__hash", key) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -78,14 +79,17 @@ def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Colum
 
 
 def _draw(works: DataFrame, stratum: str | None, key: str,
-          quota: Callable[[Column, Column], Column], seed: int, bits: int) -> DataFrame:
+          quota: Callable[[Column, Column], Column], seed: int, digits: int) -> DataFrame:
     """Rows up to each stratum's cut-off; ``stratum`` None draws from the table as a whole."""
     group = F.col(stratum) if stratum else F.lit(0)
-    hashed = F.xxhash64(F.col(key), group, F.lit(seed))
+    parts = [F.col(key).cast("string"), F.lit(str(seed))]
+    if stratum:
+        parts.insert(1, F.col(stratum).cast("string"))
+    hashed = F.md5(F.concat_ws("|", *parts))
     keyed = works.select(group.alias("__stratum"), key, hashed.alias("__hash"))
-    cutoffs = materialize(_cutoffs(keyed, key, quota, bits), "sample-cutoffs")
+    cutoffs = materialize(_cutoffs(keyed, key, quota, digits), "sample-cutoffs")
     split_copies = not cutoffs.where(F.col("copies") > F.col("__keep")).isEmpty()
-    located = works.withColumn("__hash", hashed).withColumn("__bucket", _bucket(bits))
+    located = works.withColumn("__hash", hashed).withColumn("__bucket", _bucket(digits))
     if stratum:            # one row per stratum; Spark checks the stored size before it broadcasts
         located = located.join(cutoffs, F.col(stratum).eqNullSafe(F.col("__s")))
     else:                  # a single row, so plain constants do
@@ -110,15 +114,15 @@ def _draw(works: DataFrame, stratum: str | None, key: str,
 
 
 def stratified_sample(works: DataFrame, rows: int = 40_000, stratum: str = "publication_year",
-                      key: str = "id", seed: int = SAMPLE_SEED, bits: int = 16) -> DataFrame:
+                      key: str = "id", seed: int = SAMPLE_SEED, digits: int = 4) -> DataFrame:
     """A sample of about ``rows`` rows, proportional over the strata and exact in each."""
-    return _draw(works, stratum, key, _proportional(rows), seed, bits)
+    return _draw(works, stratum, key, _proportional(rows), seed, digits)
 
 
 def uniform_sample(works: DataFrame, n: int = 200, key: str = "id", seed: int = 42,
-                   bits: int = 16) -> DataFrame:
+                   digits: int = 4) -> DataFrame:
     """Exactly ``n`` rows (or all, when there are fewer)."""
-    return _draw(works, None, key, lambda size, total: F.least(size, F.lit(n)), seed, bits)
+    return _draw(works, None, key, lambda size, total: F.least(size, F.lit(n)), seed, digits)
 
 
 def systematic_sample(works: DataFrame, limit: int = 4000, key: str = "id") -> DataFrame:
