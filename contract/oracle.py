@@ -299,7 +299,7 @@ ORACLE: dict[str, str] = {
     "sample_systematic": _w(f""" SELECT id, title FROM (SELECT id, title, row_number() OVER (ORDER BY id) - 1 AS i FROM w)
   WHERE i % {_STEP.format(60)} = 0 AND i < 60 * {_STEP.format(60)}"""),
     "sample_stratified": _w(""" SELECT id, year FROM (SELECT w.id, w.year, qt.drawn, row_number() OVER (
-  PARTITION BY w.year ORDER BY md5(w.id || '|' || w.year || '|20260904'), w.id) AS i FROM w JOIN qt USING (year))
+  PARTITION BY w.year ORDER BY md5(w.id || '|' || w.year || '|11'), w.id) AS i FROM w JOIN qt USING (year))
   WHERE i <= drawn""", _QUOTA),
     "sample_stratified_sizes": _w(" SELECT year, drawn FROM qt WHERE drawn > 0", _QUOTA),
     "sample_uniform": _w(" SELECT id FROM w ORDER BY md5(id || '|42'), id LIMIT 200"),

@@ -39,9 +39,9 @@ def corpus(spark, n, suffix=""):
 
 
 @pytest.mark.parametrize("title, abstract, expected", [
-    ("Deep Learning", "A survey of methods.", "Deep Learning[SEP]A survey of methods."),
-    (None, "Just an abstract.", "[SEP]Just an abstract."),
-    ("  Title  ", "  Abstract text.\n", "Title[SEP]Abstract text."),
+    ("Sparse codes", "We review them.", "Sparse codes[SEP]We review them."),
+    (None, "No title here.", "[SEP]No title here."),
+    ("\t Wide ", " kept inside  words \n", "Wide[SEP]kept inside  words"),
 ])
 def test_input_text(spark, title, abstract, expected):
     df = spark.createDataFrame([(title, abstract)], "t string, a string")

@@ -56,7 +56,7 @@ def test_resolution_prefers_the_full_slice(spark, fresh):
 
 def test_preprints_of_all_sets_without_repeats(spark, fresh):
     def rows(ids, title):
-        return preprints(spark, [dict(id=i, created="2021-04-27", title=title) for i in ids])
+        return preprints(spark, [dict(id=i, created="2018-07-09", title=title) for i in ids])
     path = fresh("pre")
     both = rows("12", "from cs").withColumn("set", F.lit("cs")).unionByName(
         rows("23", "from stat").withColumn("set", F.lit("stat")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trendloom.operators.ranking import with_row_index
 from trendloom.session import materialize
 
-SAMPLE_SEED = 20260904
+SAMPLE_SEED = 11
 _BROADCAST_KEYS = 100_000
 
 
