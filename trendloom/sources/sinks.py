@@ -30,8 +30,11 @@ def write_preprints(preprints: DataFrame, path: str, mode: str = "errorifexists"
 
 
 def write_sample(sample: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A development sample as one file: its size is bounded by the rows asked for."""
-    sample.coalesce(1).write.mode(mode).option("compression", "zstd").parquet(path)
+    """A development sample as one file: its size is bounded by the rows asked for.
+
+    The shuffle keeps the drawing itself parallel; ``coalesce`` would run it in a single task.
+    """
+    sample.repartition(1).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
 def write_document(doc: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -8,18 +8,28 @@ from pyspark.sql import types as T
 from trendloom.schemas import PREPRINTS, RAW_PREPRINT, RAW_WORK, WORKS
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path or glob matches any stored file."""
+def _locate(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(target))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at the path, on whatever file system it names."""
+    fs, target = _locate(spark, path)
+    return fs.exists(target)
 
 
-def _has_parquet(spark: SparkSession, path: str) -> bool:
-    return any(exists(spark, p) for p in (
-        path if path.endswith(".parquet") else f"{path}/*.parquet",
-        f"{path}/*.parquet", f"{path}/*/*.parquet"))
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder holds at least one parquet file; stops at the first one found."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return False
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
 
 
 def read_works(spark: SparkSession, path: str) -> DataFrame:
@@ -28,7 +38,7 @@ def read_works(spark: SparkSession, path: str) -> DataFrame:
     The folder column ``year`` repeats ``publication_year``: filters on the latter cannot skip
     folders, so use ``read_works_year`` for a single year.
     """
-    if not _has_parquet(spark, path):
+    if not has_parquet(spark, path):
         raise FileNotFoundError(f"no parquet files under {path}: collect the corpus first")
     return spark.read.schema(WORKS).parquet(path).select(*WORKS.names)
 
@@ -40,7 +50,7 @@ def read_works_partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_works_year(spark: SparkSession, path: str, year: int) -> DataFrame:
-    """One year of the slice: only that folder is listed and read. An unknown year is an error."""
+    """One year of the slice: only that folder is read. An unknown year is an error."""
     one = read_works_partitioned(spark, path).where(F.col("year") == year).drop("year")
     if one.isEmpty():
         raise ValueError(f"the slice has no year {year}")
@@ -59,7 +69,7 @@ def first_copies(stored: DataFrame) -> DataFrame:
 
 def read_preprints(spark: SparkSession, path: str) -> DataFrame:
     """All sets as one corpus without repeats."""
-    if not _has_parquet(spark, path):
+    if not has_parquet(spark, path):
         raise FileNotFoundError(f"no preprints under {path}")
     schema = T.StructType(PREPRINTS.fields + [T.StructField("set", T.StringType())])
     return first_copies(spark.read.schema(schema).parquet(path))
@@ -68,13 +78,13 @@ def read_preprints(spark: SparkSession, path: str) -> DataFrame:
 def resolve_works(spark: SparkSession, full: str, sample: str,
                   year: int | None = None) -> tuple[DataFrame, str]:
     """The full slice (or one year of it), else the sample, with a label of what was read."""
-    if _has_parquet(spark, full):
+    if has_parquet(spark, full):
         if year is not None:
             return read_works_year(spark, full, year), f"year {year}"
         return read_works(spark, full), "full slice"
     if year is not None:
         raise ValueError(f"the slice has no year {year}")
-    if _has_parquet(spark, sample):
+    if has_parquet(spark, sample):
         return read_works(spark, sample), "sample"
     raise FileNotFoundError("neither the slice nor the sample is there")
 
