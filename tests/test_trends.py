@@ -124,7 +124,8 @@ def test_series_is_dense_and_skips_works_without_topic_or_year(spark):
 
 def test_catalogue_growth_spans_all_corpus_years(spark):
     df = works(spark, [dict(id=str(i), primary_topic=topic("T1"), publication_year=2012)
-                       for i in range(3)] + [dict(id="z", publication_year=2010)])
+                       for i in range(3)] + [dict(id="z", publication_year=2010),
+                                             dict(id="y", publication_year=None)])
     row = trends.topic_growth(df, min_works=2).collect()[0]
     assert (row.works, row.growth, row.series) == (3, 3.0, [0, 3])
     assert trends.topic_growth(df, min_works=4).count() == 0

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from trendloom.operators.counts import country_counts
 from trendloom.operators.filters import SliceSpec, catalogue_rows, has_text
 from trendloom.operators.sampling import systematic_sample
-from trendloom.plans.trends import CATALOGUE_MIN_WORKS, CATALOGUE_TOPICS, topic_growth
+from trendloom.plans.trends import (
+    CATALOGUE_MIN_WORKS, CATALOGUE_TOPICS, growth_from_cells, topic_cells,
+)
 from trendloom.session import materialize
 
 # List lengths of the catalogue.
@@ -38,7 +40,8 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
                 shown: int = WORKS_SHOWN, growth_digits: int | None = 2) -> DataFrame:
     """Years, totals, yearly series, types, countries, topics and sampled works in one row.
 
-    The year-by-type cells and the country counts are written once and serve several parts.
+    The counts by year and type, by topic and year, by country and by preprint year are written
+    once each and serve several parts, so every column of the corpus is read once.
     Every list in the document is bounded: by years, types, or the lengths of its top lists.
     """
     cells = materialize(works.groupBy(
@@ -52,12 +55,13 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
     yearly = cells.groupBy("year").agg(F.sum("n").alias("n"), F.sum("with_abstract").alias("a"))
     years = yearly.join(pre, "year", "left").withColumn("p", F.coalesce("preprints", F.lit(0)))
     series = years.agg(F.sort_array(F.collect_list(F.struct("year", "n", "a", "p")))).scalar()
-    topics = topic_growth(works, min_works, top_topics, growth_digits)
+    by_topic = topic_cells(works)
+    topics = growth_from_cells(by_topic, min_works, top_topics, growth_digits)
     topics_listed = topics.select(
         (-F.col("growth")).alias("down"), F.col("topic_id").alias("id"), "name", "works", "growth",
         "series")
-    n_topics = works.where(F.col("primary_topic.id") != "").groupBy("primary_topic.id") \
-        .agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1))).scalar()
+    n_topics = by_topic.where(F.col("topic_id") != "").select("topic_id").distinct() \
+        .agg(F.count(F.lit(1))).scalar()
     rows = catalogue_rows(systematic_sample(sample, shown))
     totals = {
         "works": cells.agg(F.sum("n")).scalar(),

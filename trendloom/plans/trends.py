@@ -24,23 +24,20 @@ SUMMARY = "Группа работ по теме «%s»."
 _MAX_BROADCAST_TOPICS = 10_000
 
 
-def with_topic(works: DataFrame, need_year: bool = True) -> DataFrame:
-    """Works that have a topic id (and a year), with ``topic_id``, ``topic_name``, ``year``."""
+def with_topic(works: DataFrame) -> DataFrame:
+    """Works that have a topic id and a year, with ``topic_id``, ``topic_name``, ``year``."""
     year = F.col("publication_year").cast("int")
-    present = F.col("primary_topic.id") != ""
-    if need_year:
-        present = present & (year != 0)
-    return works.where(present).withColumns({
+    return works.where((F.col("primary_topic.id") != "") & (year != 0)).withColumns({
         "topic_id": F.col("primary_topic.id"), "topic_name": F.col("primary_topic.name"),
         "year": year})
 
 
-def topic_year_counts(works: DataFrame, need_year: bool = True) -> DataFrame:
+def topic_year_counts(works: DataFrame) -> DataFrame:
     """``(topic_id, topic_name, year, works)``: the one pass over the corpus that all metrics use.
 
     The name is a grouping key so the pass stays a hash aggregate.
     """
-    return with_topic(works, need_year).groupBy("topic_id", "topic_name", "year") \
+    return with_topic(works).groupBy("topic_id", "topic_name", "year") \
         .agg(F.count(F.lit(1)).alias("works"))
 
 
@@ -51,7 +48,8 @@ def corpus_by_year(counts: DataFrame) -> DataFrame:
 
 def _year_grid(base: DataFrame) -> Column:
     """All years with their base as one sorted array: a scalar, at most one entry per year."""
-    return base.agg(F.sort_array(F.collect_list(F.struct("year", "base")))).scalar()
+    return base.where(F.col("year").isNotNull()) \
+        .agg(F.sort_array(F.collect_list(F.struct("year", "base")))).scalar()
 
 
 def _per_topic(counts: DataFrame) -> DataFrame:
@@ -245,17 +243,29 @@ def with_rank(cards: DataFrame, order: list[Column]) -> DataFrame:
     return cards.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def topic_cells(works: DataFrame) -> DataFrame:
+    """Counts by topic and year over all works, those without a topic included, written once."""
+    cells = works.groupBy(
+        F.col("primary_topic.id").alias("topic_id"), F.col("primary_topic.name").alias("topic_name"),
+        F.col("publication_year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("works"))
+    return materialize(cells, "topic-cells")
+
+
 def topic_growth(works: DataFrame, min_works: int = CATALOGUE_MIN_WORKS,
                  top: int = CATALOGUE_TOPICS, growth_digits: int | None = 2) -> DataFrame:
     """The fastest topics by raw counts with their series over all years of the corpus."""
-    years = works.groupBy(F.col("publication_year").cast("int").alias("year")) \
-        .agg(F.count(F.lit(1)).alias("base"))
-    grid = _year_grid(years)
+    return growth_from_cells(topic_cells(works), min_works, top, growth_digits)
+
+
+def growth_from_cells(cells: DataFrame, min_works: int = CATALOGUE_MIN_WORKS,
+                      top: int = CATALOGUE_TOPICS, growth_digits: int | None = 2) -> DataFrame:
+    """``topic_growth`` from stored cells, for reports that need the cells for more."""
+    grid = _year_grid(corpus_by_year(cells))
     counted = F.transform("grid", lambda y: F.coalesce(
         F.try_element_at(F.col("by_year"), y["year"]), F.lit(0)).cast("bigint"))
     values = F.transform("series", lambda n: n.cast("double"))
     return (
-        _per_topic(topic_year_counts(works, need_year=False))
+        _per_topic(cells.where(F.col("topic_id") != ""))
         .where(F.col("works_total") >= min_works)
         .withColumn("grid", grid).withColumn("series", counted)
         .select("topic_id", "name", F.col("works_total").alias("works"),
