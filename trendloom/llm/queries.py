@@ -3,6 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trendloom.llm import bpe, licenses, secrets
+from trendloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -13,13 +18,21 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.secret_scan(table(spark, sf_dir, "documents")))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from trendloom.llm.bpe import bpe_digests
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe_digests(docs, vocabulary()).drop("text")
+    return bpe.bpe_digests(docs, vocabulary()).drop("text")
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
+    "op4_secrets": op4_secrets,
     "op10_bpe": op10_bpe,
 }
-ORACLE: dict[str, str] = {}
