@@ -78,4 +78,22 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM d LEFT JOIN g USING (r)"""
 
 
-ORACLE = {"op1_licenses": op1(), "op4_secrets": op4()}
+def op8() -> str:
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}',
+    '{licenses.LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END)) AS g
+  FROM d WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 85 * (na.size + nb.size - shared)),
+r AS (SELECT doc_id, doc_id AS reach FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reach),
+k AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM k LEFT JOIN n USING (doc_id)"""
+
+
+ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op8_minhash_forest": op8()}
