@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendloom.llm import bpe, licenses, near_dup, secrets
+from trendloom.llm import bpe, fingerprints, licenses, near_dup, secrets
 from trendloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -26,6 +26,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=(85, 100)).drop("n_links")
 
@@ -38,6 +42,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_secrets": op4_secrets,
+    "op7_fingerprints": op7_fingerprints,
     "op8_minhash_forest": op8_minhash_forest,
     "op10_bpe": op10_bpe,
 }
