@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trendloom.llm import bpe, fingerprints, licenses, near_dup, secrets
+from trendloom.llm import bpe, fingerprints, licenses, near_dup, secrets, sharding
 from trendloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -26,6 +27,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.kd_shards(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -42,6 +49,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op4_secrets": op4_secrets,
+    "op5_kd_shards": op5_kd_shards,
     "op7_fingerprints": op7_fingerprints,
     "op8_minhash_forest": op8_minhash_forest,
     "op10_bpe": op10_bpe,
