@@ -78,6 +78,16 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied FROM d LEFT JOIN g USING (r)"""
 
 
+def op6() -> str:
+    return """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS response FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN response IS NULL OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to FROM d LEFT JOIN f USING (payload_digest)"""
+
+
 def op8() -> str:
     return f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}',
@@ -96,4 +106,4 @@ SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component
 FROM k LEFT JOIN n USING (doc_id)"""
 
 
-ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op8_minhash_forest": op8()}
+ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op6_warc": op6(), "op8_minhash_forest": op8()}

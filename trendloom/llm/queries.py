@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import bpe, fingerprints, licenses, near_dup, secrets, sharding
+from trendloom.llm import bpe, decontaminate, fingerprints, licenses, near_dup, secrets, sharding, warc
 from trendloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -23,6 +23,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.secret_scan(table(spark, sf_dir, "documents")))
 
@@ -33,6 +37,10 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("intact")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -48,8 +56,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_decontaminate": op2_decontaminate,
     "op4_secrets": op4_secrets,
     "op5_kd_shards": op5_kd_shards,
+    "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_minhash_forest": op8_minhash_forest,
     "op10_bpe": op10_bpe,
