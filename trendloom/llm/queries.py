@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import bpe, decontaminate, fingerprints, licenses, near_dup, secrets, sharding, warc
+from trendloom.llm import (
+    bpe, decontaminate, fingerprints, language, licenses, near_dup, secrets, sharding, toxicity, warc,
+)
 from trendloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -27,6 +29,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.secret_scan(table(spark, sf_dir, "documents")))
 
@@ -49,6 +55,10 @@ def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=(85, 100)).drop("n_links")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe_digests(docs, vocabulary()).drop("text")
@@ -57,10 +67,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
+    "op3_language": op3_language,
     "op4_secrets": op4_secrets,
     "op5_kd_shards": op5_kd_shards,
     "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op8_minhash_forest": op8_minhash_forest,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
