@@ -40,6 +40,7 @@ from trendloom.session import materialize
 DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share, level by level
 REGION = 24                  # classes up to which a region gives all its pairs
 MISS = 2e-5
+BROADCAST_BYTES = 64 << 20   # size of a list of wanted texts up to which it is sent to the tasks
 _KEEP_WORDS = 500_000        # words whose hash a worker keeps
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
 
@@ -184,8 +185,10 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     @F.pandas_udf("binary")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, width).tobytes() for t in texts], dtype=object)
+    # 16 bytes of class and 32 of digest; beyond the bound the texts are shuffled instead
+    picked = F.broadcast(wanted) if wanted.count() * 48 <= BROADCAST_BYTES else wanted
     held = docs.select(F.md5(text).alias("text_hash"), F.col(text).alias("text")) \
-        .join(wanted, "text_hash").dropDuplicates(["class"])
+        .join(picked, "text_hash").dropDuplicates(["class"])
     held = materialize(held.select("class", sets("text").alias("shingles")), "forest-sets")
 
     @F.pandas_udf("boolean")
@@ -218,11 +221,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id") \
         .agg(F.count(F.lit(1)).alias("n_links"))
     linked = groups.join(ends, "id").withColumnRenamed("id", "set_hash")
-    out = rows.select("id", "n_shingles", "set_hash").join(linked, "set_hash", "left")
-    out = out.withColumn("component", F.coalesce("component", "set_hash"))
-    smallest = out.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("id").alias("smallest"))
-    named = out.join(smallest, "component", "left")
-    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("smallest"))
-    return named.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-                        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                        F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    sets = rows.where(F.col("set_hash").isNotNull()).groupBy("set_hash").agg(F.min("id").alias("first"))
+    named = materialize(sets.join(linked, "set_hash", "left")
+                        .withColumn("component", F.coalesce("component", "set_hash")), "forest-components")
+    smallest = materialize(named.groupBy("component").agg(F.min("first").alias("component_id")), "forest-firsts")
+    named = materialize(named.join(smallest, "component").select("set_hash", "component_id", "n_links"), "forest-named")
+    out = rows.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
+    component = F.when(F.col("set_hash").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
+                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+                      F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
