@@ -184,9 +184,10 @@ def benchmark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_col: str = "item_id",
                   item_text: str = "text", error_rate: float = ERROR_RATE,
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents that hold none of the items, with all their columns, by a plain filter."""
-    clean = docs
+    """The documents that hold none of the items, with all their columns, by plain filters."""
+    clean, waiting = docs, None
     for block in blocks_of(items, item_col, item_text, block_chars):
-        found = _searcher(block, error_rate)(F.col(text))
-        clean = materialize(clean.where(F.size(found) == 0), "leak-free")
-    return clean
+        if waiting is not None:
+            clean = materialize(clean.where(F.size(waiting) == 0), "leak-free")
+        waiting = _searcher(block, error_rate)(F.col(text))
+    return clean if waiting is None else clean.where(F.size(waiting) == 0)

@@ -34,13 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.llm.common import sent_if_small
 from trendloom.llm.graph import components
 from trendloom.session import materialize
 
 DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share, level by level
 REGION = 24                  # classes up to which a region gives all its pairs
 MISS = 2e-5
-BROADCAST_BYTES = 64 << 20   # size of a list of wanted texts up to which it is sent to the tasks
 _KEEP_WORDS = 500_000        # words whose hash a worker keeps
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
 
@@ -185,8 +185,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     @F.pandas_udf("binary")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, width).tobytes() for t in texts], dtype=object)
-    # 16 bytes of class and 32 of digest; beyond the bound the texts are shuffled instead
-    picked = F.broadcast(wanted) if wanted.count() * 48 <= BROADCAST_BYTES else wanted
+    picked = sent_if_small(wanted, 48)           # 16 bytes of class and 32 of digest
     held = docs.select(F.md5(text).alias("text_hash"), F.col(text).alias("text")) \
         .join(picked, "text_hash").dropDuplicates(["class"])
     held = materialize(held.select("class", sets("text").alias("shingles")), "forest-sets")
@@ -231,3 +230,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                       F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5), id_col: str = "doc_id",
+                  text: str = "text") -> DataFrame:
+    """The documents without those that another of their group stands for. Rows without an id stay, and
+    of rows that repeat both id and text one stays."""
+    found = materialize(near_duplicates(docs, width, threshold, id_col, text).select(id_col, "kept"), "forest-kept")
+    dropped = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct(), "forest-dropped")
+    rest = docs.join(sent_if_small(dropped, 8), id_col, "left_anti")
+    twice = materialize(found.where("kept").groupBy(id_col).count().where("count > 1").select(id_col), "forest-repeated")
+    if twice.isEmpty():
+        return rest.select(*docs.columns)
+    again = rest.join(twice, id_col, "left_semi").dropDuplicates([id_col, text])
+    return rest.join(twice, id_col, "left_anti").unionByName(again).select(*docs.columns)

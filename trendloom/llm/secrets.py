@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom.functions.arrays import bind
+from trendloom.llm.common import sent_if_small
 from trendloom.session import materialize
 
 # The patterns, and the shortest value each kind accepts.
@@ -100,13 +101,10 @@ def ownership(found: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_owners"), F.sum("repositories").alias("n_repositories"))
 
 
-def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", id_col: str = "doc_id",
-                text: str = "text", few_owners: int = FEW_OWNERS) -> DataFrame:
-    """One row per input row: id, spans (array of structs with class and counts), and the number of
-    live-looking and of copied values. ``repository`` names a document's repository; documents
-    without one are their own."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(owner).alias("owner"),
-                       F.col(repository).alias("repository"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def spans_per_text(docs: DataFrame, owner: str = "source", repository: str = "doc_id", text: str = "text",
+                   few_owners: int = FEW_OWNERS) -> DataFrame:
+    """``digest, spans`` of every distinct text that has spans to report, each with its class and counts."""
+    rows = docs.select(F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashed = F.transform(candidate_spans(F.col("text")), lambda s: F.struct(
         s["start"].alias("start"), s["order"].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"),
         F.sha2(s["value"], 256).alias("hash"), s["value"].rlike(PLACEHOLDER).alias("placeholder")))
@@ -121,9 +119,17 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
     judged = each.join(ownership(found), F.col("s.hash") == F.col("hash")).select(
         "digest", F.struct("s.start", "s.order", "s.kind", "s.end", "hash", live.alias("live"),
                            "n_owners", "n_repositories").alias("s"))
-    per_text = judged.where((F.col("s.kind") != "blob") | F.col("s.live")) \
-        .groupBy("digest").agg(F.array_sort(F.collect_list("s")).alias("spans"))
-    out = rows.select("id", F.md5("text").alias("digest")).join(per_text, "digest", "left")
+    return materialize(judged.where((F.col("s.kind") != "blob") | F.col("s.live")).groupBy("digest")
+                       .agg(F.array_sort(F.collect_list("s")).alias("spans")), "secret-spans")
+
+
+def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", id_col: str = "doc_id",
+                text: str = "text", few_owners: int = FEW_OWNERS) -> DataFrame:
+    """One row per input row: id and its spans (array of structs with class and counts). ``repository``
+    names a document's repository."""
+    per_text = spans_per_text(docs, owner, repository, text, few_owners)
+    out = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest")) \
+        .join(per_text, "digest", "left")
     spans = F.coalesce(F.col("spans"), F.array().cast(per_text.schema["spans"].dataType))
     return out.select(F.col("id").alias(id_col), spans.alias("spans"))
 
@@ -144,3 +150,29 @@ def secret_digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
         span_list(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_copied"))
+
+
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with every span (in order of place) replaced once; overlapping spans count as one."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = s["start"] >= acc["at"]
+        return F.struct(
+            F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)))
+            .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+    return F.aggregate(spans, start, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def without_live_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", text: str = "text",
+                         mask: str = "[SECRET]", few_owners: int = FEW_OWNERS) -> DataFrame:
+    """``docs`` with every live-looking span masked; texts without one, copied examples and all other
+    columns stay as they are."""
+    live = spans_per_text(docs, owner, repository, text, few_owners) \
+        .select("digest", F.filter("spans", lambda s: s["live"]).alias("__live")).where(F.size("__live") > 0)
+    live = materialize(live, "secret-live")
+    live = sent_if_small(live, F.size("__live") * 128 + 48).withColumnRenamed("digest", "__digest")
+    joined = docs.withColumn("__digest", F.md5(F.col(text))).join(live, "__digest", "left")
+    return joined.withColumn(text, F.when(F.col("__live").isNull(), F.col(text)).otherwise(
+        _masked(F.col(text), F.col("__live"), mask))).select(*docs.columns)

@@ -288,3 +288,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     model = fit(docs, labels, id_col, text, label, **bounds)
     return docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), score(F.col(text), model).alias("score")) \
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
+                  **bounds: int) -> DataFrame:
+    """The documents that the classifier does not reject, with all their columns."""
+    model = fit(docs, labels, id_col, text, label, **bounds)
+    return docs.where(score(F.col(text), model) < 0.5)
