@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 from helpers import works
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trendloom.operators import embed
@@ -38,14 +40,18 @@ def corpus(spark, n, suffix=""):
                               language="en") for i in range(1, n + 1)])
 
 
-@pytest.mark.parametrize("title, abstract, expected", [
-    ("Sparse codes", "We review them.", "Sparse codes[SEP]We review them."),
-    (None, "No title here.", "[SEP]No title here."),
-    ("\t Wide ", " kept inside  words \n", "Wide[SEP]kept inside  words"),
-])
-def test_input_text(spark, title, abstract, expected):
-    df = spark.createDataFrame([(title, abstract)], "t string, a string")
-    assert df.select(embed.input_text(F.col("t"), F.col("a"))).collect()[0][0] == expected
+BLANKS = st.text(st.sampled_from(" \t\n\u3000"), max_size=3)
+INNER = st.text(st.characters(codec="utf-8", exclude_categories=["Z", "C"]), min_size=1, max_size=8)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.none() | st.builds("".join, st.tuples(BLANKS, INNER, BLANKS)),
+                          st.builds("".join, st.tuples(BLANKS, INNER, BLANKS, INNER, BLANKS))),
+                min_size=10, max_size=30), st.sampled_from([embed.SEPARATOR, " | "]))
+def test_input_text_is_both_parts_stripped(spark, rows, separator):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, a string")
+    made = df.orderBy("i").select(embed.input_text(F.col("t"), F.col("a"), separator)).collect()
+    assert [r[0] for r in made] == [(t or "").strip() + separator + a.strip() for t, a in rows]
 
 
 def test_each_text_is_encoded_once_and_a_rerun_encodes_nothing(spark, log, fresh):

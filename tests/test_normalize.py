@@ -1,27 +1,32 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pytest
 from helpers import raw
 
 from trendloom.operators.normalize import preprints_from_oai, works_from_raw
 from trendloom.schemas import PREPRINTS, WORKS, conforms
 from trendloom.sources.tables import parse_records, read_raw_preprints
 
-RECORD = """<record xmlns="http://www.openarchives.org/OAI/2.0/">
-  <header><identifier>oai:x:1911.00042</identifier></header>
-  <metadata><arXiv xmlns="http://arxiv.org/OAI/arXiv/">
-    <id>1911.00042</id><created>2019-11-03</created><updated>2020-02-29</updated>
-    <authors><author><keyname>Åström</keyname><forenames>Лев</forenames></author>
-             <author><keyname>Okoro</keyname><forenames> Ada </forenames></author>
-             <author><keyname> </keyname></author><author><keyname>Solo</keyname></author></authors>
-    <title>Graphs &amp;
-       their   shadows</title>
-    <categories>stat.ML cs.SI</categories>
-    <abstract>Ein kurzer Text.</abstract>
-  </arXiv></metadata></record>"""
-DELETED = """<record><header status="deleted"><identifier>oai:x:1</identifier></header></record>"""
-NO_BODY = """<record><header><identifier>oai:x:2</identifier></header></record>"""
-BARE = """<record><header/><metadata><arXiv><id>7</id></arXiv></metadata></record>"""
+NAMESPACES = ("http://www.openarchives.org/OAI/2.0/", "http://arxiv.org/OAI/arXiv/")
+
+
+def oai_record(fields=None, authors=None, header="", status=None, namespaces=("", "")):
+    """One protocol record from a list of fields; values are inserted as XML, ``None`` for no metadata."""
+    outer, inner = (f' xmlns="{n}"' if n else "" for n in namespaces)
+    marked = f' status="{status}"' if status else ""
+    head = f"<header{marked}>{header}</header>"
+    if fields is None and authors is None:
+        return f"<record{outer}>{head}</record>"
+    names = "".join("<author>" + "".join(f"<{k}>{v}</{k}>" for k, v in a.items()) + "</author>"
+                    for a in authors or [])
+    body = "".join(f"<{k}>{v}</{k}>" for k, v in (fields or {}).items())
+    listed = f"<authors>{names}</authors>" if authors is not None else ""
+    return f"<record{outer}>{head}<metadata><arXiv{inner}>{body}{listed}</arXiv></metadata></record>"
+
+
+def parsed(spark, *records):
+    xml = spark.createDataFrame([(r,) for r in records], "record string")
+    return {r.id: r for r in preprints_from_oai(parse_records(xml)).collect()}
 
 
 def normalized(spark, **fields):
@@ -71,30 +76,70 @@ def test_out_of_range_numbers_become_null(spark):
     assert normalized(spark, publication_year=99999).publication_year is None
 
 
-def test_preprint_records(spark):
-    xml = spark.createDataFrame([(r,) for r in (RECORD, DELETED, NO_BODY, BARE)], "record string")
-    out = preprints_from_oai(parse_records(xml))
-    assert conforms(out, PREPRINTS)
-    rows = {r.id: r for r in out.collect()}
-    assert set(rows) == {"1911.00042", "7"}
-    row = rows["1911.00042"]
-    assert (row.created, row.updated, row.doi) == ("2019-11-03", "2020-02-29", None)
-    assert row.title == "Graphs & their shadows"
-    assert (row.categories, row.primary_category) == (["stat.ML", "cs.SI"], "stat.ML")
-    assert row.authors == ["Лев Åström", "Ada Okoro", "Solo"] and row.author_count == 3
-    bare = rows["7"]
-    assert (bare.categories, bare.primary_category, bare.authors) == ([], None, [])
-
-
-def test_preprint_pages_from_files(spark, tmp_path):
-    page = f"<?xml version='1.0'?><OAI-PMH><ListRecords>{RECORD}{DELETED}</ListRecords></OAI-PMH>"
-    (tmp_path / "page.xml").write_text(page, encoding="utf-8")
+def test_preprints_have_the_declared_schema(spark):
+    xml = spark.createDataFrame([(oai_record({"id": "a"}),)], "record string")
+    assert conforms(preprints_from_oai(parse_records(xml)), PREPRINTS)
+
+
+@pytest.mark.parametrize("namespaces", [("", ""), NAMESPACES])
+def test_every_field_of_a_record(spark, namespaces):
+    row = parsed(spark, oai_record(
+        {"id": "2406.7", "created": "2024-06-01", "updated": "2024-07-02", "doi": "10.9/z",
+         "title": "One", "categories": "cs.LG", "abstract": "Two"}, [{"keyname": "Q"}],
+        namespaces=namespaces))["2406.7"]
+    assert (row.created, row.updated, row.doi) == ("2024-06-01", "2024-07-02", "10.9/z")
+    assert (row.title, row.abstract, row.primary_category) == ("One", "Two", "cs.LG")
+    assert (row.authors, row.author_count) == (["Q"], 1)
+
+
+def test_a_record_of_an_id_alone(spark):
+    row = parsed(spark, oai_record({"id": "x"}))["x"]
+    assert (row.categories, row.primary_category, row.authors, row.author_count) == ([], None, [], 0)
+    assert {row.created, row.updated, row.doi, row.title, row.abstract} == {None}
+
+
+def test_deleted_and_empty_records_are_left_out(spark):
+    kept = parsed(spark, oai_record({"id": "gone"}, status="deleted"), oai_record(),
+                  oai_record(status="deleted"), oai_record({"id": "here"}))
+    assert set(kept) == {"here"}
+
+
+@pytest.mark.parametrize("xml, text", [
+    ("a\n   b\t c", "a b c"), ("x &lt; y &amp; z", "x < y & z"), ("<![CDATA[p < q]]>", "p < q"),
+    ("&#233;t&#xe9;", "été"), ("  edge  ", "edge")])
+def test_blanks_entities_and_character_data(spark, xml, text):
+    row = parsed(spark, oai_record({"id": "t", "title": xml, "abstract": xml}))["t"]
+    assert (row.title, row.abstract) == (text, text)
+
+
+@pytest.mark.parametrize("author, name", [
+    ({"keyname": "B", "forenames": "A"}, "A B"), ({"keyname": "B"}, "B"),
+    ({"keyname": " B ", "forenames": " A "}, "A B"), ({"keyname": "  "}, None),
+    ({"forenames": "A"}, "A"), ({}, None)])
+def test_author_names(spark, author, name):
+    row = parsed(spark, oai_record({"id": "n"}, [author]))["n"]
+    assert row.authors == ([name] if name else [])
+
+
+@pytest.mark.parametrize("listed, categories", [
+    ("a.B", ["a.B"]), ("a.B c.D  e", ["a.B", "c.D", "e"]), ("  ", []), ("", [])])
+def test_categories_in_order_and_the_first_is_primary(spark, listed, categories):
+    row = parsed(spark, oai_record({"id": "c", "categories": listed}))["c"]
+    assert row.categories == categories
+    assert row.primary_category == (categories[0] if categories else None)
+
+
+def test_pages_from_files(spark, tmp_path):
+    for page in range(3):
+        records = "".join(oai_record({"id": f"{page}-{i}"}, namespaces=NAMESPACES) for i in range(4))
+        (tmp_path / f"{page}.xml").write_text(
+            f"<?xml version='1.0'?><OAI-PMH><ListRecords>{records}</ListRecords></OAI-PMH>", encoding="utf-8")
     rows = preprints_from_oai(read_raw_preprints(spark, str(tmp_path))).collect()
-    assert [r.title for r in rows] == ["Graphs & their shadows"]
+    assert {r.id for r in rows} == {f"{p}-{i}" for p in range(3) for i in range(4)}
 
 
 def test_xml_is_parsed_once(spark):
-    xml = spark.createDataFrame([(RECORD,)], "record string")
+    xml = spark.createDataFrame([(oai_record({"id": "x"}),)], "record string")
     plan = preprints_from_oai(parse_records(xml))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml") == 1
 

@@ -23,9 +23,16 @@ def restored(spark, index):
     return one(spark, "m map<string,array<int>>", (index,), text.restore_text(F.col("m")))
 
 
-def test_text_comes_back_in_position_order(spark):
-    index = {"rivers": [2], "Old": [0], "bend": [3], "slow": [1]}
-    assert restored(spark, index) == "Old slow rivers bend"
+@SLOW
+@given(st.lists(st.text("abcdeü'-", min_size=1, max_size=4), min_size=1, max_size=60), st.randoms())
+def test_any_word_order_comes_back(spark, words, random):
+    places = {}
+    for i, w in enumerate(words):
+        places.setdefault(w, []).append(i)
+    keys = list(places)
+    random.shuffle(keys)
+    index = {k: random.sample(places[k], len(places[k])) for k in keys}
+    assert restored(spark, index) == " ".join(words)
 
 
 @pytest.mark.parametrize("index", [None, {}, {"a": []}])
@@ -33,8 +40,11 @@ def test_no_positions_give_null(spark, index):
     assert restored(spark, index) is None
 
 
-def test_holes_close_up_and_repeats_stay(spark):
-    assert restored(spark, {"the": [0, 40], "end": [7]}) == "the end the"
+@SLOW
+@given(st.lists(st.integers(0, 10_000), min_size=1, max_size=30, unique=True))
+def test_holes_between_positions_close_up(spark, positions):
+    index = {f"w{p}": [p] for p in positions}
+    assert restored(spark, index) == " ".join(f"w{p}" for p in sorted(positions))
 
 
 def test_later_word_wins_a_clashing_position(spark):
@@ -94,18 +104,47 @@ def test_short_id(spark, url, expected):
     assert one(spark, "u string", (url,), text.short_id(F.col("u"))) == expected
 
 
-@pytest.mark.parametrize("ids, landing, pdf, plain, fixed", [
-    ({"a": "https://openalex.org/W1", "b": "https://arxiv.org/abs/1911.00042"}, None, None,
-     "1911.00042", "1911.00042"),
-    ({"a": "https://doi.org/10.1/x"}, None, None, None, None),
-    (None, None, "http://ARXIV.org/pdf/1911.00042.pdf", "1911.00042", "1911.00042"),
-    (None, "arXiv: 1911.00042", None, "1911.00042", "1911.00042"),
-    (None, "https://arxiv.org/abs/cs/0501001", None, "cs", "cs/0501001"),
-    (None, "https://arxiv.org/abs/1911.00042v2", None, "1911.00042v2", "1911.00042"),
-    (None, "https://doi.org/10.48550/arxiv.1911.00042", None, None, "1911.00042"),
-])
-def test_preprint_id_from_links(spark, ids, landing, pdf, plain, fixed):
-    row, schema = (ids, landing, pdf), "i map<string,string>, l string, p string"
-    columns = [F.col(c) for c in "ilp"]
-    assert one(spark, schema, row, text.link_id(*columns)) == plain
-    assert one(spark, schema, row, text.link_id(*columns, old_style_ids=True)) == fixed
+HOSTS = st.sampled_from(["https://arxiv.org/abs/", "http://ARXIV.org/pdf/", "arXiv: ", "arxiv.org/abs/"])
+NEW_STYLE = st.builds("{:04d}.{:05d}".format, st.integers(701, 9912), st.integers(1, 99999))
+OTHER = st.sampled_from([None, "", "https://doi.org/10.1/x", "https://example.org/abs/1"])
+
+
+def link_ids(spark, rows, **options):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "n int, i map<string,string>, l string, p string").orderBy("n")
+    return [r[0] for r in df.select(text.link_id(*[F.col(c) for c in "ilp"], **options)).collect()]
+
+
+@SLOW
+@given(st.lists(st.tuples(HOSTS, NEW_STYLE, st.integers(0, 2), OTHER), min_size=5, max_size=20))
+def test_the_id_is_found_wherever_the_link_stands(spark, cases):
+    rows = []
+    for host, number, place, other in cases:
+        link = host + number
+        rows.append(({"a": other, "b": link} if place == 0 else None, link if place == 1 else other,
+                     link + ".pdf" if place == 2 else other))
+    wanted = [number for _, number, _, _ in cases]
+    assert link_ids(spark, rows) == wanted
+    assert link_ids(spark, rows, old_style_ids=True) == wanted
+
+
+@SLOW
+@given(st.lists(st.tuples(OTHER, OTHER), min_size=5, max_size=20))
+def test_other_links_give_no_id(spark, cases):
+    rows = [({"a": a}, a, b) for a, b in cases]
+    assert set(link_ids(spark, rows)) == {None} == set(link_ids(spark, rows, old_style_ids=True))
+
+
+@SLOW
+@given(st.lists(st.tuples(st.sampled_from(["hep-th", "cs"]), st.integers(1_000_000, 9_999_999),
+                          NEW_STYLE, st.integers(1, 9)), min_size=3, max_size=10))
+def test_old_style_and_versioned_ids_are_an_option(spark, cases):
+    old = [(None, f"https://arxiv.org/abs/{group}/{n}", None) for group, n, _, _ in cases]
+    versioned = [(None, f"https://arxiv.org/abs/{number}v{v}", None) for _, _, number, v in cases]
+    doi = [(None, f"https://doi.org/10.48550/arxiv.{number}", None) for _, _, number, _ in cases]
+    assert link_ids(spark, old, old_style_ids=True) == [f"{group}/{n}" for group, n, _, _ in cases]
+    assert link_ids(spark, old) == [group for group, _, _, _ in cases]
+    assert link_ids(spark, versioned, old_style_ids=True) == [number for _, _, number, _ in cases]
+    assert link_ids(spark, versioned) == [f"{number}v{v}" for _, _, number, v in cases]
+    assert link_ids(spark, doi, old_style_ids=True) == [number for _, _, number, _ in cases]
+    assert set(link_ids(spark, doi)) == {None}
