@@ -140,6 +140,8 @@ _MANIFEST_CHECK = f"""SELECT path, CASE path WHEN 'gone.parquet' THEN 'missing'
 
 _STEP = "greatest(1, (SELECT count(*) FROM w) // {0})"
 
+_LOST = "CASE WHEN doc_id % 11 = 3 THEN NULL WHEN doc_id % 13 = 5 THEN '' ELSE id END"
+
 ORACLE: dict[str, str] = {
     "scan_works": _w(_flat()),
     "scan_pruned": _w(" SELECT id, language, year AS publication_year FROM w"),
@@ -207,6 +209,8 @@ ORACLE: dict[str, str] = {
   AND kind = 'статья' AND country = 'C1' AND year >= 2013 AND has_abstract""", _CATALOGUE),
     "facet_page": _w(""" SELECT id, title FROM k ORDER BY id LIMIT 40
   OFFSET (SELECT CAST(40 * least(3, greatest(1, ceil(count(*) / 40.0)) - 1) AS BIGINT) FROM k)""", _CATALOGUE),
+    "facet_all_pages": _w(""" SELECT id, year, CAST((row_number() OVER (ORDER BY year, id) - 1) // 300 AS INTEGER) AS page
+  FROM k""", _CATALOGUE),
     "facet_last_page": _w(""" SELECT id, title FROM k ORDER BY id LIMIT 40
   OFFSET (SELECT CAST(40 * (greatest(1, ceil(count(*) / 40.0)) - 1) AS BIGINT) FROM k)""", _CATALOGUE),
     "facet_values": _w(""" SELECT DISTINCT 'topic' AS facet, topic AS value FROM k
@@ -249,7 +253,7 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT 'preprints', count(*), min(CAST(substring(created, 1, 4) AS INTEGER)),
   max(CAST(substring(created, 1, 4) AS INTEGER)), round(count(text) / CAST(count(*) AS DOUBLE), 6),
   round(count(doi) / CAST(count(*) AS DOUBLE), 6), NULL FROM p"""),
-    "dup_counts": _w(""" SELECT 'id' AS key, count(id) - count(DISTINCT id) AS duplicates FROM w
+    "dup_counts": _w(f""" SELECT 'id' AS key, count(*) - count(DISTINCT coalesce({_LOST}, chr(1))) AS duplicates FROM w
   UNION ALL SELECT 'doi', count(doi) - count(DISTINCT doi) FROM w"""),
     "coverage_gap": _w(""" SELECT e.year, count(*) AS actual, e.expected,
   round(abs(count(*) - e.expected) / CAST(e.expected AS DOUBLE), 8) AS gap
@@ -260,7 +264,7 @@ ORACLE: dict[str, str] = {
   FROM w LEFT JOIN p ON p.id = w.arxiv_id"""),
     "linked_preprints": _p(" SELECT DISTINCT arxiv_id AS id FROM w JOIN p ON p.id = w.arxiv_id"),
     "acceptance": _p(f""", a AS (SELECT CAST(count(*) AS DOUBLE) AS n, count(abstract) AS ab,
-  count(id) - count(DISTINCT id) AS di, count(doi) - count(DISTINCT doi) AS dd FROM w),
+  count(*) - count(DISTINCT coalesce({_LOST}, chr(1))) AS di, count(doi) - count(DISTINCT doi) AS dd FROM w),
   h AS (SELECT max(gap) AS worst FROM (SELECT abs(count(*) - e.expected) / CAST(e.expected AS DOUBLE) AS gap
     FROM e JOIN w ON w.year = e.year GROUP BY e.year, e.expected)),
   l AS (SELECT count(DISTINCT p.id) AS matched, count(DISTINCT arxiv_id) AS total FROM w LEFT JOIN p ON p.id = w.arxiv_id)

@@ -284,10 +284,18 @@ def facet_page(spark, sf_dir):
     return ranking.page_of(rows, ["id"], page=3)
 
 
+def facet_all_pages(spark, sf_dir):
+    """Every page of a result in an order full of ties, together."""
+    rows = filters.catalogue_rows(works_v(spark, sf_dir)).select(
+        "id", F.col("year").cast("int").alias("year"))
+    numbered = ranking.with_pages(rows, ["year"], per_page=300)
+    return numbered.select("id", "year", F.col("page").cast("int").alias("page"))
+
+
 def facet_last_page(spark, sf_dir):
-    """A page past the end of a deep result comes from the distributed row index."""
+    """A page past the end is the last one."""
     rows = filters.catalogue_rows(works_v(spark, sf_dir)).select("id", "title")
-    return ranking.page_of(rows, ["id"], page=10**9, heads=0)
+    return ranking.page_of(rows, ["id"], page=10**9)
 
 
 def facet_values(spark, sf_dir):
@@ -353,8 +361,14 @@ def table_summary(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 6) for c in rows.columns if c.startswith("share_")})
 
 
+def with_lost_ids(works):
+    """Some works without an id, some with an empty one."""
+    number = F.substring("id", 2, 20).cast("int")
+    return works.withColumn("id", F.when(number % 11 == 3, None).when(number % 13 == 5, "").otherwise(F.col("id")))
+
+
 def dup_counts(spark, sf_dir):
-    return counts.duplicate_counts(works_v(spark, sf_dir))
+    return counts.duplicate_counts(with_lost_ids(works_v(spark, sf_dir)))
 
 
 def coverage_gap(spark, sf_dir):
@@ -379,7 +393,7 @@ def linked_preprints(spark, sf_dir):
 def acceptance(spark, sf_dir):
     works = works_v(spark, sf_dir)
     return quality.acceptance(
-        works, series_v(spark, sf_dir), preprints(spark, sf_dir),
+        with_lost_ids(works), series_v(spark, sf_dir), preprints(spark, sf_dir),
         manifest=manifest_check(spark, sf_dir),
         sample=sampling.systematic_sample(works, 100), min_rows=500) \
         .withColumn("value", F.round("value", 6))
@@ -555,7 +569,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     manifest_years, rows_per_file, sink_roundtrip, shape_rules, restore_text, normalize_works,
     link_id_extract, institutions_dedup, date_placeholder, embed_text, catalog_rows, work_snippet,
     preprint_snippet, slice_filter, slice_filter_year, embeddable, search_title, search_topic,
-    search_category, facet_search, facet_page, facet_last_page, facet_values, works_by_year,
+    search_category, facet_search, facet_page, facet_all_pages, facet_last_page, facet_values, works_by_year,
     embeddable_by_year, filter_funnel, count_filtered, completeness, top_languages, works_by_type,
     abstract_share, country_top, country_mentions, preprints_by_year, corpus_totals, table_summary,
     dup_counts, coverage_gap, gap_years, preprint_link, linked_preprints, acceptance,

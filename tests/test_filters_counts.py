@@ -101,7 +101,9 @@ def test_country_counts_per_work_and_per_mention(spark):
     assert [r.country for r in counts.country_top(df, 2).collect()] == ["RU", "US"]
 
 
-def test_duplicates_ignore_empty_keys(spark):
+def test_lost_ids_are_duplicates_and_lost_dois_are_not(spark):
+    lost = works(spark, [dict(id=i, doi=i) for i in (None, None, "", "", "x")])
+    assert dict(counts.duplicate_counts(lost).collect()) == {"id": 2, "doi": 0}
     assert dict(counts.duplicate_counts(sample(spark)).collect()) == {"id": 0, "doi": 1}
     twice = sample(spark).unionByName(sample(spark))
     assert dict(counts.duplicate_counts(twice).collect()) == {"id": 4, "doi": 3}

@@ -172,16 +172,18 @@ def preprints_summary(preprints: DataFrame) -> DataFrame:
         *[ratio(F.count(c), n).alias(f"share_{c}") for c in ("abstract", "doi")])
 
 
-def duplicate_count(df: DataFrame, key: str, name: str = "duplicates") -> DataFrame:
-    """One row: non-empty keys minus distinct non-empty keys. Copies meet pre-aggregated."""
+def duplicate_count(df: DataFrame, key: str, name: str = "duplicates", skip_empty: bool = False) -> DataFrame:
+    """One row: rows minus distinct values. A lost (null or empty) key is a value like any other, so a
+    corpus of lost ids is full of duplicates; ``skip_empty`` leaves such rows out, for keys that a row
+    need not have. Copies meet pre-aggregated."""
     return (
-        df.where(F.col(key) != "").groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+        (df.where(F.col(key) != "") if skip_empty else df).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias(name))
     )
 
 
 def duplicate_counts(works: DataFrame) -> DataFrame:
-    """Duplicate ids and duplicate DOIs as ``(key, duplicates)``."""
-    frames = [duplicate_count(works, key).select(F.lit(key).alias("key"), "duplicates")
+    """Duplicate ids (lost ones count) and duplicate DOIs (of works that have one) as ``(key, duplicates)``."""
+    frames = [duplicate_count(works, key, skip_empty=key == "doi").select(F.lit(key).alias("key"), "duplicates")
               for key in ("id", "doi")]
     return frames[0].unionByName(frames[1])

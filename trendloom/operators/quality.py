@@ -85,7 +85,7 @@ def acceptance(works: DataFrame, expected: DataFrame, preprints: DataFrame | Non
                    F.col("no_date") + F.col("no_year"))))),
         duplicate_count(works, "id").select(F.inline(F.array(
             _check(4, "duplicate_ids", F.col("duplicates") == 0, F.col("duplicates"))))),
-        duplicate_count(works, "doi").select(F.inline(F.array(
+        duplicate_count(works, "doi", skip_empty=True).select(F.inline(F.array(
             _check(5, "shared_dois", info, F.col("duplicates"))))),
         coverage_gap(year_counts(works), expected, "right")
         .agg(F.coalesce(F.max("gap"), F.lit(0.0)).alias("worst"))

@@ -55,22 +55,26 @@ def with_chunks(df: DataFrame, chunk_size: int = 5000, key: str = "id") -> DataF
     return index.withColumn("chunk", F.floor(F.col("row_index") / chunk_size).cast("int"))
 
 
-def page_of(df: DataFrame, order: list[str], page: int, per_page: int = 40,
-            heads: int = 10_000) -> DataFrame:
-    """One page of a totally ordered result; a page past the end becomes the last one.
+def with_pages(df: DataFrame, order: list[str], per_page: int = 40, key: str = "id") -> DataFrame:
+    """``(*order, key, page)`` of every row in the total order ``order``, then ``key``; pages from 0."""
+    index = with_row_index(df.select(*dict.fromkeys([*order, key])), *dict.fromkeys([*order, key]))
+    return index.withColumn("page", F.floor(F.col("row_index") / per_page)).drop("row_index")
 
-    Early pages come from per-task heads; a deep page is cut out of the distributed row index,
-    so it costs one sort and never a single-task scan of everything before it.
+
+def page_of(df: DataFrame, order: list[str], page: int, per_page: int = 40, key: str = "id") -> DataFrame:
+    """One page of a result; a page past the end becomes the last one.
+
+    The order is made total by ``key``, which must be unique, so all pages together are the result,
+    each row once. Only the order columns and the key are sorted and numbered, in ranges; the page's
+    rows are then read by their keys.
     """
-    total = df.count()
-    last = max(1, -(-total // per_page)) - 1
-    page = max(0, min(page, last))
+    total = [*dict.fromkeys([*order, key])]
+    index = materialize(with_row_index(df.select(*total), *total), "page-index")
+    rows = index.agg(F.count(F.lit(1))).first()[0]
+    page = max(0, min(page, max(1, -(-rows // per_page)) - 1))
     first = page * per_page
-    if first + per_page <= heads:
-        return df.orderBy(*order).offset(first).limit(per_page)
-    return (
-        with_row_index(df, *order)
-        .where(F.col("row_index").between(first, first + per_page - 1))
-        .drop("row_index")
-        .orderBy(*order)
-    )
+    picked = materialize(index.where(F.col("row_index").between(first, first + per_page - 1)).select(key), "page-keys")
+    found = df.join(F.broadcast(picked), key, "left_semi")          # at most per_page keys
+    if not index.join(F.broadcast(picked), key, "left_semi").groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError(f"{key} is not unique, so pages would not add up")
+    return found.select(*df.columns).orderBy(*total)
