@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,14 +113,21 @@ def oai_parse(spark, sf_dir):
 
 
 def ingested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Works ingested in two landings and a third, empty run."""
+    """Works ingested in three landings and a last, empty run. The second landing is dated long before
+    the first, and the third holds broken lines."""
     raw = raw_works(spark, sf_dir)
-    landing, out, mark = (scratch_path(spark, x) for x in ("landing", "ingested", "position"))
-    early = F.col("publication_year") < 2018
-    for part in (early, ~early):
-        raw.where(part).write.mode("append").json(landing)
-        ingest.ingest_works(spark, landing, out, mark)
-    ingest.ingest_works(spark, landing, out, mark)
+    landing, out, mark, rejects = (scratch_path(spark, x) for x in ("landing", "ingested", "position", "rejects"))
+    year = F.col("publication_year")
+    for n, part in enumerate((year < 2014, (year >= 2014) & (year < 2018), year >= 2018)):
+        folder = f"{landing}/part={n}"
+        raw.where(part).write.json(folder)
+        if n == 1:
+            tables.set_file_times(spark, folder, datetime(2001, 2, 3, tzinfo=timezone.utc))
+        if n == 2:
+            raw.where(part).select(F.substring(F.to_json(F.struct("id", "type")), 1, 9)).write.mode("append").text(folder)
+        ingest.ingest_works(spark, f"{landing}/part=*", out, mark, rejects=rejects)
+    if ingest.ingest_works(spark, f"{landing}/part=*", out, mark, rejects=rejects):
+        raise RuntimeError("a run without new files added rows")
     return tables.read_works(spark, out)
 
 

@@ -79,6 +79,42 @@ def test_changed_text_or_model_is_encoded_again(spark, log, fresh):
     assert len(encoded(log)) == 6
 
 
+def test_one_load_per_worker_over_all_waves(spark, log, fresh):
+    waves = [F.col("id") == f"W{i}" for i in range(1, 5)]
+    embed.embed_corpus(corpus(spark, 8).repartition(1), fresh("emb"), pid_factory(str(log)), "m", 2, waves=waves)
+    loads = [f.name.split("-")[1] for f in log.glob("load-*")]
+    assert len(loads) == len(set(loads)) > 0
+
+
+def pid_factory(log):
+    """An encoder that notes the process of every load."""
+    def load():
+        import os
+        import uuid
+        open(os.path.join(log, f"load-{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+    return load
+
+
+def test_current_vectors_are_those_of_the_present_text(spark, log, fresh):
+    path = fresh("emb")
+    embed.embed_corpus(corpus(spark, 3), path, factory(str(log)), "m", 2)
+    now = corpus(spark, 3, "!")
+    embed.embed_corpus(now, path, factory(str(log)), "m", 2)
+    stored = embed.stored_embeddings(spark, path)
+    assert stored.count() == 6
+    assert sorted(r.id for r in embed.current_embeddings(now, stored, "m").collect()) == ["W1", "W2", "W3"]
+
+
+def test_texts_are_not_shuffled_to_find_what_is_missing(spark, log, fresh):
+    path = fresh("emb")
+    embed.embed_corpus(corpus(spark, 3), path, factory(str(log)), "m", 2)
+    pending = embed.pending_inputs(corpus(spark, 4), embed.stored_embeddings(spark, path), "m")
+    assert pending.count() == 1
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_nothing_to_embed_is_an_error(spark, log, fresh):
     w = works(spark, [dict(id="1", abstract=" ", language="en"), dict(id="2", abstract="x", language="ru")])
     with pytest.raises(ValueError):

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import json
+import shutil
+from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from helpers import preprints, raw, works
@@ -144,3 +147,48 @@ def test_catalogue_document_is_json_of_the_expected_shape(spark, fresh):
 def test_scratch_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "x").startswith(folder)
+
+
+def land(spark, folder, *rows):
+    raw(spark, list(rows)).write.mode("append").json(folder)
+
+
+def test_files_from_long_ago_are_ingested(spark, fresh):
+    landing, out, mark = fresh("landing"), fresh("out"), fresh("mark")
+    land(spark, landing, dict(id="a", publication_year=2020))
+    assert ingest.ingest_works(spark, landing, out, mark) == 1
+    land(spark, fresh("old"), dict(id="b", publication_year=2020))
+    tables.set_file_times(spark, fresh("old"), datetime(1999, 1, 1, tzinfo=timezone.utc))
+    for f in Path(fresh("old")).glob("part-*"):
+        shutil.copy2(f, landing)
+    assert ingest.ingest_works(spark, landing, out, mark) == 1
+    assert {r.id for r in tables.read_works(spark, out).collect()} == {"a", "b"}
+
+
+def test_rows_added_are_counted_beyond_a_hundred_batches(spark, fresh):
+    landing, out, mark = Path(fresh("landing")), fresh("out"), fresh("mark")
+    landing.mkdir()
+    for i in range(104):
+        (landing / f"{i}.json").write_text('{"id": "W%d", "publication_year": 2020}' % i)
+    assert ingest.ingest_works(spark, str(landing), out, mark, files_per_batch=1) == 104
+
+
+def test_a_trial_run_stops_and_the_next_one_goes_on(spark, fresh):
+    landing, out, mark = Path(fresh("landing")), fresh("out"), fresh("mark")
+    landing.mkdir()
+    for i in range(40):
+        (landing / f"{i}.json").write_text('{"id": "W%d", "publication_year": 2020}' % i)
+    first = ingest.ingest_works(spark, str(landing), out, mark, files_per_batch=1, stop_after=3)
+    assert 3 <= first < 40
+    assert first + ingest.ingest_works(spark, str(landing), out, mark) == 40
+
+
+def test_unreadable_records_go_to_a_side_table_or_stop_the_run(spark, fresh):
+    landing, out, rejects = Path(fresh("landing")), fresh("out"), fresh("rejects")
+    landing.mkdir()
+    (landing / "x.json").write_text('{"id": "W1", "publication_year": 2020}\n{"id": "W2", "publica\n')
+    assert ingest.ingest_works(spark, str(landing), out, fresh("m1"), rejects=rejects) == 1
+    assert [r.id for r in tables.read_works(spark, out).collect()] == ["W1"]
+    assert [r.record for r in spark.read.parquet(rejects).collect()] == ['{"id": "W2", "publica']
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        ingest.ingest_works(spark, str(landing), fresh("out2"), fresh("m2"))

@@ -18,6 +18,7 @@ from trendloom.functions.arrays import bind
 from trendloom.functions.text import strip
 from trendloom.operators.filters import embeddable
 from trendloom.schemas import EMBEDDING_DIM
+from trendloom.session import materialize
 from trendloom.sources.tables import exists
 
 # Model input convention and batch sizes.
@@ -56,16 +57,18 @@ def l2_normalize(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def embed(texts: DataFrame, encoder_factory: Callable[[], Encoder], dim: int = EMBEDDING_DIM,
-          batch_size: int = BATCH_SIZE, normalize: bool = True) -> DataFrame:
+          batch_size: int = BATCH_SIZE, normalize: bool = True, model: str | None = None) -> DataFrame:
     """Embed ``(id, text, ...)``; other columns pass through, ``text`` is replaced by ``embedding``.
 
     Rows stream through the worker in Arrow batches and the model sees ``batch_size`` texts at a
-    time. Tasks that share a worker process share its encoder.
+    time. A worker process holds one encoder, that of ``model``: tasks and later calls with the same
+    name share it, another name takes its place.
     """
     kept = [f for f in texts.schema.fields if f.name != "text"]
     schema = T.StructType(kept + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
     names = [f.name for f in kept]
-    job = f"trendloom-encoder-{uuid.uuid4().hex}"
+    name = model or uuid.uuid4().hex
+    slot = "trendloom-encoder"
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import sys
@@ -75,9 +78,11 @@ def embed(texts: DataFrame, encoder_factory: Callable[[], Encoder], dim: int = E
         for pdf in batches:
             if pdf.empty:
                 continue
-            if job not in sys.modules:                 # lives as long as the worker process
-                sys.modules[job] = encoder_factory()
-            encoder, text = sys.modules[job], pdf["text"].tolist()
+            held = sys.modules.get(slot)               # lives as long as the worker process
+            if held is None or held[0] != name:
+                sys.modules.pop(slot, None)            # the old model goes before the new one comes
+                held = sys.modules[slot] = (name, encoder_factory())
+            encoder, text = held[1], pdf["text"].tolist()
             vectors = np.concatenate([
                 np.asarray(encoder(text[i:i + batch_size]), dtype="float64")
                 for i in range(0, len(text), batch_size)])
@@ -99,8 +104,13 @@ def pending_inputs(works: DataFrame, done: DataFrame | None, model: str,
         "text_hash": F.sha2("text", 256), "model": F.lit(model)})
     if done is None:
         return inputs
-    return inputs.join(done.select("id", "text_hash", "model"),
-                       ["id", "text_hash", "model"], "left_anti")
+    # Ids and hashes alone decide what is missing; the stored answer has a known size, so the texts
+    # are only shuffled where it is too large to send around.
+    missing = materialize(
+        inputs.select("id", "text_hash").join(
+            done.where(F.col("model") == model).select("id", "text_hash"), ["id", "text_hash"], "left_anti"),
+        "embed-missing")
+    return inputs.join(missing.distinct(), ["id", "text_hash"], "left_semi")
 
 
 def stored_embeddings(spark: SparkSession, path: str) -> DataFrame | None:
@@ -112,6 +122,14 @@ def stored_embeddings(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
+def current_embeddings(works: DataFrame, stored: DataFrame, model: str, separator: str = SEPARATOR) -> DataFrame:
+    """One vector per work that can be embedded: the stored one of its present text. Vectors of earlier texts
+    stay in the table and are left out here."""
+    now = embedding_inputs(works, separator).select("id", F.sha2("text", 256).alias("text_hash"))
+    return stored.where(F.col("model") == model).join(now.distinct(), ["id", "text_hash"], "left_semi") \
+        .dropDuplicates(["id", "text_hash"])
+
+
 def embed_corpus(works: DataFrame, path: str, encoder_factory: Callable[[], Encoder], model: str,
                  dim: int = EMBEDDING_DIM, separator: str = SEPARATOR,
                  waves: Sequence[Column] = (), chunk_size: int = CHUNK_SIZE,
@@ -125,12 +143,13 @@ def embed_corpus(works: DataFrame, path: str, encoder_factory: Callable[[], Enco
     hold at most ``chunk_size`` rows.
     """
     spark = works.sparkSession
+    job = f"{model}/{uuid.uuid4().hex}"               # one load per worker for all waves of this run
     inputs = embedding_inputs(works, separator)
     if inputs.isEmpty():
         raise ValueError("no work with a non-blank abstract in English: nothing to embed")
     for part in [works.where(wave) for wave in waves] + [works]:
         pending = pending_inputs(part, stored_embeddings(spark, path), model, separator)
-        vectors = embed(pending, encoder_factory, dim, batch_size)
+        vectors = embed(pending, encoder_factory, dim, batch_size, model=job)
         vectors.write.mode("append").option("compression", "zstd") \
             .option("maxRecordsPerFile", chunk_size).parquet(path)
     return inputs.count()

@@ -1,6 +1,8 @@
 """Stored tables: works by year folder, preprints by set folder, raw landing files."""
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,14 @@ def has_parquet(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def set_file_times(spark: SparkSession, path: str, when: datetime) -> None:
+    """Give every file under a folder a modification time, as files copied from an archive have."""
+    fs, target = _locate(spark, path)
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        fs.setTimes(files.next().getPath(), int(when.timestamp() * 1000), -1)
+
+
 def read_works(spark: SparkSession, path: str) -> DataFrame:
     """Works from one file or a folder of year folders, with the declared schema.
 

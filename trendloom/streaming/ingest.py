@@ -10,45 +10,89 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from trendloom.operators.normalize import preprints_from_oai, works_from_raw
 from trendloom.operators.quality import gap_of
 from trendloom.schemas import RAW_PREPRINT, RAW_WORK
 from trendloom.sources.sinks import PREPRINT_ROWS, WORK_ROWS
+from trendloom.sources.tables import has_parquet
+
+
+# A landed file is never too old: beyond this age the source would skip it without a word.
+MAX_FILE_AGE = "36500d"
+BAD_RECORD = "_corrupt_record"
+
+
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a stored table, from its footers; 0 when nothing is stored."""
+    return spark.read.parquet(path).count() if has_parquet(spark, path) else 0
+
+
+def _run(query: StreamingQuery, stop_after: int | None) -> None:
+    """Wait for a stream to use up what has landed, or stop it between batches once about
+    ``stop_after`` rows were read; a later run goes on from there."""
+    if stop_after is None:
+        query.awaitTermination()
+        return
+    read: dict[int, int] = {}                    # by batch: reports are kept for the last 100 only
+    while not query.awaitTermination(0.1):
+        read |= {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+        if sum(read.values()) >= stop_after:
+            query.stop()
+            return
 
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Callable[[DataFrame], DataFrame],
            out: str, checkpoint: str, folder: str, rows: int, source: str = "json",
-           files_per_batch: int | None = None, **options: str) -> int:
-    """Bring every file that landed since the last run into ``out``; returns the rows added."""
-    stream = spark.readStream.format(source).schema(schema).options(**options)
-    if files_per_batch:
-        stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    query = (
-        shape(stream.load(landing)).writeStream.format("parquet")
-        .partitionBy(folder).option("compression", "zstd").option("maxRecordsPerFile", rows)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
-    )
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+           files_per_batch: int | None = None, rejects: str | None = None,
+           stop_after: int | None = None, **options: str) -> int:
+    """Bring every file that landed since the last run into ``out``; returns the rows added.
+
+    Rows are counted in the stored table. An unreadable record stops the run, unless ``rejects`` names a
+    side table: such records then go there, as text beside what could be read of them, in a stream with a position of its own, and all
+    others into ``out``. ``stop_after`` ends a trial run after about that many input rows.
+    """
+    def stream(mode: str, fields: T.StructType) -> DataFrame:
+        reader = spark.readStream.format(source).schema(fields).option("maxFileAge", MAX_FILE_AGE) \
+            .option("mode", mode).option("columnNameOfCorruptRecord", BAD_RECORD).options(**options)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.load(landing)
+
+    def run(df: DataFrame, path: str, mark: str, *folders: str) -> int:
+        before = stored_rows(spark, path)
+        writer = df.writeStream.format("parquet").option("compression", "zstd").option("maxRecordsPerFile", rows)
+        writer = writer.partitionBy(*folders) if folders else writer
+        _run(writer.option("checkpointLocation", mark).trigger(availableNow=True).start(path), stop_after)
+        return stored_rows(spark, path) - before
+    if rejects is None:
+        return run(shape(stream("FAILFAST", schema)), out, checkpoint, folder)
+    with_bad = stream("PERMISSIVE", T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())]))
+    bad = with_bad.where(F.col(BAD_RECORD).isNotNull()).withColumnRenamed(BAD_RECORD, "record")
+    run(bad, rejects, f"{checkpoint}-rejects")
+    good = with_bad.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+    return run(shape(good), out, checkpoint, folder)
 
 
 def ingest_works(spark: SparkSession, landing: str, out: str, checkpoint: str,
-                 files_per_batch: int | None = None) -> int:
+                 files_per_batch: int | None = None, rejects: str | None = None,
+                 stop_after: int | None = None) -> int:
     """Landed work records to the works table in year folders."""
     def shape(raw: DataFrame) -> DataFrame:
         return works_from_raw(raw).withColumn("year", F.col("publication_year"))
     return ingest(spark, landing, RAW_WORK, shape, out, checkpoint, "year", WORK_ROWS,
-                  files_per_batch=files_per_batch)
+                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after)
 
 
 def ingest_preprints(spark: SparkSession, landing: str, out: str, checkpoint: str, oai_set: str,
-                     files_per_batch: int | None = None) -> int:
+                     files_per_batch: int | None = None, rejects: str | None = None,
+                     stop_after: int | None = None) -> int:
     """Landed protocol pages of one set to the preprint table in set folders."""
     def shape(records: DataFrame) -> DataFrame:
         return preprints_from_oai(records).withColumn("set", F.lit(oai_set))
-    return ingest(spark, landing, RAW_PREPRINT, shape, out, checkpoint, "set", PREPRINT_ROWS,
-                  source="xml", files_per_batch=files_per_batch, rowTag="record")
+    return ingest(spark, landing, RAW_PREPRINT, shape, out, checkpoint, "set", PREPRINT_ROWS, source="xml",
+                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after, rowTag="record")
 
 
 def ingest_progress(stored: DataFrame, expected: DataFrame, limit: float = 0.02) -> DataFrame:
