@@ -140,7 +140,8 @@ class Matcher:
 def blocks_of(items: DataFrame, id_col: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size; the driver holds one block at a time."""
     block, size = [], 0
-    for row in items.select(F.col(id_col).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null").toLocalIterator():
+    listed = items.select(F.col(id_col).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null")
+    for row in listed.distinct().toLocalIterator():
         block.append((row["i"], row["t"]))
         size += len(row["t"])
         if size >= block_chars:

@@ -41,7 +41,7 @@ from trendloom.session import materialize
 DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share, level by level
 REGION = 24                  # classes up to which a region gives all its pairs
 MISS = 2e-5
-_KEEP_WORDS = 500_000        # words whose hash a worker keeps
+_KEEP_WORDS = 250_000        # words whose hash a worker keeps
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
 
 _words: dict[bytes, int] = {}
