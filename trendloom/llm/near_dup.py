@@ -8,9 +8,12 @@ form a region. Regions of at most ``region`` classes give all their pairs as can
 ``region - 1`` per class and tree, so the number of candidates is linear in the rows). A larger
 region is gone through by longer common prefixes instead: every class is compared with the region's
 first and last class, and the region is cut again by the next minhashes of the same tree, to the depth
-at which it is small or the signature ends. Depth thus follows the data region by region. Nothing is
-dropped: a large region stands for very similar texts, whose classes meet through its two centres,
-through the smaller regions inside it, and again in every other tree, which has other regions.
+at which it is small or the signature ends. Depth thus follows the data region by region. No class is
+dropped: the classes of a large region are very similar, and meet through its two centres, through the
+smaller regions inside it, and again in every other tree, which has other regions. What is still apart
+after that is compared with further classes of the region, drawn anew in every tree and depth; pairs
+already in one group need no look, so this costs little where it finds nothing. It is a search, not a
+proof: a class that links with only very few classes of a region of hundreds could stay alone.
 
 The number of trees comes from the threshold, so that a pair just at it misses every region of the
 first depth with a probability below ``miss``. Candidates whose signatures already differ by far more
@@ -40,6 +43,7 @@ from trendloom.session import materialize
 
 DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share, level by level
 REGION = 24                  # classes up to which a region gives all its pairs
+CENTRES = 4                  # further classes of a large region that each of its classes meets
 MISS = 2e-5
 _KEEP_WORDS = 250_000        # words whose hash a worker keeps
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
@@ -128,9 +132,10 @@ def _pair(left: Column, right: Column) -> Column:
         F.least(left, right).alias("a"), F.greatest(left, right).alias("b")))
 
 
-def candidates(classes: DataFrame, region: int = REGION) -> DataFrame:
-    """Distinct pairs ``a < b`` of classes that share a region of the forest."""
-    found, rest = None, classes
+def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` of classes that share a region of the forest, and the members
+    ``class, tree, key`` of the large regions."""
+    found, rest, crowded = None, classes, None
     for level in range(len(DEPTHS)):
         keyed = rest.select("class", F.posexplode(f"keys{level}").alias("tree", "key")) if level == 0 else \
             rest.select("class", "tree", F.get(f"keys{level}", F.col("tree")).alias("key"))
@@ -146,12 +151,30 @@ def candidates(classes: DataFrame, region: int = REGION) -> DataFrame:
         large = members.where(F.col("n") > region)
         stars = large.select(F.explode(F.array_compact(F.array(
             _pair(F.col("class"), F.col("first")), _pair(F.col("class"), F.col("last"))))).alias("p"))
+        named = large.select("class", F.lit(level).alias("level"), "tree", "key")
+        crowded = named if crowded is None else crowded.unionByName(named)
         level_pairs = within.unionByName(stars).select("p.a", "p.b")
         found = level_pairs if found is None else found.unionByName(level_pairs)
         if level + 1 < len(DEPTHS):
             rest = large.select("class", "tree").join(
                 classes.select("class", f"keys{level + 1}"), "class")
-    return found.distinct()
+    return found.distinct(), crowded
+
+
+def further_pairs(crowded: DataFrame, groups: DataFrame, tried: DataFrame, centres: int = CENTRES) -> DataFrame:
+    """Pairs within large regions that are not in one group yet and were not tried: every class with
+    ``centres`` classes of its region, drawn by a hash that differs from region to region."""
+    region = ["level", "tree", "key"]
+    drawn = materialize(crowded.groupBy(*region).agg(F.array_distinct(F.array(*[
+        F.min_by("class", F.xxhash64("class", "level", "tree", F.lit(n))) for n in range(centres)])).alias("centres")),
+        "forest-centres")
+    label = groups.select(F.col("id").alias("class"), "component")
+    other = groups.select(F.col("id").alias("centre"), F.col("component").alias("other"))
+    pairs = crowded.join(drawn, region).select("class", F.explode("centres").alias("centre")).where("class <> centre") \
+        .join(label, "class", "left").join(other, "centre", "left") \
+        .where(F.coalesce("component", "class") != F.coalesce("other", "centre"))
+    return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct() \
+        .join(tried, ["a", "b"], "left_anti")
 
 
 def _estimate_floor(threshold: float, size: int) -> float:
@@ -213,10 +236,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     classes = materialize(
         rows.where(F.col("n_shingles") > 0).dropDuplicates(["set_hash"])
         .select(F.col("set_hash").alias("class"), "text_hash", "n_shingles", "sig", *keys), "forest-classes")
-    close = materialize(close_pairs(candidates(classes, region), classes, threshold,
-                                    trees * DEPTHS[-1]), "forest-close")
+    pairs, crowded = candidates(classes, region)
+    size = trees * DEPTHS[-1]
+    close = materialize(close_pairs(pairs, classes, threshold, size), "forest-close")
     links = materialize(confirmed(close, classes, docs, width, threshold, text), "forest-links")
     groups = components(links)
+    further = materialize(close_pairs(further_pairs(crowded, groups, close), classes, threshold, size), "forest-further")
+    if not further.isEmpty():
+        more = materialize(confirmed(further, classes, docs, width, threshold, text), "forest-links")
+        links = links.unionByName(more)
+        groups = components(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id") \
         .agg(F.count(F.lit(1)).alias("n_links"))
     linked = groups.join(ends, "id").withColumnRenamed("id", "set_hash")
