@@ -121,6 +121,20 @@ def test_sizes_stay_exact_when_one_key_holds_a_third_of_the_rows(spark):
         assert len(out) == n and len({r.row for r in out}) == n
 
 
+@pytest.mark.parametrize("stratum", [None, "publication_year"])
+def test_copies_of_one_key_are_drawn_alike_from_any_layout(spark, stratum):
+    many = spark.range(6000).select(
+        F.when(F.col("id") < 5000, "hot").otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit(2010).cast("smallint").alias("publication_year"), (F.col("id") / 2).cast("int").alias("row"))
+    draw = (lambda df: sampling.stratified_sample(df, 4000)) if stratum else (lambda df: sampling.uniform_sample(df, 4000))
+    one, seven = (Counter((r.id, r.row) for r in draw(many.repartition(p)).collect()) for p in (1, 7))
+    assert one == seven and one.total() == 4000 and max(one.values()) == 2
+    held = Counter((r.id, r.row) for r in many.collect())
+    assert all(n <= held[k] for k, n in one.items())
+    plan = draw(many)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_quotas_round_half_to_even(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [("c",)] * 2, "s string")
     quotas = {r.s: r.quota for r in sampling.stratum_quotas(df, "s", 5).collect()}

@@ -3,7 +3,9 @@
 A row's place in the sample order is the MD5 of key, stratum and seed, so any engine can repeat
 the draw. Instead of sorting everything, a histogram over the leading hex digits finds the one
 bucket in which each stratum's quota ends, only the keys of that bucket are ranked, and the wide
-rows are then picked by a plain filter.
+rows are then picked by a plain filter. Rows that share the key at which a quota ends are drawn the same
+way once more, in the order of a digest of the whole row; rows equal in every column are one row
+with a count. So no task ever holds the copies of a key, and the same rows come from any layout.
 """
 from __future__ import annotations
 
@@ -16,7 +18,6 @@ from trendloom.operators.ranking import with_row_index
 from trendloom.session import materialize
 
 SAMPLE_SEED = 11
-_BROADCAST_KEYS = 100_000
 
 
 def _bucket(digits: int) -> Column:
@@ -38,11 +39,11 @@ def stratum_quotas(works: DataFrame, stratum: str, rows: int) -> DataFrame:
     return sizes.withColumn("quota", _proportional(rows)(F.col("size"), total))
 
 
-def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Column],
+def _cutoffs(keyed: DataFrame, key: str, with_quota: Callable[[DataFrame], DataFrame],
              digits: int) -> DataFrame:
     """Per stratum the last hash and key that are drawn, and how many copies of that key.
 
-    ``keyed`` holds ``__stratum``, the key and ``__hash``. Both windows run over the histogram:
+    ``with_quota`` adds ``quota`` to rows with ``__stratum, size, total``. ``keyed`` holds ``__stratum``, the key and ``__hash``. Both windows run over the histogram:
     at most ``16**digits`` rows per stratum.
     """
     stratum = Window.partitionBy("__stratum")
@@ -52,9 +53,9 @@ def _cutoffs(keyed: DataFrame, key: str, quota: Callable[[Column, Column], Colum
         .agg(F.count(F.lit(1)).alias("n")), "sample-histogram")
     total = histogram.agg(F.sum("n")).scalar()
     last_bucket = (
-        histogram.withColumns({"size": F.sum("n").over(stratum), "total": total,
-                               "before": F.coalesce(F.sum("n").over(so_far), F.lit(0))})
-        .withColumn("quota", quota(F.col("size"), F.col("total")))
+        with_quota(histogram.withColumns({
+            "size": F.sum("n").over(stratum), "total": total,
+            "before": F.coalesce(F.sum("n").over(so_far), F.lit(0))}))
         .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
         .select(F.col("__stratum").alias("__s"), F.col("bucket").alias("__b"),
                 (F.col("quota") - F.col("before")).alias("rest"))
@@ -87,7 +88,8 @@ def _draw(works: DataFrame, stratum: str | None, key: str,
         parts.insert(1, F.col(stratum).cast("string"))
     hashed = F.md5(F.concat_ws("|", *parts))
     keyed = works.select(group.alias("__stratum"), key, hashed.alias("__hash"))
-    cutoffs = materialize(_cutoffs(keyed, key, quota, digits), "sample-cutoffs")
+    cutoffs = materialize(_cutoffs(keyed, key, lambda h: h.withColumn(
+        "quota", quota(F.col("size"), F.col("total"))), digits), "sample-cutoffs")
     split_copies = not cutoffs.where(F.col("copies") > F.col("__keep")).isEmpty()
     located = works.withColumn("__hash", hashed).withColumn("__bucket", _bucket(digits))
     if stratum:            # one row per stratum; Spark checks the stored size before it broadcasts
@@ -104,13 +106,20 @@ def _draw(works: DataFrame, stratum: str | None, key: str,
     at = F.struct(*order) == F.struct(*cut)
     if not split_copies:
         return located.where(below | at).select(*works.columns)
-    # Several rows share the last key and only some fit: take that many of them. The constant
-    # bound lets every map task cut its own copies before the shuffle.
-    top = cutoffs.agg(F.max("__keep")).first()[0]
-    copy = F.row_number().over(Window.partitionBy("__s").orderBy("__hash"))
-    some = located.where(at).withColumn("__copy", copy).where(F.col("__copy") <= top) \
-        .where(F.col("__copy") <= F.col("__keep"))
-    return located.where(below).select(*works.columns).unionByName(some.select(*works.columns))
+    # Several rows share the last key and only some fit: draw among them by their digests.
+    names = works.columns
+    tied = located.where(at).withColumn("__row", F.md5(F.to_json(F.struct(*names))))
+    keep = cutoffs.select(F.col("__s").alias("__k"), F.col("__keep").cast("bigint").alias("quota"))
+    ends = materialize(_cutoffs(
+        tied.select(F.col("__s").alias("__stratum"), "__row", F.col("__row").alias("__hash")), "__row",
+        lambda h: h.join(keep, h["__stratum"].eqNullSafe(keep["__k"])).drop("__k"), digits), "sample-ends") \
+        .select(F.col("__s").alias("__e"), F.col("__cut_key").alias("__last"), F.col("__keep").alias("__room"))
+    placed = tied.join(ends, F.col("__s").eqNullSafe(F.col("__e")))
+    equal = placed.where(F.col("__row") == F.col("__last")).groupBy("__e", "__room") \
+        .agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*names)).alias("row"))
+    some = equal.select("row", F.explode(F.sequence(F.lit(1), F.least("n", "__room").cast("int")))).select("row.*")
+    before = placed.where(F.col("__row") < F.col("__last")).select(*names)
+    return located.where(below).select(*names).unionByName(before).unionByName(some)
 
 
 def stratified_sample(works: DataFrame, rows: int = 40_000, stratum: str = "publication_year",
@@ -136,7 +145,5 @@ def systematic_sample(works: DataFrame, limit: int = 4000, key: str = "id") -> D
     step = F.greatest(F.lit(1), F.floor(total / F.lit(limit)))
     picked = index.where(
         (F.pmod(F.col("row_index"), step) == 0) & (F.col("row_index") < step * F.lit(limit)))
-    picked = picked.select(key)
-    if limit <= _BROADCAST_KEYS:
-        picked = F.broadcast(picked)
-    return works.join(picked, key, "left_semi")
+    # stored, so Spark chooses the join by the true size of the picked keys
+    return works.join(materialize(picked.select(key), "sample-keys"), key, "left_semi")

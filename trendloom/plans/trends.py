@@ -21,8 +21,6 @@ CATALOGUE_TOPICS = 40
 NO_SHARE = 0.01
 SUMMARY = "Группа работ по теме «%s»."
 
-_MAX_BROADCAST_TOPICS = 10_000
-
 
 def with_topic(works: DataFrame) -> DataFrame:
     """Works that have a topic id and a year, with ``topic_id``, ``topic_name``, ``year``."""
@@ -195,10 +193,8 @@ def trend_cards(works: DataFrame, top: int = TOP_CARDS, min_works: int = MIN_WOR
     winners = materialize(
         metrics.orderBy(F.desc("normalized_growth"), "topic_id").limit(top), "winners")
 
-    def per_winner(df: DataFrame) -> DataFrame:      # at most ``top`` rows
-        return F.broadcast(df) if top <= _MAX_BROADCAST_TOPICS else df
     hot = works.withColumn("topic_id", F.col("primary_topic.id")) \
-        .join(per_winner(winners.select("topic_id")), "topic_id", "left_semi").drop("topic_id")
+        .join(winners.select("topic_id"), "topic_id", "left_semi").drop("topic_id")
 
     named = topic_name_counts(hot)
     spread = name_spread(named)
@@ -215,7 +211,7 @@ def trend_cards(works: DataFrame, top: int = TOP_CARDS, min_works: int = MIN_WOR
     case = F.get("best", F.lit(0))
     joined = winners
     for extra in (spread, lists, best):
-        joined = joined.join(per_winner(extra), "topic_id", "left")
+        joined = joined.join(extra, "topic_id", "left")
     cards = joined.select(
         short_id(F.col("topic_id")).alias("id"), F.col("topic_id"),
         F.col("name").alias("title"),
