@@ -85,7 +85,7 @@ def entries_of(text: str) -> set[str]:
 class Model:
     """``lexicon`` numbers the entries; weights are those of the classifier."""
     lexicon: dict[str, int] = field(default_factory=dict)
-    bias: float = 0.0
+    bias: float = float(np.log(PRIOR / (1 - PRIOR)))
     entry_weights: list[float] = field(default_factory=list)
     vote_weights: list[float] = field(default_factory=list)
     accuracy: list[float] = field(default_factory=list)
@@ -256,6 +256,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             yield pd.DataFrame([evidence(t, lexicon, known) for t in batch], columns=["votes", "entries"])
     votes = materialize(rows.select("hash", voted("text").alias("v")).select("hash", "v.*"), "toxic-votes")
     counted = votes.groupBy("votes").count().collect()        # at most the number of patterns
+    if not counted:
+        return Model(lexicon)
     labelled_votes = votes.dropDuplicates(["hash"]).join(sample, "hash").groupBy("votes", "toxic").count().collect()
     posterior, accuracy, correlation = label_model(
         {r["votes"]: r["count"] for r in counted},
@@ -265,8 +267,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     drawn = votes.where(_sampled(F.struct("hash", "votes"), share) | F.col("hash").isin(wanted)) \
         .dropDuplicates(["hash"]).select("votes", "entries").collect()
     rows_ = [(r["votes"], r["entries"]) for r in drawn]
-    if not rows_:
-        return Model()
     targets = np.array([posterior[v] for v, _ in rows_], np.float32)
     w = fit_linear(rows_, targets, len(lexicon)).tolist()
     return Model(lexicon, w[0], w[1:1 + len(lexicon)], w[1 + len(lexicon):], accuracy, correlation)
