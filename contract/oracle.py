@@ -169,7 +169,8 @@ ORACLE: dict[str, str] = {
   FROM e JOIN w ON w.year = e.year GROUP BY e.year, e.expected""", SERIES_SQL),
     "rows_per_file": " UNION ALL ".join(
         f"SELECT '{n}.parquet' AS path, count(*) AS rows FROM {n}"
-        for n in ("documents", "lineitem", "orders", "events", "embeddings", "part")),
+        for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")),
     "sink_roundtrip": _w(_flat()),
     "shape_rules": _w(""", v AS (SELECT count(*) FILTER (NOT coalesce(title <> '', false)) AS a,
   count(*) FILTER (NOT (year > 2000 AND year < 2022)) AS b,
@@ -249,10 +250,12 @@ ORACLE: dict[str, str] = {
     "table_summary": _p(""" SELECT 'works' AS tbl, count(*) AS n, min(year) AS year_min, max(year) AS year_max,
   round(count(abstract) / CAST(count(*) AS DOUBLE), 6) AS share_abstract,
   round(count(doi) / CAST(count(*) AS DOUBLE), 6) AS share_doi,
-  round(count(arxiv_id) / CAST(count(*) AS DOUBLE), 6) AS share_arxiv_id FROM w
+  round(count(arxiv_id) / CAST(count(*) AS DOUBLE), 6) AS share_arxiv_id,
+  (SELECT string_agg(type || ': ' || n, ', ' ORDER BY n DESC, type) FROM (SELECT type, count(*) AS n FROM w
+    GROUP BY type ORDER BY n DESC, type LIMIT 5)) AS types FROM w
   UNION ALL SELECT 'preprints', count(*), min(CAST(substring(created, 1, 4) AS INTEGER)),
   max(CAST(substring(created, 1, 4) AS INTEGER)), round(count(text) / CAST(count(*) AS DOUBLE), 6),
-  round(count(doi) / CAST(count(*) AS DOUBLE), 6), NULL FROM p"""),
+  round(count(doi) / CAST(count(*) AS DOUBLE), 6), NULL, NULL FROM p"""),
     "dup_counts": _w(f""" SELECT 'id' AS key, count(*) - count(DISTINCT coalesce({_LOST}, chr(1))) AS duplicates FROM w
   UNION ALL SELECT 'doi', count(doi) - count(DISTINCT doi) FROM w"""),
     "coverage_gap": _w(""" SELECT e.year, count(*) AS actual, e.expected,

@@ -17,6 +17,8 @@ from trendloom.streaming import ingest
 
 SPEC = SliceSpec(subfield_ids=(1702,))
 MIN_WORKS = 40
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
 LETTERS = 26
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -60,6 +62,10 @@ def preprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_preprints(spark, stored_preprints(spark, sf_dir))
 
 
+def preprint_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_preprint_keys(spark, stored_preprints(spark, sf_dir))
+
+
 def flat_works(works: DataFrame) -> DataFrame:
     """All columns of the works table without nested types, comparable in any engine."""
     def joined(name: str):
@@ -181,8 +187,7 @@ def manifest_years(spark, sf_dir):
 
 
 def rows_per_file(spark, sf_dir):
-    names = ("documents", "lineitem", "orders", "events", "embeddings", "part")
-    frames = [quality.rows_per_file(table(spark, sf_dir, name)) for name in names]
+    frames = [quality.rows_per_file(table(spark, sf_dir, name)) for name in TABLES]
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
@@ -358,12 +363,12 @@ def preprints_by_year(spark, sf_dir):
 
 
 def corpus_totals(spark, sf_dir):
-    return counts.corpus_totals(works_v(spark, sf_dir), preprints(spark, sf_dir), shown=100) \
+    return counts.corpus_totals(works_v(spark, sf_dir), preprint_keys(spark, sf_dir), shown=100) \
         .withColumn("value", F.round("value", 6))
 
 
 def table_summary(spark, sf_dir):
-    works = counts.works_summary(works_v(spark, sf_dir)).withColumn("tbl", F.lit("works"))
+    works = counts.works_summary(works_v(spark, sf_dir), types=5).withColumn("tbl", F.lit("works"))
     pre = counts.preprints_summary(preprints(spark, sf_dir)).withColumn("tbl", F.lit("preprints"))
     rows = works.unionByName(pre, allowMissingColumns=True)
     return rows.withColumns({c: F.round(c, 6) for c in rows.columns if c.startswith("share_")})
@@ -391,17 +396,17 @@ def gap_years(spark, sf_dir):
 
 
 def preprint_link(spark, sf_dir):
-    return quality.preprint_link(works_v(spark, sf_dir), preprints(spark, sf_dir))
+    return quality.preprint_link(works_v(spark, sf_dir), preprint_keys(spark, sf_dir))
 
 
 def linked_preprints(spark, sf_dir):
-    return quality.linked_preprints(works_v(spark, sf_dir), preprints(spark, sf_dir))
+    return quality.linked_preprints(works_v(spark, sf_dir), preprint_keys(spark, sf_dir))
 
 
 def acceptance(spark, sf_dir):
     works = works_v(spark, sf_dir)
     return quality.acceptance(
-        with_lost_ids(works), series_v(spark, sf_dir), preprints(spark, sf_dir),
+        with_lost_ids(works), series_v(spark, sf_dir), preprint_keys(spark, sf_dir),
         manifest=manifest_check(spark, sf_dir),
         sample=sampling.systematic_sample(works, 100), min_rows=500) \
         .withColumn("value", F.round("value", 6))

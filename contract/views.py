@@ -16,10 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a small table stored in few splits. A table with enough splits
-    is left alone, so nothing is shuffled at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    """Give every core a share of a table, however it is stored."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _select(df: DataFrame, columns: dict[str, str], schema) -> DataFrame:

@@ -192,3 +192,36 @@ def test_unreadable_records_go_to_a_side_table_or_stop_the_run(spark, fresh):
     assert [r.record for r in spark.read.parquet(rejects).collect()] == ['{"id": "W2", "publica']
     with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
         ingest.ingest_works(spark, str(landing), fresh("out2"), fresh("m2"))
+
+
+def test_a_year_filter_skips_folders(spark, fresh):
+    sinks.write_works(some_works(spark, 30), fresh("works"))
+    one = tables.read_works(spark, fresh("works")).where(F.col("publication_year") == 2011)
+    assert one.count() == 10
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan and "2011" in plan
+
+
+def test_preprint_keys_are_those_of_the_first_copies(spark, fresh):
+    rows = [dict(id="a", created="2020", updated="2", title="x"), dict(id="a", created="2019", updated="1", title="y"),
+            dict(id="b", created=None, updated=None), dict(id="c", created="2018", updated="1", title="z")]
+    df = preprints(spark, rows).withColumn("set", F.when(F.col("title") == "x", "cs").otherwise("math"))
+    sinks.write_preprints(df.unionByName(df), fresh("pre"))
+    keys = tables.read_preprint_keys(spark, fresh("pre"))
+    whole = tables.read_preprints(spark, fresh("pre"))
+    assert sorted(map(tuple, keys.collect()), key=str) == sorted(
+        map(tuple, whole.select("id", "created").collect()), key=str)
+    assert dict(keys.collect())["a"] == "2020"
+    schema = keys._jdf.queryExecution().executedPlan().toString()
+    assert "abstract" not in schema and "title" not in schema
+
+
+def test_no_temporary_folder_where_executors_are_separate(monkeypatch):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "local-cluster[2,1,1024]"})
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(Session())

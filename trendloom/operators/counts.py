@@ -153,14 +153,21 @@ def corpus_totals(works: DataFrame, preprints: DataFrame, shown: int | None = No
     return rows
 
 
-def works_summary(works: DataFrame) -> DataFrame:
-    """One row: size, year range and the shares of non-null abstract, DOI and preprint id."""
+def works_summary(works: DataFrame, types: int | None = None) -> DataFrame:
+    """One row: size, year range and the shares of non-null abstract, DOI and preprint id; with ``types``
+    also the counts of that many most frequent types, as text."""
     n = F.count(F.lit(1))
-    return works.agg(
+    summary = works.agg(
         n.alias("n"),
         F.min("publication_year").cast("int").alias("year_min"),
         F.max("publication_year").cast("int").alias("year_max"),
         *[ratio(F.count(c), n).alias(f"share_{c}") for c in ("abstract", "doi", "arxiv_id")])
+    if types is None:
+        return summary
+    frequent = works.groupBy("type").agg(n.alias("k")).orderBy(F.desc("k"), "type").limit(types)
+    listed = frequent.agg(F.sort_array(F.collect_list(F.struct((-F.col("k")).alias("order"), "type", "k"))).alias("t"))
+    text = F.array_join(F.transform("t", lambda x: F.concat_ws(": ", x["type"], x["k"].cast("string"))), ", ")
+    return summary.withColumn("types", listed.select(text).scalar())
 
 
 def preprints_summary(preprints: DataFrame) -> DataFrame:

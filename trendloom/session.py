@@ -1,6 +1,7 @@
 """Session defaults and the shared scratch folder used to cut lineage."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "") or ""):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="trendloom-")
     spark.conf.set(CHECKPOINT_DIR, folder)

@@ -45,12 +45,24 @@ def set_file_times(spark: SparkSession, path: str, when: datetime) -> None:
 def read_works(spark: SparkSession, path: str) -> DataFrame:
     """Works from one file or a folder of year folders, with the declared schema.
 
-    The folder column ``year`` repeats ``publication_year``: filters on the latter cannot skip
-    folders, so use ``read_works_year`` for a single year.
+    In year folders ``publication_year`` is read from the folder name, which repeats it, so a filter
+    on it skips folders.
     """
     if not has_parquet(spark, path):
         raise FileNotFoundError(f"no parquet files under {path}: collect the corpus first")
-    return spark.read.schema(WORKS).parquet(path).select(*WORKS.names)
+    if not _in_year_folders(spark, path):
+        return spark.read.schema(WORKS).parquet(path).select(*WORKS.names)
+    stored = [f for f in WORKS.fields if f.name != "publication_year"]
+    folder = T.StructField("year", WORKS["publication_year"].dataType)
+    return spark.read.schema(T.StructType([*stored, folder])).parquet(path) \
+        .withColumnRenamed("year", "publication_year").select(*WORKS.names)
+
+
+def _in_year_folders(spark: SparkSession, path: str) -> bool:
+    """Whether the works under a path lie in folders ``year=...``."""
+    fs, target = _locate(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    return any(n.startswith("year=") for n in names) and not any(n.endswith(".parquet") for n in names)
 
 
 def read_works_partitioned(spark: SparkSession, path: str) -> DataFrame:
@@ -68,15 +80,26 @@ def read_works_year(spark: SparkSession, path: str, year: int) -> DataFrame:
 
 
 def first_copies(stored: DataFrame) -> DataFrame:
-    """One row per preprint id: the first set by name, then the earliest content.
+    """One row per preprint id: the first set by name, then the earliest dates, then any content.
 
     The bound of one row lets each map task drop its own repeats before the shuffle.
     """
-    w = Window.partitionBy("id").orderBy("set", "updated", F.xxhash64("title", "abstract"))
+    w = Window.partitionBy("id").orderBy("set", "updated", "created", F.xxhash64("title", "abstract"))
     return stored.withColumn("__copy", F.row_number().over(w)) \
         .where(F.col("__copy") == 1).drop("__copy", "set")
 
 
+def read_preprint_keys(spark: SparkSession, path: str) -> DataFrame:
+    """``id, created`` of the rows of ``read_preprints``, from narrow columns alone: enough for counting
+    and linking, and repeats meet pre-aggregated."""
+    if not has_parquet(spark, path):
+        raise FileNotFoundError(f"no preprints under {path}")
+    schema = T.StructType([*(PREPRINTS[c] for c in ("id", "created", "updated")), T.StructField("set", T.StringType())])
+    first = F.min(F.struct("set", "updated", "created"))
+    return spark.read.schema(schema).parquet(path).groupBy("id").agg(first.alias("first")) \
+        .select("id", F.col("first.created").alias("created"))
+
+
 def read_preprints(spark: SparkSession, path: str) -> DataFrame:
     """All sets as one corpus without repeats."""
     if not has_parquet(spark, path):
