@@ -132,10 +132,11 @@ def _pair(left: Column, right: Column) -> Column:
         F.least(left, right).alias("a"), F.greatest(left, right).alias("b")))
 
 
-def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs ``a < b`` of classes that share a region of the forest, and the members
-    ``class, tree, key`` of the large regions."""
-    found, rest, crowded = None, classes, None
+def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` of classes that share a region of the forest; the pairs of small regions
+    inside large ones, which only matter where the centres left them apart; and the members
+    ``class, level, tree, key`` of the large regions."""
+    found, rest, crowded, inner = None, classes, None, None
     for level in range(len(DEPTHS)):
         keyed = rest.select("class", F.posexplode(f"keys{level}").alias("tree", "key")) if level == 0 else \
             rest.select("class", "tree", F.get(f"keys{level}", F.col("tree")).alias("key"))
@@ -144,26 +145,32 @@ def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, Dat
             .where(F.col("n") > 1)
         sizes = materialize(sizes, f"forest-regions-{level}")
         members = materialize(keyed.join(sizes, ["tree", "key"]), f"forest-members-{level}")
-        small = members.where(F.col("n") <= region).groupBy("tree", "key") \
+        bound = region if level == 0 else max(2, region // 3)
+        small = members.where(F.col("n") <= bound).groupBy("tree", "key") \
             .agg(F.sort_array(F.collect_list("class")).alias("classes"))
         within = small.select(F.explode(F.flatten(F.transform("classes", lambda x, i: F.transform(
-            F.slice("classes", i + 2, F.lit(region)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p"))
-        large = members.where(F.col("n") > region)
+            F.slice("classes", i + 2, F.lit(bound)), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p"))
+        large = members.where(F.col("n") > bound)
         stars = large.select(F.explode(F.array_compact(F.array(
             _pair(F.col("class"), F.col("first")), _pair(F.col("class"), F.col("last"))))).alias("p"))
         named = large.select("class", F.lit(level).alias("level"), "tree", "key")
         crowded = named if crowded is None else crowded.unionByName(named)
-        level_pairs = within.unionByName(stars).select("p.a", "p.b")
-        found = level_pairs if found is None else found.unionByName(level_pairs)
+        if level == 0:
+            found = within.unionByName(stars).select("p.a", "p.b")
+        else:
+            found = found.unionByName(stars.select("p.a", "p.b"))
+            inner = within.select("p.a", "p.b") if inner is None else inner.unionByName(within.select("p.a", "p.b"))
         if level + 1 < len(DEPTHS):
             rest = large.select("class", "tree").join(
                 classes.select("class", f"keys{level + 1}"), "class")
-    return found.distinct(), crowded
+    return found.distinct(), inner, crowded
 
 
-def further_pairs(crowded: DataFrame, groups: DataFrame, tried: DataFrame, centres: int = CENTRES) -> DataFrame:
-    """Pairs within large regions that are not in one group yet and were not tried: every class with
-    ``centres`` classes of its region, drawn by a hash that differs from region to region."""
+def further_pairs(inner: DataFrame, crowded: DataFrame, groups: DataFrame, tried: DataFrame,
+                  centres: int = CENTRES) -> DataFrame:
+    """Pairs within large regions that are not in one group yet and were not tried: those of the small
+    regions inside, and every class with ``centres`` classes of its region, drawn by a hash that differs
+    from region to region."""
     region = ["level", "tree", "key"]
     drawn = materialize(crowded.groupBy(*region).agg(F.array_distinct(F.array(*[
         F.min_by("class", F.xxhash64("class", "level", "tree", F.lit(n))) for n in range(centres)])).alias("centres")),
@@ -171,6 +178,7 @@ def further_pairs(crowded: DataFrame, groups: DataFrame, tried: DataFrame, centr
     label = groups.select(F.col("id").alias("class"), "component")
     other = groups.select(F.col("id").alias("centre"), F.col("component").alias("other"))
     pairs = crowded.join(drawn, region).select("class", F.explode("centres").alias("centre")).where("class <> centre") \
+        .unionByName(inner.select(F.col("a").alias("class"), F.col("b").alias("centre"))) \
         .join(label, "class", "left").join(other, "centre", "left") \
         .where(F.coalesce("component", "class") != F.coalesce("other", "centre"))
     return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct() \
@@ -229,19 +237,19 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
                     id_col: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links
-    of at least ``threshold``), ``n_links`` (links of its class to others) and ``kept``."""
+    of at least ``threshold``), ``n_links`` (links of its class that were looked at and confirmed) and ``kept``."""
     trees = trees_for(threshold[0] / threshold[1])
     rows = materialize(sketch(docs, width, trees, id_col, text), "forest-sketch")
     keys = [f"keys{i}" for i in range(len(DEPTHS))]
     classes = materialize(
         rows.where(F.col("n_shingles") > 0).dropDuplicates(["set_hash"])
         .select(F.col("set_hash").alias("class"), "text_hash", "n_shingles", "sig", *keys), "forest-classes")
-    pairs, crowded = candidates(classes, region)
+    pairs, inner, crowded = candidates(classes, region)
     size = trees * DEPTHS[-1]
     close = materialize(close_pairs(pairs, classes, threshold, size), "forest-close")
     links = materialize(confirmed(close, classes, docs, width, threshold, text), "forest-links")
     groups = components(links)
-    further = materialize(close_pairs(further_pairs(crowded, groups, close), classes, threshold, size), "forest-further")
+    further = materialize(close_pairs(further_pairs(inner, crowded, groups, close), classes, threshold, size), "forest-further")
     if not further.isEmpty():
         more = materialize(confirmed(further, classes, docs, width, threshold, text), "forest-links")
         links = links.unionByName(more)
