@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PYTHON_ONLY_WHITE = regex.compile("[\\x1c-\\x1f]")      # str.split cuts here, the vocabulary does not
 _CHUNK = regex.compile(f"[^{_WHITE}]+")
-KEEP_CHUNKS = 400_000        # entries of each of the two generations a worker keeps
+KEEP_CHUNKS = 200_000        # entries of each of the two generations a worker keeps
 
 
 def byte_symbols() -> list[str]:

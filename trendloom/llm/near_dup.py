@@ -45,7 +45,7 @@ DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share
 REGION = 24                  # classes up to which a region gives all its pairs
 CENTRES = 4                  # further classes of a large region that each of its classes meets
 MISS = 2e-5
-_KEEP_WORDS = 250_000        # words whose hash a worker keeps
+_KEEP_WORDS = 100_000        # words whose hash a worker keeps
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
 
 _words: dict[bytes, int] = {}
