@@ -95,7 +95,7 @@ def test_giving_up_changes_neither_choice_nor_score():
         text = prose(rng, lang, 900)
         plain = language.letters(text)
         costs = sorted((language.count_phrases(parser.roots[x], plain) * parser.bits[x], x) for x in SYLLABLES)
-        assert parser.predict(text) == (costs[0][1], min(1.0, (costs[1][0] - costs[0][0]) / costs[0][0]))
+        assert parser.predict(text) == (costs[0][1], min(1.0, 2 * (costs[1][0] / costs[0][0] - 1)))
 
 
 # Toxicity

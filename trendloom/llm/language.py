@@ -8,8 +8,8 @@ its training text, per character; the language with the least cost wins, the fir
 Training: of each language, the ``DOCS_PER_LANGUAGE`` distinct texts with the smallest hash, and from them
 sentences in hash order up to ``TRAIN_CHARS`` characters. Only these reach the driver (languages times
 ``TRAIN_CHARS``), and only they are sent to the workers, which build the automata once each. Prediction is a
-map over whole texts. A language is given up on as soon as it has twice the cost of the best one, where its
-exact count no longer matters for the choice or the score.
+map over whole texts. A language is given up on as soon as it has 1.5 times the cost of the best one, where
+its exact count no longer matters for the choice or the score.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything when no row can be
 learned from. Other columns are ignored, and neither language, source nor id is looked at when predicting.
@@ -31,6 +31,7 @@ from trendloom.session import materialize
 DOCS_PER_LANGUAGE = 96
 TRAIN_CHARS = 60_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+GIVE_UP = 1.5                # cost against the best one's from which the score is 1
 _STEP = 2048                 # characters between two looks at whether a language is out
 
 
@@ -98,7 +99,7 @@ class CrossParser:
         self.bits = {name: math.log2(len(training[name]) + 2) for name in self.names}
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and score: how much more the next language costs, against the best (0 to 1)."""
+        """Language and score (0 to 1): how much more the next language costs, 1 from ``GIVE_UP`` times on."""
         plain = letters(text)
         if not self.names or not any(map(str.isalpha, plain)):
             return "und", 0.0
@@ -107,12 +108,12 @@ class CrossParser:
         costs: dict[str, float] = {}
         best = math.inf
         for name in order:
-            phrases = count_phrases(self.roots[name], plain, 2 * best / self.bits[name])
+            phrases = count_phrases(self.roots[name], plain, GIVE_UP * best / self.bits[name])
             costs[name] = phrases * self.bits[name]
             best = min(best, costs[name])
         winner = min(self.names, key=lambda name: (costs[name], name))
         others = [c for name, c in costs.items() if name != winner]
-        return winner, min(1.0, (min(others, default=math.inf) - best) / best)
+        return winner, min(1.0, (min(others, default=math.inf) / best - 1) / (GIVE_UP - 1))
 
 
 _parser: dict[str, CrossParser] = {}
