@@ -178,7 +178,7 @@ def further_pairs(inner: DataFrame, crowded: DataFrame, groups: DataFrame, tried
     label = groups.select(F.col("id").alias("class"), "component")
     other = groups.select(F.col("id").alias("centre"), F.col("component").alias("other"))
     pairs = crowded.join(drawn, region).select("class", F.explode("centres").alias("centre")).where("class <> centre") \
-        .unionByName(inner.select(F.col("a").alias("class"), F.col("b").alias("centre"))) \
+        .unionByName(inner.select(F.col("a").alias("class"), F.col("b").alias("centre"))).distinct() \
         .join(label, "class", "left").join(other, "centre", "left") \
         .where(F.coalesce("component", "class") != F.coalesce("other", "centre"))
     return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct() \
