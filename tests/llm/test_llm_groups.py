@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,41 @@ def test_only_small_parts_of_a_large_region_are_paired(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def shared_template(rng, pairs, own, common, words=600):
+    """Texts of one template in pairs: both of a pair have ``common`` words changed alike, each has ``own`` more."""
+    base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(words)]
+    out = []
+    for _ in range(pairs):
+        places = rng.sample(range(1, words // 4 - 1), common + 2 * own)
+        alike = {4 * at: "".join(rng.choices("xyz", k=9)) for at in places[:common]}
+        for mine in (places[common:common + own], places[common + own:]):
+            changed = alike | {4 * at: "".join(rng.choices("uvw", k=9)) for at in mine}
+            out.append(" ".join(changed.get(at, w) for at, w in enumerate(base)))
+    return out
+
+
+def test_sparse_pairs_of_a_template_equal_brute_force(spark):
+    rng = random.Random(3)
+    texts = shared_template(rng, 150, 8, 4)
+    rng.shuffle(texts)
+    rows = dict(enumerate(texts))
+    wanted, _ = brute_groups(rows, 3, 85, 100)
+    assert len(set(wanted.values())) == 150
+    found = near_dup.near_duplicates(docs(spark, list(rows.items())), 3, (85, 100)).collect()
+    assert {r.doc_id: r.component_id for r in found} == wanted
+
+
+def test_prefixes_of_sets_that_meet_the_threshold_share_a_shingle():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 3, near_dup._BUCKETS)
+    for n in (1, 2, 7, 20, 100):
+        for up, down in ((85, 100), (4, 5), (1, 2), (1, 1)):
+            a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            m = max(1, -(-n * up // down))
+            x, y = (near_dup.rarest(np.sort(s), counts, (up, down)) for s in (a, a[:m]))
+            assert set(x.tolist()) & set(y.tolist())
+
+
 def test_one_per_group_with_lost_and_repeated_ids(spark):
     text = family(random.Random(4), 1)[0]
     rows = [(1, text), (1, text), (2, text + " end"), (None, text), (None, None), (3, None), (4, "other words stand here today")]

@@ -9,11 +9,14 @@ form a region. Regions of at most ``region`` classes give all their pairs as can
 region is gone through by longer common prefixes instead: every class is compared with the region's
 first and last class, and the region is cut again by the next minhashes of the same tree, to the depth
 at which it is small or the signature ends. Depth thus follows the data region by region. No class is
-dropped: the classes of a large region are very similar, and meet through its two centres, through the
-smaller regions inside it, and again in every other tree, which has other regions. What is still apart
-after that is compared with further classes of the region, drawn anew in every tree and depth; pairs
-already in one group need no look, so this costs little where it finds nothing. It is a search, not a
-proof: a class that links with only very few classes of a region of hundreds could stay alone.
+dropped: the classes of a large region are very similar, and mostly meet through its two centres, through
+the smaller regions inside it, and again in every other tree, which has other regions.
+
+Large regions that are not all one group after that are open, and their classes are completed exactly:
+a join over the rarest shingles of each class finds every pair of them that can meet the threshold
+(prefix and length filter, no cap), and pairs already in one group, which change nothing, are left
+out. The order of shingles by rarity comes from counts in a table of fixed size; it decides the cost only, as
+any one order gives all pairs. A family of texts just below the threshold can give many pairs there.
 
 The number of trees comes from the threshold, so that a pair just at it misses every region of the
 first depth with a probability below ``miss``. Candidates whose signatures already differ by far more
@@ -31,6 +34,8 @@ id is the smallest one in it, null if it has none. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -43,9 +48,10 @@ from trendloom.session import materialize
 
 DEPTHS = (3, 6, 9)           # minhashes of a tree that a region's classes share, level by level
 REGION = 24                  # classes up to which a region gives all its pairs
-CENTRES = 4                  # further classes of a large region that each of its classes meets
 MISS = 2e-5
 _KEEP_WORDS = 100_000        # words whose hash a worker keeps
+_BUCKETS = 1 << 20           # counters for the rarity of shingles
+_SLICES = 64                 # parts in which the counters are summed
 _CHUNK = 1 << 11             # shingles hashed at a time, which bounds the memory of long texts
 
 _words: dict[bytes, int] = {}
@@ -135,7 +141,7 @@ def _pair(left: Column, right: Column) -> Column:
 def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct pairs ``a < b`` of classes that share a region of the forest; the pairs of small regions
     inside large ones, which only matter where the centres left them apart; and the members
-    ``class, level, tree, key`` of the large regions."""
+    ``class, tree, key`` of the large regions of the first depth, which hold those of all others."""
     found, rest, crowded, inner = None, classes, None, None
     for level in range(len(DEPTHS)):
         keyed = rest.select("class", F.posexplode(f"keys{level}").alias("tree", "key")) if level == 0 else \
@@ -153,9 +159,8 @@ def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, Dat
         large = members.where(F.col("n") > bound)
         stars = large.select(F.explode(F.array_compact(F.array(
             _pair(F.col("class"), F.col("first")), _pair(F.col("class"), F.col("last"))))).alias("p"))
-        named = large.select("class", F.lit(level).alias("level"), "tree", "key")
-        crowded = named if crowded is None else crowded.unionByName(named)
         if level == 0:
+            crowded = large.select("class", "tree", "key")
             found = within.unionByName(stars).select("p.a", "p.b")
         else:
             found = found.unionByName(stars.select("p.a", "p.b"))
@@ -166,23 +171,85 @@ def candidates(classes: DataFrame, region: int = REGION) -> tuple[DataFrame, Dat
     return found.distinct(), inner, crowded
 
 
-def further_pairs(inner: DataFrame, crowded: DataFrame, groups: DataFrame, tried: DataFrame,
-                  centres: int = CENTRES) -> DataFrame:
-    """Pairs within large regions that are not in one group yet and were not tried: those of the small
-    regions inside, and every class with ``centres`` classes of its region, drawn by a hash that differs
-    from region to region."""
-    region = ["level", "tree", "key"]
-    drawn = materialize(crowded.groupBy(*region).agg(F.array_distinct(F.array(*[
-        F.min_by("class", F.xxhash64("class", "level", "tree", F.lit(n))) for n in range(centres)])).alias("centres")),
-        "forest-centres")
-    label = groups.select(F.col("id").alias("class"), "component")
-    other = groups.select(F.col("id").alias("centre"), F.col("component").alias("other"))
-    pairs = crowded.join(drawn, region).select("class", F.explode("centres").alias("centre")).where("class <> centre") \
-        .unionByName(inner.select(F.col("a").alias("class"), F.col("b").alias("centre"))).distinct() \
-        .join(label, "class", "left").join(other, "centre", "left") \
-        .where(F.coalesce("component", "class") != F.coalesce("other", "centre"))
-    return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct() \
-        .join(tried, ["a", "b"], "left_anti")
+def labelled(groups: DataFrame) -> DataFrame:
+    return groups.select(F.col("id").alias("class"), "component")
+
+
+def inner_pairs(inner: DataFrame, groups: DataFrame, tried: DataFrame) -> DataFrame:
+    """Pairs of the small regions inside large ones that are not in one group yet and were not tried."""
+    label = labelled(groups)
+    return inner.distinct() \
+        .join(label.withColumnsRenamed({"class": "a", "component": "ca"}), "a", "left") \
+        .join(label.withColumnsRenamed({"class": "b", "component": "cb"}), "b", "left") \
+        .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+
+
+def open_classes(crowded: DataFrame, groups: DataFrame) -> DataFrame:
+    """``class, component`` of the classes in large regions that are not all one group."""
+    members = materialize(crowded.join(labelled(groups), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")), "forest-crowded")
+    apart = materialize(members.groupBy("tree", "key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+                        .where("first <> last").select("tree", "key"), "forest-open-regions")
+    return members.join(apart, ["tree", "key"]).select("class", "component").distinct()
+
+
+def shingle_counts(held: DataFrame) -> np.ndarray:
+    """How often shingles of each bucket stand in ``held``; only these ``_BUCKETS`` sums reach the driver."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch["shingles"]), np.uint64)
+            found = np.bincount((hashes % np.uint64(_BUCKETS)).astype(np.int64), minlength=_BUCKETS)
+            total = found if total is None else total + found
+        if total is not None:
+            yield pd.DataFrame({"slice": range(_SLICES), "counts": [c.tobytes() for c in total.reshape(_SLICES, -1)]})
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, counts in zip(batch["slice"], batch["counts"]):
+                total[at] = total.get(at, 0) + np.frombuffer(counts, np.int64)
+        if total:
+            yield pd.DataFrame({"slice": list(total), "counts": [c.tobytes() for c in total.values()]})
+    slices = held.select("shingles").mapInPandas(counted, "slice int, counts binary").repartition("slice") \
+        .mapInPandas(summed, "slice int, counts binary")
+    out = np.zeros((_SLICES, _BUCKETS // _SLICES), np.int64)
+    for row in slices.toLocalIterator():
+        out[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    return out.ravel()
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, threshold: tuple[int, int]) -> np.ndarray:
+    """The rarest shingles of a set, rarest first: so many that two sets which meet the threshold share one."""
+    n = len(shingles)
+    order = np.lexsort((shingles, counts[(shingles % np.uint64(_BUCKETS)).astype(np.int64)]))
+    return shingles[order[:n - -(-threshold[0] * n // threshold[1]) + 1]]
+
+
+def exact_pairs(opened: DataFrame, held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """All pairs of ``opened`` from different components whose sets (``held``) can meet the threshold.
+
+    Two sets of ``na`` and ``nb`` shingles that meet it share at least ``up / (up + down) * (na + nb)``. In one
+    order of all shingles, the first one that they share thus has so many places of either set from it on."""
+    up, down = threshold
+    counts = held.sparkSession.sparkContext.broadcast(shingle_counts(held))
+
+    @F.pandas_udf("struct<n: long, tokens: array<long>>")
+    def prefixes(sets: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(len(x) // 8, rarest(np.frombuffer(x, np.uint64), counts.value, threshold).view(np.int64))
+                             for x in sets], columns=["n", "tokens"])
+    made = materialize(held.select("class", prefixes("shingles").alias("p")), "forest-prefixes")
+    postings = materialize(made.join(opened, "class").select(
+        "class", "component", F.col("p.n").alias("n"), F.posexplode("p.tokens").alias("at", "token")), "forest-postings")
+    shared = materialize(postings.groupBy("token").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+                         .where("first <> last").select("token"), "forest-shared")
+    met = materialize(postings.join(shared, "token").withColumn("left", F.col("n") - F.col("at")).drop("at"), "forest-met")
+    least = up * (F.col("x.n") + F.col("y.n"))
+    return met.alias("x").join(met.alias("y"), (F.col("x.token") == F.col("y.token"))
+                               & (F.col("x.class") < F.col("y.class")) & (F.col("x.component") != F.col("y.component"))
+                               & ((up + down) * F.col("x.left") >= least) & ((up + down) * F.col("y.left") >= least)
+                               & (down * F.least("x.n", "y.n") >= up * F.greatest("x.n", "y.n"))) \
+        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
 
 
 def _estimate_floor(threshold: float, size: int) -> float:
@@ -206,21 +273,20 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, threshold: tuple[int, int]
     return sized.where(agreement("sa", "sb") >= floor).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
-              threshold: tuple[int, int], text: str) -> DataFrame:
-    """The pairs whose full shingle sets meet the threshold. One text per class gives its set, which
-    goes once to its own side of the pairs and once per pair to the other."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = materialize(classes.join(ends, "class", "left_semi").select("class", "text_hash"), "forest-wanted")
-
+def sets_of(wanted: DataFrame, docs: DataFrame, width: int, text: str) -> DataFrame:
+    """``class, shingles`` of the classes ``class, text_hash``; one text per class gives its set."""
     @F.pandas_udf("binary")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, width).tobytes() for t in texts], dtype=object)
     picked = sent_if_small(wanted, 48)           # 16 bytes of class and 32 of digest
     held = docs.select(F.md5(text).alias("text_hash"), F.col(text).alias("text")) \
         .join(picked, "text_hash").dropDuplicates(["class"])
-    held = materialize(held.select("class", sets("text").alias("shingles")), "forest-sets")
+    return materialize(held.select("class", sets("text").alias("shingles")), "forest-sets")
+
 
+def linked_pairs(pairs: DataFrame, held: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs whose full shingle sets meet the threshold. A set goes once to its own side of the pairs
+    and once per pair to the other."""
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
@@ -234,6 +300,14 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return sided.where(linked("sa", "sb")).select("a", "b")
 
 
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
+              threshold: tuple[int, int], text: str) -> DataFrame:
+    """The pairs whose full shingle sets meet the threshold."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = materialize(classes.join(ends, "class", "left_semi").select("class", "text_hash"), "forest-wanted")
+    return linked_pairs(pairs, sets_of(wanted, docs, width, text), threshold)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
                     id_col: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links
@@ -249,9 +323,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     close = materialize(close_pairs(pairs, classes, threshold, size), "forest-close")
     links = materialize(confirmed(close, classes, docs, width, threshold, text), "forest-links")
     groups = components(links)
-    further = materialize(close_pairs(further_pairs(inner, crowded, groups, close), classes, threshold, size), "forest-further")
+    further = materialize(close_pairs(inner_pairs(inner, groups, close), classes, threshold, size), "forest-further")
     if not further.isEmpty():
         more = materialize(confirmed(further, classes, docs, width, threshold, text), "forest-links")
+        links, close = links.unionByName(more), close.unionByName(further)
+        groups = components(links)
+    opened = materialize(open_classes(crowded, groups), "forest-open")
+    if not opened.isEmpty():
+        wanted = materialize(classes.join(opened, "class").select("class", "text_hash"), "forest-wanted")
+        held = sets_of(wanted, docs, width, text)
+        last = materialize(exact_pairs(opened, held, threshold).join(close, ["a", "b"], "left_anti"), "forest-exact")
+        more = materialize(linked_pairs(last, held, threshold), "forest-links")
         links = links.unionByName(more)
         groups = components(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id") \
