@@ -99,6 +99,15 @@ def test_sparse_pairs_of_a_template_equal_brute_force(spark):
     assert {r.doc_id: r.component_id for r in found} == wanted
 
 
+def test_regions_inside_large_ones_give_all_pairs_up_to_the_same_bound(spark):
+    rows = [(bytes([n]), [1], [n // 20], [n // 20]) for n in range(40)]
+    classes = spark.createDataFrame(rows, "class binary, keys0 array<long>, keys1 array<long>, keys2 array<long>")
+    pairs, inner, crowded = near_dup.candidates(classes)
+    wanted = {(bytes([a]), bytes([b])) for a in range(40) for b in range(a + 1, 40) if a // 20 == b // 20}
+    assert {(bytes(r.a), bytes(r.b)) for r in inner.collect()} == wanted
+    assert crowded.count() == 40 and pairs.count() == 77
+
+
 def test_prefixes_of_sets_that_meet_the_threshold_share_a_shingle():
     rng = np.random.default_rng(5)
     counts = rng.integers(0, 3, near_dup._BUCKETS)
