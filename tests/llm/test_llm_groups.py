@@ -264,5 +264,16 @@ def test_cut_off_archives_are_errors():
             list(raw)
 
 
+def test_damaged_payloads_are_errors(spark, tmp_path):
+    record = warc.record_bytes(1, "u", b"sound payload", None).replace(b"sound", b"wound")
+    read = warc.read_record(gzip.compress(record))
+    assert not read["intact"] and read["payload_digest"] == hashlib.sha256(b"wound payload").hexdigest()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc.gz").write_bytes(gzip.compress(record))
+    assert warc.normalise_file(f"file://{tmp_path}/in", f"file://{tmp_path}/out", "a.warc.gz") == 1
+    with pytest.raises(Exception, match="damaged"):
+        warc.read_archives(spark, f"file://{tmp_path}/out").collect()
+
+
 def test_no_pages(spark):
     assert warc.archive_pages(pages(spark, []).limit(0)).count() == 0

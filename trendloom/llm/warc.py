@@ -220,22 +220,24 @@ def normalise(manifest: DataFrame, source: str, folder: str) -> DataFrame:
 
 
 def read_record(member: bytes) -> dict:
-    """One record from its own member; ``intact`` says whether a response's payload has the digest
-    its header states."""
+    """One record from its own member. A response's digest is that of the payload read back, and ``intact``
+    says whether its header states the same; a revisit has no payload, so its header's digest stands."""
     (fields, raw), = ((f, b"".join(b)) for f, b in split_records(iter([zlib.decompress(member, _GZIP)])))
     _, _, block = raw.partition(b"\r\n\r\n")
     http, _, payload = block[:-4].partition(b"\r\n\r\n")
-    kind, digest = fields["warc-type"], fields["warc-payload-digest"].partition(":")[2]
+    kind, stated = fields["warc-type"], fields["warc-payload-digest"].partition(":")[2]
     if kind == "response":
-        size, intact = len(payload), hashlib.sha256(payload).hexdigest() == digest
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+        intact = digest == stated
     else:
-        size, intact = int(parse_head(http)["content-length"]), True
+        size, digest, intact = int(parse_head(http)["content-length"]), stated, True
     return {"page_id": page_of_name(fields["warc-record-id"]), "payload_bytes": size, "payload_digest": digest,
             "record_type": kind, "refers_to": page_of_name(fields.get("warc-refers-to")), "intact": intact}
 
 
 def read_archives(spark, folder: str) -> DataFrame:
-    """All records of normalised archives, found through their sidecar indexes by ranged reads."""
+    """All records of normalised archives, found through their sidecar indexes by ranged reads. A record
+    that is not intact is an error."""
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = _open(folder)
         name, source = None, None
@@ -246,6 +248,8 @@ def read_archives(spark, folder: str) -> DataFrame:
                     name, source = archive, fs.open_input_file(f"{base}/{archive}")
                 source.seek(offset)
                 rows.append(read_record(source.read(length)))
+                if not rows[-1]["intact"]:
+                    raise ValueError(f"the payload of the record at {offset} of {archive} is damaged")
             frame = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"])
             yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
     index = spark.read.schema(INDEX).json(f"{folder}/*.index.json")
