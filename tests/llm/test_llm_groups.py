@@ -108,6 +108,12 @@ def test_regions_inside_large_ones_give_all_pairs_up_to_the_same_bound(spark):
     assert crowded.count() == 40 and pairs.count() == 77
 
 
+def test_links_are_not_counted(spark):
+    found = near_dup.near_duplicates(docs(spark, [(1, "a b c d"), (2, "a b c  d"), (3, None)]))
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_prefixes_of_sets_that_meet_the_threshold_share_a_shingle():
     rng = np.random.default_rng(5)
     counts = rng.integers(0, 3, near_dup._BUCKETS)

@@ -310,7 +310,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
                     id_col: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links
-    of at least ``threshold``), ``n_links`` (links of its class that were looked at and confirmed) and ``kept``."""
+    of at least ``threshold``) and ``kept``. Links are not counted, as pairs within a group are not all looked at."""
     trees = trees_for(threshold[0] / threshold[1])
     rows = materialize(sketch(docs, width, trees, id_col, text), "forest-sketch")
     keys = [f"keys{i}" for i in range(len(DEPTHS))]
@@ -335,18 +335,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
         more = materialize(linked_pairs(last, held, threshold), "forest-links")
         links = links.unionByName(more)
         groups = components(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id") \
-        .agg(F.count(F.lit(1)).alias("n_links"))
-    linked = groups.join(ends, "id").withColumnRenamed("id", "set_hash")
+    linked = groups.withColumnRenamed("id", "set_hash")
     sets = rows.where(F.col("set_hash").isNotNull()).groupBy("set_hash").agg(F.min("id").alias("first"))
     named = materialize(sets.join(linked, "set_hash", "left")
                         .withColumn("component", F.coalesce("component", "set_hash")), "forest-components")
     smallest = materialize(named.groupBy("component").agg(F.min("first").alias("component_id")), "forest-firsts")
-    named = materialize(named.join(smallest, "component").select("set_hash", "component_id", "n_links"), "forest-named")
+    named = materialize(named.join(smallest, "component").select("set_hash", "component_id"), "forest-named")
     out = rows.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
     component = F.when(F.col("set_hash").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                       F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 

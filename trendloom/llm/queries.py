@@ -52,7 +52,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=(85, 100)).drop("n_links")
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=(85, 100))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
