@@ -106,4 +106,24 @@ SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component
 FROM k LEFT JOIN n USING (doc_id)"""
 
 
-ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op6_warc": op6(), "op8_minhash_forest": op8()}
+def op11() -> str:
+    return """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5"""
+
+
+ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op6_warc": op6(), "op8_minhash_forest": op8(),
+          "op11_hard_negatives": op11()}

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.llm import (
-    bpe, decontaminate, fingerprints, language, licenses, near_dup, secrets, sharding, toxicity, warc,
+    bpe, decontaminate, fingerprints, language, licenses, near_dup, negatives, secrets, sharding, toxicity, warc,
 )
 from trendloom.llm.oracle import ORACLE
 
@@ -64,6 +64,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(docs, vocabulary()).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0,
+                                    label=negatives.mined_label())
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
@@ -75,4 +80,5 @@ QUERIES = {
     "op8_minhash_forest": op8_minhash_forest,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
 }
