@@ -125,5 +125,69 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 FROM n WHERE rank <= 5"""
 
 
+def op12() -> str:
+    """The grammar as an automaton, gone through from the last row to the first. A state holds the least
+    (cost, audit) of the rest as one text: nine digits, then letters. ``e``, ``o``, ``m``: even, odd, even but not
+    none turns to come; ``l``: with the system turn in front."""
+    def more(cost: str, letter: str, rest: str) -> str:
+        return f"lpad((left({rest}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') || {letter} || substr({rest}, 10)"
+    never = "'999999999'"
+
+    def step(kind: str, rest: str) -> str:
+        return (f"CASE WHEN gone THEN {never} WHEN kind = '{kind}' THEN {more('late', "'K'", rest)} "
+                f"ELSE {more('3 + late', "'R'", rest)} END")
+    white = "\\x20\\x09-\\x0D"
+    return f"""
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(
+    list_prepend(n::UBIGINT, range(8)::UBIGINT[]), lambda x, y:
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END) AS c FROM range(256) r(n))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(
+    concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda c: ascii(c)::UBIGINT) AS bs
+    FROM conversations),
+h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::UBIGINT, bs), lambda s, b:
+    xor(s >> 8, t[(xor(s, b) & 255)::INTEGER + 1])), 4294967295::UBIGINT) % 20 AS what FROM k, tab),
+d AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+    CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM h, range(2) c(copy) WHERE what <> 0 AND (copy = 0 OR what = 3)),
+i AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+    CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS kind,
+    NOT regexp_matches(text, '[^{white}]') AS blank,
+    regexp_extract(text, '([^{white}])[{white}]*$', 1) NOT IN ('.', '!', '?') AS cut FROM d),
+j AS (SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+    coalesce(lag(kind) OVER (PARTITION BY conv_id ORDER BY i) || kind NOT IN ('su', 'ua', 'au'), false) AS odd FROM i),
+f AS (SELECT *, blank OR dup AS gone, cut AND NOT blank AND NOT dup AS truncated,
+    CASE WHEN cut THEN 3 ELSE 0 END AS late FROM j),
+g AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count_if(blank)::BIGINT AS blank, count_if(dup)::BIGINT AS duplicate,
+    count_if(truncated)::BIGINT AS truncated, count_if(odd)::BIGINT AS illegal
+    FROM f GROUP BY conv_id),
+z(conv_id, i, e, o, m, l) AS (
+    SELECT conv_id, n + 1, '000000000', '000000003I', '000000006II', {never} FROM g
+    UNION ALL
+    SELECT conv_id, i, least(e0, {more('3', "'I'", 'o0')}), o1, least({more('4', "'D'", 'm')}, us, {more('3', "'I'", 'o1')}),
+        CASE WHEN kind = 's' AND NOT gone THEN least(l, lpad((4 * (i - 1) + late + left(m, 9)::INTEGER)::VARCHAR, 9, '0')
+            || repeat('D', (i - 1)::INTEGER) || 'K' || substr(m, 10)) ELSE l END
+    FROM (SELECT *, least(o0, {more('3', "'I'", 'e0')}) AS o1 FROM (
+        SELECT *, least({more('4', "'D'", 'e')}, us) AS e0, least({more('4', "'D'", 'o')}, asst) AS o0 FROM (
+            SELECT z.conv_id, f.i, kind, gone, late, e, o, m, l, {step('u', 'o')} AS us, {step('a', 'e')} AS asst
+            FROM z JOIN f ON f.i = z.i - 1 AND f.conv_id IS NOT DISTINCT FROM z.conv_id)))),
+b AS (SELECT conv_id, left(least(e, l), 9)::BIGINT AS cost, substr(least(e, l), 10) AS audit FROM z WHERE i = 1),
+x AS (SELECT conv_id, unnest(string_split(audit, '')) AS x, unnest(range(len(audit))) AS p FROM b WHERE audit <> ''),
+y AS (SELECT conv_id, x, sum((x <> 'I')::INTEGER) OVER w AS i, sum((x <> 'D')::INTEGER) OVER w AS q FROM x
+    WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+v AS (SELECT y.conv_id, x, q, kind, role, text, max((q = 1 AND x = 'K' AND kind = 's')::INTEGER)
+    OVER (PARTITION BY y.conv_id) AS led
+    FROM y LEFT JOIN f ON f.i = y.i AND x <> 'I' AND f.conv_id IS NOT DISTINCT FROM y.conv_id WHERE x <> 'D'),
+r AS (SELECT conv_id, sha256(string_agg(CASE WHEN x = 'K' THEN role WHEN (q - led) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY q)) AS repaired FROM v
+    GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+    coalesce(audit, '') AS audit, coalesce(repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLE = {"op1_licenses": op1(), "op4_secrets": op4(), "op6_warc": op6(), "op8_minhash_forest": op8(),
-          "op11_hard_negatives": op11()}
+          "op11_hard_negatives": op11(), "op12_conversation_repair": op12()}

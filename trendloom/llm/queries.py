@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.llm import (
-    bpe, decontaminate, fingerprints, language, licenses, near_dup, negatives, secrets, sharding, toxicity, warc,
+    bpe, decontaminate, fingerprints, language, licenses, near_dup, negatives, repair, secrets, sharding, toxicity,
+    warc,
 )
 from trendloom.llm.oracle import ORACLE
 
@@ -69,6 +70,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     label=negatives.mined_label())
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.conversation_audits(rows, dropped=F.col("dropped"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
@@ -81,4 +87,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
 }
