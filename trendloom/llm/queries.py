@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from trendloom.llm import (
     bpe, decontaminate, fingerprints, language, licenses, near_dup, negatives, repair, secrets, sharding, toxicity,
-    warc,
+    token_files, warc,
 )
 from trendloom.llm.oracle import ORACLE
+from trendloom.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -17,9 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,13 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.conversation_audits(rows, dropped=F.col("dropped"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        token_files.write_tokens(table(spark, sf_dir, "documents"), path, f.read())
+    return token_files.token_digests(spark, path)
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontaminate": op2_decontaminate,
@@ -88,4 +96,5 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_files": op13_token_files,
 }
