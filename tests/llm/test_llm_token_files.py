@@ -41,21 +41,32 @@ def wanted(library, text):
 
 @pytest.mark.parametrize("text", ODD)
 def test_odd_texts_as_the_library_encodes_them(library, own, text):
-    assert array("I", own.encode(text)).tolist() == wanted(library, text)
+    assert array("I", own.encode([text])[0]).tolist() == wanted(library, text)
 
 
 @settings(max_examples=500, deadline=None)
 @given(st.one_of(st.text(st.characters(max_codepoint=0x3FFF, exclude_categories=["Cs", "Cn"]), max_size=60),
                  st.text(st.sampled_from("aé'sbT .,!?\n\t \x1c\x85_1<|>"), max_size=40)))
 def test_any_text_as_the_library_encodes_it(library, own, text):
-    assert array("I", own.encode(text)).tolist() == wanted(library, text)
+    assert array("I", own.encode([text])[0]).tolist() == wanted(library, text)
 
 
 def test_small_memory_changes_nothing(library, vocabulary, monkeypatch):
     monkeypatch.setattr(token_files, "KEEP_CHUNKS", 2)
     own = token_files.ChunkEncoder(vocabulary)
     for text in ("one, two three two one, four", "five two one two, one one."):
-        assert array("I", own.encode(text)).tolist() == wanted(library, text)
+        assert array("I", own.encode([text])[0]).tolist() == wanted(library, text)
+
+
+def test_many_texts_at_once(library, own):
+    assert [array("I", x).tolist() for x in own.encode(ODD * 2)] == [wanted(library, t) for t in ODD * 2]
+
+
+def test_column_of_ids(spark, library, vocabulary, monkeypatch):
+    monkeypatch.setattr(token_files, "_BATCH_CHARS", 50)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)] + [(None, None)], "doc_id long, text string")
+    for r in token_files.encoded(docs.coalesce(1), vocabulary).collect():
+        assert r["ids"] == wanted(library, "" if r["doc_id"] is None else ODD[r["doc_id"]]) + [2]
 
 
 def rows_of(n, seed):

@@ -10,14 +10,14 @@ A file row is ``doc_id, part, local_start, n_tokens, ids``; ``part`` numbers the
 before the document in its range. A small table of ranges beside the files holds what stands before each range, so the
 position of a document in the whole corpus is one addition, and no pass over the ids numbers them.
 
-Texts are encoded once, into a stored table; sorting then samples and moves token lists only. Chunks
+Texts are sorted into ranges and encoded once, on their way into the files. Chunks
 between white space are encoded once per worker and remembered (bounded): a chunk with the blank before it is
 encoded alike wherever it stands, except beside special tokens, so texts with these go to the library whole. Plain
 words, and the punctuation after them, are single pieces of the vocabulary's pattern and go straight to the
 library's merges.
 
 Null and empty texts hold the end id alone. Rows without an id come first; rows that repeat an id are in the order
-of token count and hash, so equal ones are interchangeable, and they spread over ranges. An empty table gives
+they are read in, and they spread over ranges. An empty table gives
 files without rows. Other columns are ignored.
 """
 from __future__ import annotations
@@ -25,30 +25,51 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.bpe import byte_symbols
 from trendloom.llm.common import sent_if_small
-from trendloom.session import materialize
 
 END = 2
 STRIPE_BYTES = 32 << 20
 STRIDE = 1000                # documents of one row-index entry
 KEEP_CHUNKS = 250_000        # entries of each of the two generations a worker keeps
-KEEP_CHARS = 64              # longer chunks are not kept
+KEEP_CHARS = 4_000_000       # characters of each
+_BATCH_CHARS = 1 << 20       # text encoded at a time
 
 # The white space at which the vocabulary's pattern cuts.
-_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_RARE_WHITE = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_WHITE = f" \\n{_RARE_WHITE}"
 _CHUNK = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+_OTHER_WHITE = re.compile(f"[{_RARE_WHITE}]")
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481]+)([.,;:!?]*)")
 
 
+class _Memory:
+    """Ids of chunks met lately, in two generations: when the young one is full it becomes the old one, so
+    chunks in use stay and the memory is bounded by ``KEEP_CHUNKS`` and ``KEEP_CHARS``."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.young, self.old, self.chars = make, {}, {}, 0
+
+    def hold(self, chunks: set[str]) -> dict[str, bytes]:
+        """The young generation, with all of ``chunks`` in it."""
+        if len(self.young) >= KEEP_CHUNKS or self.chars >= KEEP_CHARS:
+            self.young, self.old, self.chars = {}, self.young, 0
+        young, old, make = self.young, self.old.get, self.make
+        for chunk in chunks.difference(young):
+            young[chunk] = old(chunk) or make(chunk)
+            self.chars += len(chunk)
+        return young
+
+
 class ChunkEncoder:
-    """The library behind a bounded memory of chunks."""
+    """The library behind bounded memories of chunks: words after a blank, and all others."""
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -57,40 +78,59 @@ class ChunkEncoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.symbols = dict(enumerate(byte_symbols()))
-        self.seen: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a string that the vocabulary's pattern does not cut."""
-        found = self.library.model.tokenize(piece.encode().decode("latin-1").translate(self.symbols))
-        return array("I", [t.id for t in found]).tobytes()
+        self.newline = self._ids("\n")
+        self.marks: dict[str, bytes] = {}
+        self.words, self.others = _Memory(lambda w: self._chunk(" " + w)), _Memory(self._chunk)
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        """A chunk not seen lately. When the young generation is full it becomes the old one."""
-        entry = self.old.get(chunk)
-        if entry is None:
-            plain = _PLAIN.fullmatch(chunk)
-            if not plain:
-                entry = self._ids(chunk)
-            elif plain[2]:
-                entry = b"".join([self.seen.get(x) or self._chunk(x) for x in plain.groups()])
+        """A chunk's ids. A plain word is a string that the vocabulary's pattern does not cut."""
+        plain = _PLAIN.fullmatch(chunk)
+        if not plain:
+            return self._ids(chunk)
+        word, marks = plain.groups()
+        found = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))
+        ids = array("I", [t.id for t in found]).tobytes()
+        if not marks:
+            return ids
+        if marks not in self.marks:
+            if len(self.marks) > 1000:
+                self.marks.clear()
+            self.marks[marks] = self._ids(marks)
+        return ids + self.marks[marks]
+
+    def _regular(self, text: str) -> bool:
+        """Whether single blanks and single line ends between words are all the white space."""
+        return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n"
+                    or text[-1] in " \n" or _OTHER_WHITE.search(text))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        words, others, cut = set(), set(), []
+        for text in texts:
+            if not text or any(s in text for s in self.special):
+                cut.append(None)
+            elif self._regular(text):
+                lines = [line.split(" ") for line in text.split("\n")]
+                others.update([line[0] for line in lines])
+                for line in lines:
+                    words.update(line[1:])
+                cut.append(lines)
             else:
-                entry = self._piece(chunk)
-            if len(chunk) > KEEP_CHARS:
-                return entry
-        if len(self.seen) >= KEEP_CHUNKS:
-            self.old, self.seen = self.seen, {}
-        self.seen[chunk] = entry
-        return entry
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):
-            return self._ids(text)
-        return b"".join([self.seen.get(c) or self._chunk(c) for c in _CHUNK.findall(text)])
+                cut.append(_CHUNK.findall(text))
+                others.update(cut[-1])
+        word, other = self.words.hold(words).__getitem__, self.others.hold(others).__getitem__
+        out = []
+        for text, parts in zip(texts, cut):
+            if parts is None:
+                out.append(self._ids(text) if text else b"")
+            elif isinstance(parts[0], str):
+                out.append(b"".join(map(other, parts)))
+            else:
+                out.append(self.newline.join([other(line[0]) + b"".join(map(word, line[1:])) for line in parts]))
+        return out
 
 
 _loaded: dict[int, ChunkEncoder] = {}
@@ -111,45 +151,57 @@ def encoded(docs: DataFrame, vocabulary: str, end: int = END, id_col: str = "doc
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, last = _encoder(sent.value), array("I", [end]).tobytes()
         for texts in batches:
-            parts, offsets = [], array("i", [0])
-            at = 0
-            for t in texts:
-                found = encoder.encode(t.as_py() or "")
-                parts += (found, last)
-                at += len(found) // 4 + 1
-                offsets.append(at)
-            values = pa.Array.from_buffers(pa.int32(), at, [None, pa.py_buffer(b"".join(parts))])
-            yield pa.ListArray.from_arrays(pa.Array.from_buffers(pa.int32(), len(offsets), [None, pa.py_buffer(offsets.tobytes())]), values)
+            yield pa.concat_arrays([part for part, _ in _lists(texts, sent.value, end)])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), ids(F.col(text)).alias("ids"))
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``local_start``, the ids before each document in the sorted stream."""
-    at = 0
-    for batch in batches:
-        sizes = batch.column("ids").value_lengths().to_pylist()
-        starts = array("q")
-        for n in sizes:
-            starts.append(at)
-            at += n
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("part"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int32()), batch.column("ids")],
-            ["doc_id", "part", "local_start", "n_tokens", "ids"])
+def _lists(texts: pa.Array, vocabulary: str, end: int) -> Iterator[tuple[pa.ListArray, int]]:
+    """The id lists of a batch in pieces of bounded text, each with the place of its first row."""
+    encoder, last = _encoder(vocabulary), array("I", [end]).tobytes()
+
+    def made(some: list[str]) -> pa.ListArray:
+        found = encoder.encode(some)
+        offsets = np.concatenate([[0], np.cumsum([len(f) // 4 + 1 for f in found])]).astype(np.int32)
+        data = last.join(found) + last if found else b""
+        values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(data)])
+        return pa.ListArray.from_arrays(pa.array(offsets), values)
+    some, size, first = [], 0, 0
+    for at, text in enumerate(texts):
+        some.append(text.as_py() or "")
+        size += len(some[-1])
+        if size >= _BATCH_CHARS:
+            yield made(some), first
+            some, size, first = [], 0, at + 1
+    yield made(some), first
+
+
+def _numbered(vocabulary, end: int) -> Callable:
+    """Encodes a sorted stream of ``doc_id, part, text`` and counts the ids before each document."""
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for batch in batches:
+            for ids, first in _lists(batch.column("text"), vocabulary.value, end):
+                sizes = ids.value_lengths().to_numpy().astype(np.int64)
+                starts = at + np.cumsum(sizes) - sizes
+                at += int(sizes.sum())
+                rows = batch.slice(first, len(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("part"), pa.array(starts), pa.array(sizes.astype(np.int32)), ids],
+                    ["doc_id", "part", "local_start", "n_tokens", "ids"])
+    return stream
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = END, id_col: str = "doc_id",
                  text: str = "text", stripe_bytes: int = STRIPE_BYTES, stride: int = STRIDE) -> None:
     """Write the token files of all documents to ``path/tokens`` and their ranges to ``path/ranges``."""
     spark = docs.sparkSession
-    stored = materialize(encoded(docs, vocabulary, end, id_col, text), "token-ids")
-    keys = ["doc_id", "n", "hash"]
-    ordered = stored.withColumns({"n": F.size("ids"), "hash": F.xxhash64("ids")}) \
+    sent = spark.sparkContext.broadcast(vocabulary)
+    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")) \
         .withColumn("place", F.monotonically_increasing_id()) \
-        .repartitionByRange(*keys, "place").sortWithinPartitions(*keys) \
-        .select("doc_id", F.spark_partition_id().alias("part"), "ids")
-    ordered.mapInArrow(_numbered, "doc_id long, part int, local_start long, n_tokens int, ids array<int>") \
+        .repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place") \
+        .select("doc_id", F.spark_partition_id().alias("part"), "text")
+    ordered.mapInArrow(_numbered(sent, end), "doc_id long, part int, local_start long, n_tokens int, ids array<int>") \
         .write.option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", stride) \
         .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01) \
         .option("orc.rows.between.memory.checks", 200).orc(f"{path}/tokens")
