@@ -25,7 +25,9 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from trendloom.llm.common import sent_if_small
 END = 2
 STRIPE_BYTES = 32 << 20
 STRIDE = 1000                # documents of one row-index entry
-KEEP_CHUNKS = 250_000        # entries of each of the two generations a worker keeps
-KEEP_CHARS = 4_000_000       # characters of each
+KEEP_CHUNKS = 400_000        # entries of each of the two generations a worker keeps
+KEEP_CHARS = 16_000_000      # characters of each
 _BATCH_CHARS = 1 << 20       # text encoded at a time
 
 # The white space at which the vocabulary's pattern cuts.
@@ -47,7 +49,8 @@ _RARE_WHITE = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f
 _WHITE = f" \\n{_RARE_WHITE}"
 _CHUNK = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _OTHER_WHITE = re.compile(f"[{_RARE_WHITE}]")
-_PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481]+)([.,;:!?]*)")
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481]+)([.,;:!?]*)")
+_ID = attrgetter("id")
 
 
 class _Memory:
@@ -77,29 +80,42 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.symbols = dict(enumerate(byte_symbols()))
+        self.symbols = "".join(byte_symbols())
         self.newline = self._ids("\n")
         self.marks: dict[str, bytes] = {}
-        self.words, self.others = _Memory(lambda w: self._chunk(" " + w)), _Memory(self._chunk)
+        self.words, self.others = _Memory(self._after_blank), _Memory(self._chunk)
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a string that the vocabulary's pattern does not cut."""
+        found = self.library.model.tokenize(charmap_decode(piece.encode(), "strict", self.symbols)[0])
+        return array("I", map(_ID, found)).tobytes()
+
     def _chunk(self, chunk: str) -> bytes:
-        """A chunk's ids. A plain word is a string that the vocabulary's pattern does not cut."""
         plain = _PLAIN.fullmatch(chunk)
         if not plain:
             return self._ids(chunk)
         word, marks = plain.groups()
-        found = self.library.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))
-        ids = array("I", [t.id for t in found]).tobytes()
+        return self._piece(word) + self._marks(marks)
+
+    def _after_blank(self, word: str) -> bytes:
+        """A chunk without its blank; the word before punctuation is often known."""
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return self._ids(" " + word)
+        letters, marks = plain.groups()
         if not marks:
-            return ids
+            return self._piece(" " + letters)
+        return (self.words.young.get(letters) or self.words.old.get(letters) or self._piece(" " + letters)) + self._marks(marks)
+
+    def _marks(self, marks: str) -> bytes:
         if marks not in self.marks:
             if len(self.marks) > 1000:
                 self.marks.clear()
             self.marks[marks] = self._ids(marks)
-        return ids + self.marks[marks]
+        return self.marks[marks]
 
     def _regular(self, text: str) -> bool:
         """Whether single blanks and single line ends between words are all the white space."""
