@@ -283,3 +283,15 @@ def test_damaged_payloads_are_errors(spark, tmp_path):
 
 def test_no_pages(spark):
     assert warc.archive_pages(pages(spark, []).limit(0)).count() == 0
+
+
+def test_a_text_that_shares_the_id_of_a_copy_is_not_lost(spark):
+    a, b = family(random.Random(5), 1)[0], family(random.Random(6), 1)[0]
+    got = near_dup.one_per_group(docs(spark, [(3, b), (5, a), (5, b), (5, a), (7, a + " end"), (7, b)])).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(3, b), (5, a)])
+
+
+def test_one_of_several_texts_of_the_smallest_id_stays(spark):
+    a = family(random.Random(7), 1)[0]
+    got = near_dup.one_per_group(docs(spark, [(3, a), (3, a + " end"), (4, a + " end")])).collect()
+    assert [r.doc_id for r in got] == [3]

@@ -227,3 +227,11 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, SF)
     assert now.count() == 0
+
+
+def test_counts_handed_on_in_pieces_give_the_same_lexicon(spark):
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choices(["badword", "worse"] if i % 2 else ["fine", "good"], k=4) + rng.choices("abcdefgh", k=9)), i % 2)
+            for i in range(200)]
+    texts = spark.createDataFrame(rows, "text string, toxic int")
+    assert toxicity.learn_lexicon(texts, counted=7) == toxicity.learn_lexicon(texts) != {}

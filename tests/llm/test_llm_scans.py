@@ -1,6 +1,7 @@
 """License scans, secrets, benchmark decontamination."""
 from __future__ import annotations
 
+from collections import Counter
 import random
 import re
 
@@ -208,3 +209,16 @@ def test_leaks_and_filter(spark):
 def test_no_items_or_no_text_find_nothing(text):
     assert decontaminate.Matcher([]).find("abc") == []
     assert decontaminate.Matcher([(1, "some item here")]).find(decontaminate.normal(text)) == []
+
+
+def test_items_are_told_apart_by_id_and_text_in_any_block(spark):
+    first, second = "the quick brown fox jumps over a lazy dog today", "seven more wizards quietly vex the big judge now"
+    items = spark.createDataFrame([(None, first), (None, second), (4, first), (4, second), (4, first), (None, first.upper()), (9, None)],
+                                  "item_id long, text string")
+    texts = spark.createDataFrame([(1, f"{first} and {second}"), (2, second), (3, "nothing"), (None, first)], "doc_id long, text string")
+    results = [Counter(tuple(r) for r in decontaminate.benchmark_leaks(texts, items, block_chars=n).collect())
+               for n in (1_000_000, 100, 10, 1)]
+    assert results[0] == results[1] == results[2] == results[3]
+    assert sum(results[0].values()) == 5 + 2 + 3
+    kept = [sorted(r.doc_id for r in decontaminate.without_leaks(texts, items, block_chars=n).collect()) for n in (1_000_000, 10)]
+    assert kept == [[3], [3]]

@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendloom.llm.common import own_cache
+
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PYTHON_ONLY_WHITE = regex.compile("[\\x1c-\\x1f]")      # str.split cuts here, the vocabulary does not
 _CHUNK = regex.compile(f"[^{_WHITE}]+")
@@ -156,6 +158,7 @@ _loaded: dict[str, WordBpe] = {}
 
 def _worker_bpe(path: str) -> WordBpe:
     """One encoder per Python worker; another vocabulary takes its place."""
+    own_cache("bpe", _loaded.clear)
     if path not in _loaded:
         _loaded.clear()
         with open(path, encoding="utf-8") as f:

@@ -1,6 +1,8 @@
 """Small helpers shared by the operators."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,15 @@ def fold(key: Column, folds: int = 5) -> Column:
 
 def held_out(key: Column) -> Column:
     return fold(key) == 0
+
+
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def own_cache(name: str, clear: Callable[[], None]) -> None:
+    """Called in a worker before an operator fills what it remembers there: what other operators remember is
+    dropped, as workers live on from one operator to the next."""
+    for other, drop in _caches.items():
+        if other != name:
+            drop()
+    _caches[name] = clear

@@ -12,8 +12,8 @@ The search is a map over whole texts: no shuffle, no pairs of documents, one ans
 table per block, so neither the driver nor a task ever holds more of a benchmark than that.
 
 Null texts, and items that are null or empty after normalising, match nothing. An item longer than a
-text by more than ``k`` cannot match it. Repeated items (same id and text) give one row; rows without
-an id keep a null id. Columns of other names are ignored.
+text by more than ``k`` cannot match it. Repeated items (same id and text) give one row; items that share
+an id or have none are told apart by their text and give a row each; rows without an id keep a null id. Columns of other names are ignored.
 """
 from __future__ import annotations
 
@@ -79,7 +79,7 @@ class Matcher:
     """Finds the items of one block in normalised texts."""
 
     def __init__(self, items: Iterable[tuple[int | None, str]], error_rate: float = ERROR_RATE) -> None:
-        self.items = sorted({(i, normal(t)) for i, t in items if normal(t)}, key=repr)
+        self.items = [(i, normal(t)) for i, t in sorted(set(items), key=repr) if normal(t)]
         self.budgets = [int(error_rate * len(t)) for _, t in self.items]
         self.masks = [letter_masks(t) for _, t in self.items]
         self.backward = [letter_masks(t[::-1]) for _, t in self.items]
@@ -114,10 +114,10 @@ class Matcher:
         return windows
 
     def find(self, text: str) -> list[tuple[int | None, int, int, int]]:
-        """``(item, distance, start, stop)`` of the best place of every item found."""
+        """``(item, distance, start, stop)`` of the best place of every item found; items are told apart by id and text."""
         if not self.items:
             return []
-        found: dict[int | None, tuple[int, int, int]] = {}
+        found = []
         for n, windows in self._windows(text).items():
             item_id, item = self.items[n]
             best = None
@@ -132,9 +132,9 @@ class Matcher:
                         back = text[max(lo, stop - len(item) - hit[0]):stop][::-1]
                         start = stop - (myers(self.backward[n], len(item), back, hit[0]) or (0, len(item)))[1]
                         best = (hit[0], start, stop)
-            if best and (item_id not in found or best < found[item_id]):
-                found[item_id] = best
-        return [(i, *b) for i, b in found.items()]
+            if best:
+                found.append((item_id, *best))
+        return found
 
 
 def blocks_of(items: DataFrame, id_col: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import sent_if_small
+from trendloom.llm.common import own_cache, sent_if_small
 from trendloom.llm.graph import components
 from trendloom.session import materialize
 
@@ -118,6 +118,7 @@ def sketch(docs: DataFrame, width: int, trees: int, id_col: str, text: str) -> D
 
     @F.pandas_udf(schema)
     def sketched(texts: pd.Series) -> pd.DataFrame:
+        own_cache("near_dup", _words.clear)
         rows = []
         for t in texts:
             shingles = shingle_set(t, width)
@@ -307,10 +308,9 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     return linked_pairs(pairs, sets_of(wanted, docs, width, text), threshold)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
-                    id_col: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links
-    of at least ``threshold``) and ``kept``. Links are not counted, as pairs within a group are not all looked at."""
+def grouped(docs: DataFrame, width: int, threshold: tuple[int, int], id_col: str, text: str,
+            region: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and ``set_hash, component`` of the classes that are linked with another."""
     trees = trees_for(threshold[0] / threshold[1])
     rows = materialize(sketch(docs, width, trees, id_col, text), "forest-sketch")
     keys = [f"keys{i}" for i in range(len(DEPTHS))]
@@ -335,7 +335,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
         more = materialize(linked_pairs(last, held, threshold), "forest-links")
         links = links.unionByName(more)
         groups = components(links)
-    linked = groups.withColumnRenamed("id", "set_hash")
+    return rows, groups.withColumnRenamed("id", "set_hash")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
+                    id_col: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
+    """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links
+    of at least ``threshold``) and ``kept``. Links are not counted, as pairs within a group are not all looked at."""
+    rows, linked = grouped(docs, width, threshold, id_col, text, region)
     sets = rows.where(F.col("set_hash").isNotNull()).groupBy("set_hash").agg(F.min("id").alias("first"))
     named = materialize(sets.join(linked, "set_hash", "left")
                         .withColumn("component", F.coalesce("component", "set_hash")), "forest-components")
@@ -348,14 +355,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
 
 
 def one_per_group(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5), id_col: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """The documents without those that another of their group stands for. Rows without an id stay, and
-    of rows that repeat both id and text one stays."""
-    found = materialize(near_duplicates(docs, width, threshold, id_col, text).select(id_col, "kept"), "forest-kept")
-    dropped = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct(), "forest-dropped")
-    rest = docs.join(sent_if_small(dropped, 8), id_col, "left_anti")
-    twice = materialize(found.where("kept").groupBy(id_col).count().where("count > 1").select(id_col), "forest-repeated")
-    if twice.isEmpty():
-        return rest.select(*docs.columns)
-    again = rest.join(twice, id_col, "left_semi").dropDuplicates([id_col, text])
-    return rest.join(twice, id_col, "left_anti").unionByName(again).select(*docs.columns)
+                  text: str = "text", region: int = REGION) -> DataFrame:
+    """The documents without those that another row of their group stands for: of a group's rows, told apart by id and
+    text, the one with the smallest id stays (of several texts of that id the one of the smallest MD5). Rows without
+    an id or without words stay, and of rows that repeat both id and text one stays."""
+    rows, linked = grouped(docs, width, threshold, id_col, text, region)
+    named = rows.where("id is not null and set_hash is not null")
+    row = F.struct("id", "text_hash")
+    firsts = materialize(named.groupBy("set_hash").agg(F.min(row).alias("first")).join(linked, "set_hash", "left"), "forest-firsts")
+    stay = materialize(firsts.groupBy(F.coalesce("component", "set_hash")).agg(F.min("first").alias("first")).select("first.*"),
+                       "forest-stay")
+    seen = materialize(rows.where("id is not null").groupBy("id", "text_hash").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("set_hash").isNotNull()).alias("named")), "forest-seen")
+    gone = materialize(seen.where("named").select("id", "text_hash").join(stay, ["id", "text_hash"], "left_anti"), "forest-dropped")
+    twice = materialize(seen.where("n > 1").select("id", "text_hash").join(gone, ["id", "text_hash"], "left_anti"), "forest-repeated")
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.md5(text)})
+
+    def meets(other: DataFrame) -> Column:
+        return (keyed["__id"] == other["id"]) & keyed["__hash"].eqNullSafe(other["text_hash"])
+    rest = keyed.join(sent_if_small(gone, 40), meets(gone), "left_anti")
+    if not twice.isEmpty():
+        again = rest.join(sent_if_small(twice, 40), meets(twice), "left_semi").dropDuplicates(["__id", "__hash"])
+        rest = rest.join(sent_if_small(twice, 40), meets(twice), "left_anti").unionByName(again)
+    return rest.select(*docs.columns)

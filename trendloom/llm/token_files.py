@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.bpe import byte_symbols
-from trendloom.llm.common import sent_if_small
+from trendloom.llm.common import own_cache, sent_if_small
 
 END = 2
 STRIPE_BYTES = 32 << 20
 STRIDE = 1000                # documents of one row-index entry
 KEEP_CHUNKS = 400_000        # entries of each of the two generations a worker keeps
 KEEP_CHARS = 16_000_000      # characters of each
-_BATCH_CHARS = 1 << 20       # text encoded at a time
+_BATCH_CHARS = 1 << 21       # text encoded at a time
 
 # The white space at which the vocabulary's pattern cuts.
 _RARE_WHITE = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -154,6 +154,7 @@ _loaded: dict[int, ChunkEncoder] = {}
 
 def _encoder(vocabulary: str) -> ChunkEncoder:
     """One encoder per worker; another vocabulary takes its place."""
+    own_cache("token_files", _loaded.clear)
     key = hash(vocabulary)
     if key not in _loaded:
         _loaded.clear()
@@ -218,7 +219,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = END, id
         .repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place") \
         .select("doc_id", F.spark_partition_id().alias("part"), "text")
     ordered.mapInArrow(_numbered(sent, end), "doc_id long, part int, local_start long, n_tokens int, ids array<int>") \
-        .write.option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", stride) \
+        .write.option("compression", "lz4").option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", stride) \
         .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01) \
         .option("orc.rows.between.memory.checks", 200).orc(f"{path}/tokens")
     sizes = spark.read.orc(f"{path}/tokens").groupBy("part").agg(

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.llm.common import held_out
+from trendloom.llm.common import held_out, own_cache, sent_if_small
 from trendloom.session import materialize
 
 LABELLED = 6000
@@ -39,6 +39,7 @@ LEXICON_VOTERS = 8
 EVIDENCE = 30.0              # likelihood-ratio statistic an entry must reach
 STEMS = (4, 5, 6)            # lengths of the word stems that are counted beside whole words
 DENSITIES = (0.004, 0.01, 0.02)   # shares of a text's words at which an entry counts once more
+COUNTED = 100_000            # entries a task counts before it hands them on
 LIFT = 30                    # times an entry must be likelier in toxic texts
 PRIOR = 0.1
 _WORD = re.compile(r"[^\W\d_]+")
@@ -213,15 +214,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str,
     return materialize(known.where(keep), "labelled-sample"), sizes.get(1, 0) / total if total else PRIOR
 
 
-def learn_lexicon(texts: DataFrame, limit: int = LEXICON) -> dict[str, int]:
-    """The entries that tell the classes apart best among the sampled ``text, toxic`` rows."""
+def learn_lexicon(texts: DataFrame, limit: int = LEXICON, counted: int = COUNTED) -> dict[str, int]:
+    """The entries that tell the classes apart best among the sampled ``text, toxic`` rows. A task hands its counts
+    on whenever it holds ``counted`` entries."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         toxic, clean = Counter(), Counter()
+
+        def given() -> pd.DataFrame:
+            both = list(toxic.keys() | clean.keys())
+            counts = pd.DataFrame({"entry": pd.Series(both, dtype=object), "a": [toxic[e] for e in both], "b": [clean[e] for e in both]})
+            toxic.clear()
+            clean.clear()
+            return counts
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"]):
                 (toxic if label else clean).update(entries_of(text))
-        both = toxic.keys() | clean.keys()
-        yield pd.DataFrame({"entry": list(both), "a": [toxic[e] for e in both], "b": [clean[e] for e in both]})
+                if len(toxic) + len(clean) > counted:
+                    yield given()
+        yield given()
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return {}
@@ -244,14 +254,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     sample, prior = labelled_sample(docs, labels, id_col, text, label, labelled)
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")) \
         .withColumn("hash", F.xxhash64("text"))
-    wanted = [r["hash"] for r in sample.collect()]           # about two times ``labelled`` numbers
-    texts = rows.where(F.col("hash").isin(wanted)).dropDuplicates(["hash"]).join(sample, "hash")
+    texts = rows.join(sent_if_small(sample, 16), "hash").dropDuplicates(["hash"])    # about two times ``labelled`` rows
     lexicon = learn_lexicon(texts, lexicon_size)
 
     known = plain_entries(lexicon)
 
     @F.pandas_udf("votes string, entries array<int>")
     def voted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own_cache("toxicity", lambda: None)
         for batch in batches:
             yield pd.DataFrame([evidence(t, lexicon, known) for t in batch], columns=["votes", "entries"])
     votes = materialize(rows.select("hash", voted("text").alias("v")).select("hash", "v.*"), "toxic-votes")
@@ -264,7 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         {r["votes"]: r["count"] for r in labelled_votes if r["toxic"] == 1},
         {r["votes"]: r["count"] for r in labelled_votes if r["toxic"] == 0}, min(max(prior, 0.001), 0.999))
     share = min(1.0, fitted / max(1, sum(r["count"] for r in counted)))
-    drawn = votes.where(_sampled(F.struct("hash", "votes"), share) | F.col("hash").isin(wanted)) \
+    known_too = votes.join(sent_if_small(sample.select("hash"), 16), "hash", "left_semi")
+    drawn = votes.where(_sampled(F.struct("hash", "votes"), share)).unionByName(known_too) \
         .dropDuplicates(["hash"]).select("votes", "entries").collect()
     rows_ = [(r["votes"], r["entries"]) for r in drawn]
     targets = np.array([posterior[v] for v, _ in rows_], np.float32)
