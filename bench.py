@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from contract.queries import (  # noqa: E402
-    QUERIES, landed_works, star_works, stored_preprints, stored_works,
+    QUERIES, star_works, stored_preprints, stored_raw_works, stored_works,
 )
 from trendloom.session import build_session  # noqa: E402
 
@@ -42,7 +42,7 @@ def main() -> None:
         "spark.ui.enabled": "false", "spark.driver.memory": "12g",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    for prepare in (stored_works, stored_preprints, star_works, landed_works):    # shared inputs, not timed
+    for prepare in (stored_works, stored_preprints, star_works, stored_raw_works):    # shared inputs, not timed
         prepare(spark, sf_dir)
 
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")

@@ -58,6 +58,16 @@ def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_raw_works(spark, landed_works(spark, sf_dir))
 
 
+def stored_raw_works(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "raw-landed",
+                 lambda path: tables.land_raw_works(spark, landed_works(spark, sf_dir), path))
+
+
+def raw_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records from Parquet, with the inverted index as text."""
+    return tables.read_landed_works(spark, stored_raw_works(spark, sf_dir))
+
+
 def preprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_preprints(spark, stored_preprints(spark, sf_dir))
 
@@ -215,20 +225,21 @@ def shape_rules(spark, sf_dir):
 
 def restore_text(spark, sf_dir):
     from trendloom.functions.text import restore_text as restore
-    return raw_works(spark, sf_dir).select(
-        "id", restore(F.col("abstract_inverted_index")).alias("abstract"))
+    raw = raw_landed(spark, sf_dir)
+    return raw.withColumn("index", normalize.parsed_index(raw)).select(
+        "id", restore(F.col("index")).alias("abstract"))
 
 
 def normalize_works(spark, sf_dir):
-    return flat_works(normalize.works_from_raw(raw_works(spark, sf_dir)))
+    return flat_works(normalize.works_from_raw(raw_landed(spark, sf_dir)))
 
 
 def link_id_extract(spark, sf_dir):
-    return normalize.works_from_raw(raw_works(spark, sf_dir)).select("id", "arxiv_id")
+    return normalize.works_from_raw(raw_landed(spark, sf_dir)).select("id", "arxiv_id")
 
 
 def institutions_dedup(spark, sf_dir):
-    works = normalize.works_from_raw(raw_works(spark, sf_dir))
+    works = normalize.works_from_raw(raw_landed(spark, sf_dir))
     return works.select("id", *[F.array_join(c, "|", "-").alias(c) for c in (
         "institution_ids", "institution_names", "institution_countries")])
 

@@ -5,7 +5,9 @@ from helpers import raw
 
 from trendloom.operators.normalize import preprints_from_oai, works_from_raw
 from trendloom.schemas import PREPRINTS, WORKS, conforms
-from trendloom.sources.tables import parse_records, read_raw_preprints
+from trendloom.sources.tables import (
+    land_raw_works, parse_records, read_landed_works, read_raw_preprints, read_raw_works,
+)
 
 NAMESPACES = ("http://www.openarchives.org/OAI/2.0/", "http://arxiv.org/OAI/arXiv/")
 
@@ -147,3 +149,35 @@ def test_xml_is_parsed_once(spark):
 def test_restoring_stays_in_the_jvm(spark):
     plan = works_from_raw(raw(spark, []))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "InPandas" not in plan
+
+
+INDEX_LINES = ['{"id": "u/1", "abstract_inverted_index": {"b": [1, 3], "a": [0], "c": [2, 3]}, "cited_by_count": 3}',
+               '{"id": "u/2", "abstract_inverted_index": {}}', '{"id": "u/3", "abstract_inverted_index": null}', '{"id": "u/4"}',
+               '{"id": "u/5", "abstract_inverted_index": {"say \\"ü\\" {": [7], "z": null, "": [2]}}',
+               '{"id": "u/6", "abstract_inverted_index": {"x": []}, "title": "t"}']
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    (tmp_path / "in.json").write_text("\n".join(INDEX_LINES), encoding="utf-8")
+    land_raw_works(spark, str(tmp_path / "in.json"), str(tmp_path / "landed"))
+    return read_landed_works(spark, str(tmp_path / "landed"))
+
+
+def test_landed_text_index_normalises_like_the_parsed_one(spark, tmp_path, landed):
+    direct = works_from_raw(read_raw_works(spark, str(tmp_path / "in.json"))).orderBy("id").collect()
+    assert works_from_raw(landed).orderBy("id").collect() == direct
+    assert [r.abstract for r in direct] == ["a b c c", None, None, None, ' say "ü" {', None]
+
+
+def test_index_is_neither_read_nor_parsed_unless_asked_for(spark, landed):
+    plan = works_from_raw(landed).select("id", "arxiv_id", "institution_ids")._jdf.queryExecution().executedPlan().toString()
+    assert "inverted_index" not in plan and "from_json" not in plan.lower() and "jsontostructs" not in plan.lower()
+    whole = works_from_raw(landed)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert whole.count("from_json") == 1
+
+
+def test_broken_records_stop_the_landing(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"id": "u/1", "abstract_inverted_index": {"a": [0]\n', encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
+        land_raw_works(spark, str(tmp_path / "bad.json"), str(tmp_path / "never"))

@@ -8,7 +8,7 @@ from trendloom.functions.arrays import bind, drop_blank, keep_edges, or_empty
 from trendloom.functions.text import (
     collapse, empty_to_null, link_id, restore_text, short_id, strip,
 )
-from trendloom.schemas import PREPRINTS, TOPIC, WORKS
+from trendloom.schemas import PREPRINTS, RAW_WORK, TOPIC, WORKS
 
 _INSTITUTIONS = "struct<id:string,display_name:string,country_code:string>"
 
@@ -48,13 +48,22 @@ def institution_lists(authorships: Column) -> Column:
         xs["id"].alias("ids"), xs["name"].alias("names"), xs["country"].alias("countries")))
 
 
+def parsed_index(raw: DataFrame, column: str = "abstract_inverted_index") -> Column:
+    """The inverted index as a map. Landed as text it is parsed here, and nowhere if nothing reads the result;
+    text that is no index is an error, as in a parsed read."""
+    if raw.schema[column].dataType.typeName() != "string":
+        return F.col(column)
+    return F.from_json(column, RAW_WORK[column].dataType, {"mode": "FAILFAST"})
+
+
 def works_from_raw(raw: DataFrame, old_style_ids: bool = False) -> DataFrame:
-    """Nested work records to the ``WORKS`` table, one row each."""
+    """Nested work records to the ``WORKS`` table, one row each; the inverted index may be text."""
     location = F.col("primary_location")
     subfield = short_id(F.col("primary_topic.subfield.id"))
     authorships = or_empty(F.col("authorships"), f"struct<institutions:array<{_INSTITUTIONS}>>")
     topics = F.transform(F.col("topics"), topic_struct)
-    shaped = raw.withColumn("institutions", institution_lists(authorships))
+    shaped = raw.withColumns({
+        "institutions": institution_lists(authorships), "abstract_inverted_index": parsed_index(raw)})
     columns = {
         "id": short_id(F.col("id")),
         "doi": F.col("doi"),

@@ -76,6 +76,10 @@ RAW_WORK = _struct(
         landing_page_url=_STR, pdf_url=_STR, source=_struct(display_name=_STR)),
 )
 
+#: Raw works as they are landed: the inverted index stays JSON text, read and parsed only for an abstract.
+RAW_LANDED = T.StructType([
+    T.StructField(f.name, _STR) if f.name == "abstract_inverted_index" else f for f in RAW_WORK.fields])
+
 RAW_PREPRINT = _struct(
     header=_struct(_status=_STR, identifier=_STR),
     metadata=_struct(arXiv=_struct(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendloom.schemas import PREPRINTS, RAW_PREPRINT, RAW_WORK, WORKS
+from trendloom.schemas import PREPRINTS, RAW_LANDED, RAW_PREPRINT, RAW_WORK, WORKS
 
 
 def _locate(spark: SparkSession, path: str):
@@ -127,6 +127,21 @@ def read_raw_works(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(RAW_WORK).json(landing)
 
 
+def land_raw_works(spark: SparkSession, landing: str, out: str, rows_per_file: int = 200_000) -> None:
+    """Landed JSON records once as Parquet, with the inverted index as text in a column of its own.
+
+    All other fields are parsed for good; the index, which is most of a record, is copied unparsed. A
+    reader that asks for no abstract then neither reads nor parses it.
+    """
+    spark.read.schema(RAW_LANDED).option("mode", "FAILFAST").json(landing).write \
+        .option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(out)
+
+
+def read_landed_works(spark: SparkSession, path: str) -> DataFrame:
+    """Raw records written by ``land_raw_works``, for ``works_from_raw``."""
+    return spark.read.schema(RAW_LANDED).parquet(path)
+
+
 def read_raw_preprints(spark: SparkSession, landing: str) -> DataFrame:
     """Landed XML pages, one row per ``record`` element."""
     return spark.read.format("xml").option("rowTag", "record").schema(RAW_PREPRINT).load(landing)
