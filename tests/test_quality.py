@@ -7,7 +7,9 @@ import pytest
 from helpers import preprints, works
 from pyspark.sql import functions as F
 
-from trendloom.operators import quality
+from trendloom.operators import counts, quality
+from trendloom.operators.filters import SliceSpec
+from trendloom.plans import reports
 from trendloom.sources import documents, sinks, tables
 
 
@@ -113,3 +115,69 @@ def test_ground_truth_shape(spark, tmp_path):
 def test_embedding_check(spark, vectors, expected):
     df = spark.createDataFrame(vectors, "id string, embedding array<float>")
     assert tuple(quality.embedding_check(df, 2).collect()[0]) == expected
+
+
+def scanned(spark, df):
+    """The same rows, and a count of how often they are all read."""
+    rows, n = spark.sparkContext.accumulator(0), df.count()
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(count, df.schema), lambda: rows.value / n
+
+
+def mixed_works(spark):
+    return works(spark, [dict(
+        id=None if i % 11 == 0 else f"W{i % 25}", doi=["", None, f"d{i % 7}"][i % 3], arxiv_id=["", None, f"p{i % 9}"][i % 3],
+        abstract="a" if i % 4 else None, publication_year=None if i % 10 == 9 else 2010 + i % 3, type=[f"t{i % 5}", None][i % 13 == 0],
+        primary_topic=(f"T{i % 4}", f"n{i % 2}", 0.5) if i % 6 else None,
+        institution_countries=[["RU", "RU", None], [], None, ["DE"]][i % 4]) for i in range(60)])
+
+
+def test_keys_of_all_kinds_in_one_scan(spark):
+    w = mixed_works(spark)
+    p = preprints(spark, [dict(id=x) for x in ("p2", "p5", "p5", None, None, "", "zz")])
+    counted, scans = scanned(spark, w)
+    got = counts.key_counts(counted, p).collect()[0].asDict()
+    assert scans() == 1
+    one = lambda df: df.collect()[0][0]                                             # noqa: E731
+    named = {r.arxiv_id for r in w.collect() if r.arxiv_id}
+    assert got == {"duplicate_ids": one(counts.duplicate_count(w, "id")), "shared_dois": one(counts.duplicate_count(w, "doi", skip_empty=True)),
+                   "named": len(named), "matched": len(named & {"p2", "p5", "zz"}), "duplicate_preprints": one(counts.duplicate_count(p, "id"))}
+    assert set(counts.key_counts(works(spark, [])).collect()[0]) == {0}
+
+
+def test_cells_of_all_groupings_in_one_scan(spark):
+    w = mixed_works(spark)
+    counted, scans = scanned(spark, w)
+    cells = counts.corpus_cells(counted).collect()
+    assert scans() == 1
+    countries = {r.id: r.n for r in cells if r.kind == "country"}
+    assert countries == {r.country: r.n for r in counts.country_counts(w).collect()}
+    by_year = {(r.year, r.id): (r.n, r.with_abstract) for r in cells if r.kind == "year"}
+    assert by_year == {(r[0], r[1]): (r[2], r[3]) for r in w.groupBy("publication_year", "type").agg(
+        F.count(F.lit(1)), F.count("abstract")).collect()}
+    topics = {(r.id, r.name, r.year): r.n for r in cells if r.kind == "topic"}
+    assert topics == {tuple(r[:3]): r[3] for r in w.groupBy("primary_topic.id", "primary_topic.name", "publication_year").count().collect()}
+
+
+def test_acceptance_scans_works_twice(spark):
+    counted, scans = scanned(spark, mixed_works(spark))
+    p = preprints(spark, [dict(id="p2", created="2010-01-01"), dict(id="p2")])
+    report = {r.check: r.value for r in quality.acceptance(counted, years(spark, [(2010, 20), (2012, 5)], "expected"), p).collect()}
+    assert scans() == 2
+    assert report["works"] == 60 and report["linked_preprints"] == 1 and report["duplicate_preprints"] == 1
+    empty = {r.check: r.ok for r in quality.acceptance(works(spark, []), years(spark, [], "expected"), p, min_rows=0).collect()}
+    assert empty["works"] and empty["duplicate_ids"] and not empty["abstract_share"]
+
+
+def test_catalogue_bounds_types_and_treats_null_years_alike(spark):
+    w = mixed_works(spark)
+    counted, scans = scanned(spark, w)
+    sample = works(spark, [dict(id="s", publication_year=2010)])
+    doc = reports.catalog_doc(counted, preprints(spark, []), sample, SliceSpec(), min_works=1, top_types=2).collect()[0]
+    assert scans() == 1
+    assert doc["years"] == [2010, 2011, 2012] and doc["totals"]["works"] == 60 and sum(doc["by_year"]) == 54
+    assert len(doc["by_type"]) == 2 and all(len(t["series"]) == 3 for t in doc["topics"])

@@ -116,6 +116,49 @@ def country_top(works: DataFrame, k: int = 20, per: str = "work",
         .orderBy(F.desc("n"), F.asc_nulls_last("country")).limit(k)
 
 
+def corpus_cells(works: DataFrame) -> DataFrame:
+    """Counts of several groupings in one scan: ``(kind, year, id, name, n, with_abstract)``.
+
+    ``year`` rows are by year and type (``id``), ``topic`` rows by topic, its name and year, ``country`` rows once per
+    work and country. Every work gives its rows of all groupings at once (an expand), which partial aggregation
+    folds before the one shuffle. Null years, types, topics and countries are values of their own.
+    """
+    year, topic = F.col("publication_year").cast("int"), F.col("primary_topic")
+    none = F.lit(None).cast("string")
+
+    def cell(kind: str, y: Column, key: Column, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), y.alias("year"), key.alias("id"), name.alias("name"))
+    countries = F.transform(F.coalesce(F.array_distinct("institution_countries"), F.array().cast("array<string>")),
+                            lambda c: cell("country", F.lit(None).cast("int"), c, none))
+    listed = F.concat(F.array(cell("year", year, F.col("type"), none), cell("topic", year, topic["id"], topic["name"])), countries)
+    return works.select(F.inline(listed), has_text().alias("text")).groupBy("kind", "year", "id", "name") \
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("text").alias("with_abstract"))
+
+
+def key_counts(works: DataFrame, preprints: DataFrame | None = None) -> DataFrame:
+    """One row of duplicates and links from one scan of each table: ``duplicate_ids, shared_dois, named, matched,
+    duplicate_preprints``.
+
+    Ids, DOIs and preprint ids of works, and ids of preprints, are grouped together by kind and key; a
+    preprint meets the works that name it as one more count of the same key. Lost ids are keys like any other,
+    lost DOIs and links are none.
+    """
+    kept = F.filter(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("key")) for kind, c in (
+        ("id", "id"), ("doi", "doi"), ("link", "arxiv_id"))]), lambda x: (x["kind"] == "id") | (x["key"] != ""))
+    keys = works.select(F.inline(kept), F.lit(False).alias("held"))
+    if preprints is not None:
+        keys = keys.unionByName(preprints.select(F.lit("link").alias("kind"), F.col("id").alias("key"), F.lit(True).alias("held")))
+    by_key = keys.groupBy("kind", "key").agg(F.count_if(~F.col("held")).alias("works"), F.count_if("held").alias("held"))
+
+    def extra(kind: str, count: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & (F.col(count) > 0), F.col(count) - 1)), F.lit(0))
+    link = (F.col("kind") == "link") & (F.col("works") > 0)
+    return by_key.agg(
+        extra("id", "works").alias("duplicate_ids"), extra("doi", "works").alias("shared_dois"),
+        F.count_if(link).alias("named"), F.count_if(link & (F.col("held") > 0)).alias("matched"),
+        extra("link", "held").alias("duplicate_preprints"))
+
+
 def preprints_by_year(preprints: DataFrame) -> DataFrame:
     """Preprints per year of the first version; undated ones do not count."""
     return preprints.where(F.col("created") != "") \

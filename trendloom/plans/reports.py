@@ -4,17 +4,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendloom.operators.counts import country_counts
-from trendloom.operators.filters import SliceSpec, catalogue_rows, has_text
+from trendloom.operators.counts import corpus_cells
+from trendloom.operators.filters import SliceSpec, catalogue_rows
 from trendloom.operators.sampling import systematic_sample
 from trendloom.plans.trends import (
-    CATALOGUE_MIN_WORKS, CATALOGUE_TOPICS, growth_from_cells, topic_cells,
+    CATALOGUE_MIN_WORKS, CATALOGUE_TOPICS, growth_from_cells,
 )
 from trendloom.session import materialize
 
 # List lengths of the catalogue.
 COUNTRIES_SHOWN = 20
 WORKS_SHOWN = 4000
+TYPES_SHOWN = 50
 
 # The validation block before any validation has run.
 CUTOFF_YEAR = 2021
@@ -37,25 +38,25 @@ def _counts(df: DataFrame, key: str) -> Column:
 
 def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec: SliceSpec,
                 min_works: int = CATALOGUE_MIN_WORKS, top_topics: int = CATALOGUE_TOPICS,
-                shown: int = WORKS_SHOWN, growth_digits: int | None = 2) -> DataFrame:
+                shown: int = WORKS_SHOWN, growth_digits: int | None = 2, top_types: int = TYPES_SHOWN) -> DataFrame:
     """Years, totals, yearly series, types, countries, topics and sampled works in one row.
 
-    The counts by year and type, by topic and year, by country and by preprint year are written
-    once each and serve several parts, so every column of the corpus is read once.
-    Every list in the document is bounded: by years, types, or the lengths of its top lists.
+    One scan of the works counts years, types, topics and countries together; the counts are written
+    once and serve all parts. The sample is read apart from it, by its keys. Every list in the document is
+    bounded: by years, or the lengths of its top lists. A null year is in the totals and in no series.
     """
-    cells = materialize(works.groupBy(
-        F.col("publication_year").cast("int").alias("year"), "type").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(has_text()).alias("with_abstract")), "cells")
-    countries = materialize(country_counts(works), "countries")
+    cells = materialize(corpus_cells(works), "cells")
     first_years = materialize(preprints.groupBy(F.substring("created", 1, 4).alias("created"))
                               .agg(F.count(F.lit(1)).alias("preprints")), "preprint-years")
     pre = first_years.select(F.col("created").try_cast("int").alias("year"), "preprints")
 
-    yearly = cells.groupBy("year").agg(F.sum("n").alias("n"), F.sum("with_abstract").alias("a"))
+    by_year = cells.where("kind = 'year'")
+    countries = cells.where("kind = 'country'").select(F.col("id").alias("country"), "n")
+    yearly = by_year.where("year is not null").groupBy("year").agg(F.sum("n").alias("n"), F.sum("with_abstract").alias("a"))
     years = yearly.join(pre, "year", "left").withColumn("p", F.coalesce("preprints", F.lit(0)))
     series = years.agg(F.sort_array(F.collect_list(F.struct("year", "n", "a", "p")))).scalar()
-    by_topic = topic_cells(works)
+    by_topic = cells.where("kind = 'topic'").select(
+        F.col("id").alias("topic_id"), F.col("name").alias("topic_name"), "year", F.col("n").alias("works"))
     topics = growth_from_cells(by_topic, min_works, top_topics, growth_digits)
     topics_listed = topics.select(
         (-F.col("growth")).alias("down"), F.col("topic_id").alias("id"), "name", "works", "growth",
@@ -64,18 +65,20 @@ def catalog_doc(works: DataFrame, preprints: DataFrame, sample: DataFrame, spec:
         .agg(F.count(F.lit(1))).scalar()
     rows = catalogue_rows(systematic_sample(sample, shown))
     totals = {
-        "works": cells.agg(F.sum("n")).scalar(),
+        "works": by_year.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar(),
         "preprints": first_years.agg(F.coalesce(F.sum("preprints"), F.lit(0))).scalar(),
-        "with_abstract": cells.agg(F.sum("with_abstract")).scalar(),
+        "with_abstract": by_year.agg(F.coalesce(F.sum("with_abstract"), F.lit(0))).scalar(),
         "countries": countries.agg(F.count(F.lit(1))).scalar(),
         "topics": n_topics,
     }
     top_countries = countries.orderBy(F.desc("n"), F.asc_nulls_last("country")) \
         .limit(COUNTRIES_SHOWN)
+    types = by_year.groupBy(F.col("id").alias("type")).agg(F.sum("n").alias("n")) \
+        .orderBy(F.desc("n"), F.asc_nulls_last("type")).limit(top_types)
     one = works.sparkSession.range(1).select(
         series.alias("s"),
         F.struct(*[value.alias(name) for name, value in totals.items()]).alias("totals"),
-        _counts(cells, "type").alias("by_type"),
+        _counts(types, "type").alias("by_type"),
         _counts(top_countries, "country").alias("by_country"),
         _one_array(topics_listed, ["down", "id"],
                    F.struct("id", "name", "works", "growth", "series")).alias("topics"),
