@@ -162,6 +162,8 @@ ORACLE: dict[str, str] = {
     "probe_limit": "SELECT least(100, count(*)) AS n FROM documents",
     "series_long": _w(" SELECT series, year, n FROM ys", _SERIES),
     "series_refresh": _w(f""" SELECT series, year, n FROM ys
+  UNION ALL SELECT 'slice_embeddable', year, n FROM ({_EMB_YEAR})""", _SERIES),
+    "series_incremental": _w(f""" SELECT series, year, n FROM ys
   UNION ALL SELECT 'slice_embeddable', year, n FROM ({_EMB_YEAR})""", _SERIES),
     "manifest_check": _MANIFEST_CHECK,
     "manifest_years": _w(""" SELECT e.year, count(*) AS rows, e.expected,

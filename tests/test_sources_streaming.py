@@ -10,11 +10,12 @@ from helpers import preprints, raw, works
 from pyspark.sql import functions as F
 
 from trendloom import session
+from trendloom.operators import counts
 from trendloom.operators.filters import SliceSpec
 from trendloom.plans import reports
 from trendloom.schemas import PREPRINTS, WORKS, conforms
 from trendloom.sources import documents, sinks, tables
-from trendloom.streaming import ingest
+from trendloom.streaming import ingest, series
 
 
 def some_works(spark, n=10):
@@ -225,3 +226,48 @@ def test_no_temporary_folder_where_executors_are_separate(monkeypatch):
         conf = Conf({"spark.master": "local-cluster[2,1,1024]"})
     with pytest.raises(RuntimeError):
         session.scratch_dir(Session())
+
+
+SERIES_SPEC = SliceSpec(subfield_ids=(1, 2), year_start=2010, year_end=2020)
+
+
+def series_works(spark, years, start=0):
+    return works(spark, [dict(id=f"W{start + i}", publication_year=y, type=["article", "book"][i % 2], language=["en", None, "de"][i % 3],
+                              abstract=[None, "a", " "][i % 3], primary_subfield_id=i % 4) for i, y in enumerate(years)])
+
+
+def recounted(df):
+    both = counts.works_by_year(df, SERIES_SPEC).unionByName(
+        counts.embeddable_by_year(df).select(F.lit("slice_embeddable").alias("series"), "year", F.col("n").cast("bigint")))
+    return sorted(map(tuple, both.collect()), key=str)
+
+
+def test_series_grow_by_what_is_new_and_old_files_are_not_read(spark, fresh):
+    first, second = series_works(spark, [2010, 2011, 2011, 2009, None] * 4), series_works(spark, [2011, 2012, None] * 5, 100)
+    out, parts, seen = fresh("out"), fresh("parts"), fresh("seen")
+    sinks.write_works(first, out)
+    got = series.refresh_series(spark, out, parts, seen, SERIES_SPEC, files_per_batch=1)
+    assert sorted(map(tuple, got.collect()), key=str) == recounted(first)
+    for old in Path(out).glob("year=*"):
+        shutil.rmtree(old)
+    sinks.write_works(second, out, mode="append")
+    both = recounted(first.unionByName(second))
+    for _ in range(2):                                                  # the second refresh finds nothing new
+        got = series.refresh_series(spark, out, parts, seen, SERIES_SPEC)
+        assert sorted(map(tuple, got.collect()), key=str) == both
+
+
+def test_a_batch_that_was_written_but_not_committed_counts_once(spark, fresh):
+    df = series_works(spark, [2010, 2011, 2012] * 5)
+    out, parts, seen = fresh("out"), fresh("parts"), fresh("seen")
+    sinks.write_works(df, out)
+    series.refresh_series(spark, out, parts, seen, SERIES_SPEC, files_per_batch=1)
+    last = max((p for p in Path(seen, "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    Path(seen, "commits", f".{last.name}.crc").unlink(missing_ok=True)
+    got = series.refresh_series(spark, out, parts, seen, SERIES_SPEC, files_per_batch=1)
+    assert sorted(map(tuple, got.collect()), key=str) == recounted(df)
+
+
+def test_no_batch_gives_an_empty_series(spark, fresh):
+    assert series.merged_series(spark, fresh("parts")).collect() == []
