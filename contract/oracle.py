@@ -166,6 +166,28 @@ ORACLE: dict[str, str] = {
     "series_incremental": _w(f""" SELECT series, year, n FROM ys
   UNION ALL SELECT 'slice_embeddable', year, n FROM ({_EMB_YEAR})""", _SERIES),
     "manifest_check": _MANIFEST_CHECK,
+    "manifest_saved": _MANIFEST_CHECK,
+    "ground_truth_rules": _s(""", t AS (SELECT topic_name AS name, min(year) AS year, count(*) AS n FROM s GROUP BY 1),
+v AS (SELECT count(*) FILTER (NOT coalesce(name <> '', false)) AS a, count(*) FILTER (NOT coalesce(year > 1900 AND year < 1996, false)) AS b,
+  count(*) FILTER (n % 2 = 1) AS c, CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS d, CASE WHEN max(year) >= 1992 THEN 0 ELSE 1 END AS e FROM t)
+  SELECT rule, CAST(violations AS BIGINT) AS violations FROM (SELECT 'name_not_empty' AS rule, a AS violations FROM v
+  UNION ALL SELECT 'year_in_range', b FROM v UNION ALL SELECT 'note_not_empty', c FROM v UNION ALL SELECT 'not_empty', d FROM v
+  UNION ALL SELECT 'year_reaches_1992', e FROM v)"""),
+    "sink_preprints": """SELECT 'cs' AS "set", count(*) AS n, count(DISTINCT doc_id) AS ids FROM documents WHERE doc_id % 3 <> 0
+  UNION ALL SELECT 'stat', count(*), count(DISTINCT doc_id) FROM documents WHERE doc_id % 3 <> 1""",
+    "sample_sink": _w(f""" SELECT id, title FROM (SELECT id, title, row_number() OVER (ORDER BY id) - 1 AS i FROM w)
+  WHERE i % {_STEP.format(60)} = 0 AND i < 60 * {_STEP.format(60)}"""),
+    "works_source": _w(f""" SELECT 'full slice' AS source, count(*) AS n FROM w
+  UNION ALL SELECT 'year 2015', count(*) FILTER (year = 2015) FROM w UNION ALL SELECT 'sample', count(*) FROM (
+  SELECT row_number() OVER (ORDER BY id) - 1 AS i FROM w) WHERE i % {_STEP.format(60)} = 0 AND i < 60 * {_STEP.format(60)}"""),
+    "schema_conformity": _p(""" SELECT name, name IN ('works', 'preprints') AS conforms, CASE name WHEN 'preprints'
+  THEN (SELECT count(*) FROM p) ELSE (SELECT count(*) FROM w) END AS n FROM (VALUES ('works'), ('preprints'), ('works_without_doi'),
+  ('works_as_preprints'), ('wider_counts')) v(name)"""),
+    "trend_published": _s(""", z AS (SELECT topic_id, string_agg(printf('%.1f', share), ',' ORDER BY year) AS shares FROM g GROUP BY topic_id)
+  SELECT topic_id, CAST(printf('%.2f', growth) AS DOUBLE) AS normalized_growth, CAST(printf('%.2f', acceleration) AS DOUBLE) AS acceleration,
+  CAST(printf('%.3f', least(growth / 3, 1)) AS DOUBLE) AS score, shares FROM m JOIN z USING (topic_id)""",
+        _METRICS.replace("coalesce(c.works, 0) / CAST(yr.base AS DOUBLE) * 10000 AS share",
+                         "CAST(printf('%.1f', coalesce(c.works, 0) / CAST(yr.base AS DOUBLE) * 10000) AS DOUBLE) AS share")),
     "manifest_years": _w(""" SELECT e.year, count(*) AS rows, e.expected,
   round_even(abs(count(*) - e.expected) / CAST(e.expected AS DOUBLE), 4) AS gap, true AS has_files, true AS has_bytes
   FROM e JOIN w ON w.year = e.year GROUP BY e.year, e.expected""", SERIES_SQL),

@@ -11,6 +11,7 @@ from contract.views import pre_v, pre_xml_v, raw_v, series_v, star_v, table, wor
 from trendloom.operators import counts, embed, filters, normalize, quality, ranking, sampling
 from trendloom.operators.filters import SliceSpec
 from trendloom.plans import preview, reports, trends
+from trendloom.schemas import PREPRINTS, WORKS, conforms
 from trendloom.session import materialize, scratch_path
 from trendloom.sources import documents, sinks, tables
 from trendloom.streaming import ingest, series
@@ -200,6 +201,69 @@ def manifest_check(spark, sf_dir):
     return quality.manifest_check(saved.unionByName(gone), found)
 
 
+def manifest_saved(spark, sf_dir):
+    """The same check against a manifest document with its files inside, written and read back."""
+    found = materialize(quality.manifest_files(tables.list_files(spark, sf_dir), sf_dir), "found")
+    listed = found.where(F.col("path") != "labels.parquet").withColumn(
+        "sha256", F.when(F.col("path") == "pages.parquet", F.reverse("sha256")).otherwise(F.col("sha256"))) \
+        .unionByName(found.where(F.col("path") == "labels.parquet").withColumn("path", F.lit("gone.parquet")))
+    doc = listed.agg(F.map_from_entries(F.collect_list(F.struct(          # one entry per driver table
+        "path", F.struct("bytes", "sha256").alias("f")))).alias("files"))
+    path = scratch_path(spark, "manifest")
+    sinks.write_document(doc, path)
+    return quality.manifest_check(documents.read_manifest_files(spark, path), found)
+
+
+def ground_truth_rules(spark, sf_dir):
+    """A list of topics as a ground-truth document, with the hype year of each, read back and checked."""
+    topics = star_works(spark, sf_dir).groupBy(F.col("primary_topic.name").alias("name")).agg(
+        F.min("publication_year").cast("int").alias("hype_year"), F.count(F.lit(1)).alias("n"))
+    doc = topics.agg(F.sort_array(F.collect_list(F.struct(             # one entry per topic of the taxonomy
+        "name", "hype_year", F.when(F.col("n") % 2 == 0, F.concat(F.col("n"), F.lit(" works"))).alias("note")))).alias("entries"))
+    path = scratch_path(spark, "ground-truth")
+    sinks.write_document(doc, path)
+    return quality.shape_rules(documents.read_ground_truth(spark, path), {
+        "name_not_empty": F.col("name") != "",
+        "year_in_range": (F.col("year") > 1900) & (F.col("year") < 1996),
+        "note_not_empty": F.col("note") != "",
+    }, at_least={"year": 1992})
+
+
+def sink_preprints(spark, sf_dir):
+    """Rows and distinct ids of every set folder, before repeats across sets are dropped."""
+    stored = spark.read.parquet(stored_preprints(spark, sf_dir))
+    return stored.groupBy("set").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
+
+
+def sample_sink(spark, sf_dir):
+    path = scratch_path(spark, "sample")
+    sinks.write_sample(sampling.systematic_sample(works_v(spark, sf_dir), 60), path)
+    return tables.read_works(spark, path).select("id", "title")
+
+
+def works_source(spark, sf_dir):
+    """What is read when the slice, one of its years, or only the sample is there."""
+    full, sample, none = stored_works(spark, sf_dir), scratch_path(spark, "sample"), scratch_path(spark, "none")
+    sinks.write_sample(sampling.systematic_sample(works_v(spark, sf_dir), 60), sample)
+    read = [tables.resolve_works(spark, full, sample), tables.resolve_works(spark, full, sample, 2015),
+            tables.resolve_works(spark, none, sample)]
+    frames = [df.agg(F.lit(label).alias("source"), F.count(F.lit(1)).alias("n")) for df, label in read]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def schema_conformity(spark, sf_dir):
+    """Whether stored tables have exactly the declared columns, with their rows."""
+    works, pre = spark.read.parquet(stored_works(spark, sf_dir)).drop("year"), preprints(spark, sf_dir)
+    cases = {"works": (works, WORKS), "preprints": (pre, PREPRINTS), "works_without_doi": (works.drop("doi"), WORKS),
+             "works_as_preprints": (works, PREPRINTS), "wider_counts": (works.withColumn("cited_by_count", F.col("cited_by_count").cast("long")), WORKS)}
+    frames = [df.agg(F.lit(name).alias("name"), F.lit(conforms(df, schema)).alias("conforms"), F.count(F.lit(1)).alias("n"))
+              for name, (df, schema) in cases.items()]
+    rows = frames[0]
+    for frame in frames[1:]:
+        rows = rows.unionByName(frame)
+    return rows
+
+
 def manifest_years(spark, sf_dir):
     stored = tables.read_works_partitioned(spark, stored_works(spark, sf_dir))
     return quality.manifest_years(stored, series_v(spark, sf_dir)).select(
@@ -457,6 +521,13 @@ def trend_acceleration(spark, sf_dir):
         "topic_id", F.round("acceleration", 6).alias("acceleration"))
 
 
+def trend_published(spark, sf_dir):
+    """The metrics with the published rounding: growth from rounded shares, rank by rounded growth."""
+    metrics = trends.topic_metrics(star_works(spark, sf_dir), MIN_WORKS)
+    return metrics.select("topic_id", "normalized_growth", "acceleration", "score", F.col("series").getField("per_10k").alias("s")) \
+        .withColumn("shares", F.array_join(F.transform("s", lambda x: F.format_string("%.1f", x)), ",")).drop("s")
+
+
 def topic_orgs(spark, sf_dir):
     return trends.topic_top_names(star_works(spark, sf_dir))
 
@@ -601,6 +672,7 @@ def index_doc(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     scan_works, scan_pruned, scan_year, preprints_dedup, raw_works_scan, oai_parse, ingest_resume,
     ingest_progress, probe_limit, series_long, series_refresh, series_incremental, manifest_files, manifest_check,
+    manifest_saved, ground_truth_rules, sink_preprints, sample_sink, works_source, schema_conformity, trend_published,
     manifest_years, rows_per_file, sink_roundtrip, shape_rules, restore_text, normalize_works,
     link_id_extract, institutions_dedup, date_placeholder, embed_text, catalog_rows, work_snippet,
     preprint_snippet, slice_filter, slice_filter_year, embeddable, search_title, search_topic,
