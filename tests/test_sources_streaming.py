@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 from helpers import preprints, raw, works
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from trendloom import session
@@ -271,3 +272,46 @@ def test_a_batch_that_was_written_but_not_committed_counts_once(spark, fresh):
 
 def test_no_batch_gives_an_empty_series(spark, fresh):
     assert series.merged_series(spark, fresh("parts")).collect() == []
+
+
+def test_one_position_serves_works_and_rejects(spark, fresh, monkeypatch):
+    landing, out, mark, rejects = Path(fresh("landing")), fresh("out"), fresh("mark"), fresh("rejects")
+    landing.mkdir()
+
+    def land_lines(name, *ids):
+        (landing / name).write_text("".join('{"id": "W%s", "publication_year": 2020}\n' % i for i in ids) + '{"id": "broken %s\n' % name)
+
+    def held():
+        return (sorted(r.id for r in tables.read_works(spark, out).collect()),
+                sorted(r.record for r in spark.read.parquet(rejects).collect()))
+    land_lines("a.json", 1, 2)
+    assert ingest.ingest_works(spark, str(landing), out, mark, rejects=rejects) == 2
+    land_lines("b.json", 3)
+    calls, write = [], DataFrameWriter.parquet
+
+    def fails_once(self, path, *args, **more):
+        if path.startswith(rejects) and not calls:
+            calls.append(path)
+            raise RuntimeError("lost between the two writes")
+        return write(self, path, *args, **more)
+    monkeypatch.setattr(DataFrameWriter, "parquet", fails_once)
+    with pytest.raises(Exception, match="lost between"):
+        ingest.ingest_works(spark, str(landing), out, mark, rejects=rejects)
+    assert calls and held()[1] == ['{"id": "broken a.json']
+    ingest.ingest_works(spark, str(landing), out, mark, rejects=rejects)
+    assert held() == (["W1", "W2", "W3"], ['{"id": "broken a.json', '{"id": "broken b.json'])
+    assert ingest.ingest_works(spark, str(landing), out, mark, rejects=rejects) == 0
+    assert not Path(f"{mark}-rejects").exists()
+    one = tables.read_works(spark, out).where("publication_year = 2020")
+    assert "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString() and one.count() == 3
+
+
+def test_a_table_keeps_its_way_of_being_filled(spark, fresh):
+    landing = fresh("landing")
+    land(spark, landing, dict(id="a", publication_year=2020))
+    ingest.ingest_works(spark, landing, fresh("plain"), fresh("m1"))
+    with pytest.raises(ValueError, match="without"):
+        ingest.ingest_works(spark, landing, fresh("plain"), fresh("m2"), rejects=fresh("r"))
+    ingest.ingest_works(spark, landing, fresh("both"), fresh("m3"), rejects=fresh("r"))
+    with pytest.raises(ValueError, match="with a side"):
+        ingest.ingest_works(spark, landing, fresh("both"), fresh("m4"))

@@ -59,16 +59,16 @@ def read_works(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _in_year_folders(spark: SparkSession, path: str) -> bool:
-    """Whether the works under a path lie in folders ``year=...``."""
+    """Whether the works under a path lie in folders ``year=...``, or ``ingest=...`` of these."""
     fs, target = _locate(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(target)]
-    return any(n.startswith("year=") for n in names) and not any(n.endswith(".parquet") for n in names)
+    return any(n.startswith(("year=", "ingest=")) for n in names) and not any(n.endswith(".parquet") for n in names)
 
 
 def read_works_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Works with the ``year`` folder column kept, for reports about the stored files."""
     schema = T.StructType(WORKS.fields + [T.StructField("year", T.IntegerType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_works_year(spark: SparkSession, path: str, year: int) -> DataFrame:

@@ -1,12 +1,13 @@
 """Incremental ingest: every landed file is read once, and a rerun continues where it stopped.
 
-The stream checkpoint holds the position, and the file sink's commit log makes each micro-batch
-appear in the table exactly once, whatever fails in between.
+The stream checkpoint holds the position, and the file sink's commit log, or the batch's own folders where two
+tables are written, make each micro-batch appear exactly once, whatever fails in between.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from trendloom.operators.normalize import preprints_from_oai, works_from_raw
 from trendloom.operators.quality import gap_of
 from trendloom.schemas import RAW_PREPRINT, RAW_WORK
 from trendloom.sources.sinks import PREPRINT_ROWS, WORK_ROWS
-from trendloom.sources.tables import has_parquet
+from trendloom.sources.tables import exists, has_parquet
 
 
 # A landed file is never too old: beyond this age the source would skip it without a word.
@@ -50,8 +51,10 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Calla
     """Bring every file that landed since the last run into ``out``; returns the rows added.
 
     Rows are counted in the stored table. An unreadable record stops the run, unless ``rejects`` names a
-    side table: such records then go there, as text beside what could be read of them, in a stream with a position of its own, and all
-    others into ``out``. ``stop_after`` ends a trial run after about that many input rows.
+    side table: such records then go there, as text beside what could be read of them, and all others into
+    ``out``. Both come from one parse and one position: a batch writes its own folder ``ingest=...`` of either table, and a
+    batch that runs again, also after a failure between the two writes, writes the same folders again. A table is
+    filled either with or without ``rejects``. ``stop_after`` ends a trial run after about that many input rows.
     """
     def stream(mode: str, fields: T.StructType) -> DataFrame:
         reader = spark.readStream.format(source).schema(fields).option("maxFileAge", MAX_FILE_AGE) \
@@ -59,20 +62,31 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Calla
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
         return reader.load(landing)
-
-    def run(df: DataFrame, path: str, mark: str, *folders: str) -> int:
-        before = stored_rows(spark, path)
-        writer = df.writeStream.format("parquet").option("compression", "zstd").option("maxRecordsPerFile", rows)
-        writer = writer.partitionBy(*folders) if folders else writer
-        _run(writer.option("checkpointLocation", mark).trigger(availableNow=True).start(path), stop_after)
-        return stored_rows(spark, path) - before
+    before = stored_rows(spark, out)
+    if exists(spark, out) and exists(spark, f"{out}/_spark_metadata") != (rejects is None):
+        raise ValueError(f"{out} was filled {'without' if rejects else 'with'} a side table for rejects")
     if rejects is None:
-        return run(shape(stream("FAILFAST", schema)), out, checkpoint, folder)
+        writer = shape(stream("FAILFAST", schema)).writeStream.format("parquet").option("compression", "zstd") \
+            .option("maxRecordsPerFile", rows).partitionBy(folder)
+        _run(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out), stop_after)
+        return stored_rows(spark, out) - before
+
+    def both(batch: DataFrame, number: int) -> None:
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")     # kept in the checkpoint
+        name = f"ingest={stream_id}-{number}"
+        parsed = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            good = shape(parsed.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD))
+            good.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", rows) \
+                .partitionBy(folder).parquet(f"{out}/{name}")
+            parsed.where(F.col(BAD_RECORD).isNotNull()).withColumnRenamed(BAD_RECORD, "record") \
+                .write.mode("overwrite").parquet(f"{rejects}/{name}")
+        finally:
+            parsed.unpersist()
     with_bad = stream("PERMISSIVE", T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())]))
-    bad = with_bad.where(F.col(BAD_RECORD).isNotNull()).withColumnRenamed(BAD_RECORD, "record")
-    run(bad, rejects, f"{checkpoint}-rejects")
-    good = with_bad.where(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
-    return run(shape(good), out, checkpoint, folder)
+    _run(with_bad.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start(), stop_after)
+    return stored_rows(spark, out) - before
 
 
 def ingest_works(spark: SparkSession, landing: str, out: str, checkpoint: str,
