@@ -11,6 +11,11 @@ _SLICE = "subfield = 1702 AND type IN ('article', 'preprint') AND year BETWEEN 2
 _COLLAPSED = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 
 
+# Views hide the files behind them, so this one names the folder of the size at which SQL is compared.
+_MANIFEST_FILES = """SELECT parse_filename(filename) AS path, size AS bytes, sha256(content) AS sha256
+  FROM read_blob('/root/testdata/sf0.01/*.parquet')"""
+
+
 def _w(body: str, *more: str) -> str:
     return "WITH " + ", ".join([WORKS_SQL, *more]) + body
 
@@ -142,6 +147,9 @@ _STEP = "greatest(1, (SELECT count(*) FROM w) // {0})"
 
 _LOST = "CASE WHEN doc_id % 11 = 3 THEN NULL WHEN doc_id % 13 = 5 THEN '' ELSE id END"
 
+_DIFFUSION = _s(""" SELECT topic_id, count(DISTINCT org) AS organizations,
+  count(DISTINCT country) AS countries FROM s GROUP BY topic_id""")
+
 ORACLE: dict[str, str] = {
     "scan_works": _w(_flat()),
     "scan_pruned": _w(" SELECT id, language, year AS publication_year FROM w"),
@@ -165,6 +173,8 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT 'slice_embeddable', year, n FROM ({_EMB_YEAR})""", _SERIES),
     "series_incremental": _w(f""" SELECT series, year, n FROM ys
   UNION ALL SELECT 'slice_embeddable', year, n FROM ({_EMB_YEAR})""", _SERIES),
+    "manifest_files": _MANIFEST_FILES,
+    "manifest_streamed": _MANIFEST_FILES,
     "manifest_check": _MANIFEST_CHECK,
     "manifest_saved": _MANIFEST_CHECK,
     "ground_truth_rules": _s(""", t AS (SELECT topic_name AS name, min(year) AS year, count(*) AS n FROM s GROUP BY 1),
@@ -236,6 +246,10 @@ v AS (SELECT count(*) FILTER (NOT coalesce(name <> '', false)) AS a, count(*) FI
   OFFSET (SELECT CAST(40 * least(3, greatest(1, ceil(count(*) / 40.0)) - 1) AS BIGINT) FROM k)""", _CATALOGUE),
     "facet_all_pages": _w(""" SELECT id, year, CAST((row_number() OVER (ORDER BY year, id) - 1) // 300 AS INTEGER) AS page
   FROM k""", _CATALOGUE),
+    "facet_index": _w(""", o AS (SELECT id, year, (row_number() OVER (ORDER BY year, id) - 1) // 40 AS p FROM k),
+  q AS (SELECT 'first' AS page, CAST(0 AS BIGINT) AS p UNION ALL SELECT 'last', max(p) FROM o
+  UNION ALL SELECT 'opened', least((SELECT max(p) FROM o), count(*) FILTER (year < 2018) // 40) FROM k)
+  SELECT id, year, page FROM o JOIN q USING (p)""", _CATALOGUE),
     "facet_last_page": _w(""" SELECT id, title FROM k ORDER BY id LIMIT 40
   OFFSET (SELECT CAST(40 * (greatest(1, ceil(count(*) / 40.0)) - 1) AS BIGINT) FROM k)""", _CATALOGUE),
     "facet_values": _w(""" SELECT DISTINCT 'topic' AS facet, topic AS value FROM k
@@ -312,8 +326,8 @@ v AS (SELECT count(*) FILTER (NOT coalesce(name <> '', false)) AS a, count(*) FI
   round(least(growth / 3, 1), 6) AS score FROM m""", _METRICS),
     "trend_acceleration": _s(" SELECT topic_id, round(acceleration, 6) AS acceleration FROM m", _METRICS),
     "topic_orgs": _s(" SELECT topic_id, kind, value, n, rank FROM nr", _NAMES),
-    "topic_diffusion": _s(""" SELECT topic_id, count(DISTINCT org) AS organizations,
-  count(DISTINCT country) AS countries FROM s GROUP BY topic_id"""),
+    "topic_diffusion": _DIFFUSION,
+    "topic_diffusion_sketch": _DIFFUSION,
     "topic_best_works": _s(" SELECT topic_id, id, title, year, venue, cited_by, rank FROM br", _BEST),
     "topic_growth": _w(" SELECT topic_id, name, works, round(growth, 6) AS growth, series FROM tr", _RAW_GROWTH),
     "trend_cards": _s(""" SELECT r.rank, replace(r.topic_id, 'T/', '') AS id, name AS title, total AS works_total,

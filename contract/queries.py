@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contract.views import pre_v, pre_xml_v, raw_v, series_v, star_v, table, works_v
 from trendloom.operators import counts, embed, filters, normalize, quality, ranking, sampling
 from trendloom.operators.filters import SliceSpec
+from trendloom.operators.ordered_index import OrderedIndex, write_index
 from trendloom.plans import preview, reports, trends
 from trendloom.schemas import PREPRINTS, WORKS, conforms
 from trendloom.session import materialize, scratch_path
@@ -191,6 +192,11 @@ def manifest_files(spark, sf_dir):
     return quality.manifest_files(tables.list_files(spark, sf_dir), sf_dir)
 
 
+def manifest_streamed(spark, sf_dir):
+    """The same list, every file read in pieces of 64 KB."""
+    return quality.streamed_manifest(tables.list_files(spark, sf_dir), sf_dir, 1 << 16)
+
+
 def manifest_check(spark, sf_dir):
     """The stored list misses one file, has a wrong checksum for one and names one too many."""
     found = materialize(quality.manifest_files(tables.list_files(spark, sf_dir), sf_dir), "found")
@@ -391,6 +397,18 @@ def facet_all_pages(spark, sf_dir):
     return numbered.select("id", "year", F.col("page").cast("int").alias("page"))
 
 
+def facet_index(spark, sf_dir):
+    """One stored index by year, asked for the first page, the one that opens on a given work, and the last."""
+    rows = filters.catalogue_rows(works_v(spark, sf_dir)).select("id", F.col("year").cast("int").alias("year"))
+    path = scratch_path(spark, "facet-index")
+    write_index(rows, ["year"], path)
+    index = OrderedIndex(spark, path)
+    opened = index.place_of(year=2018, id="W") // 40
+    pages = [index.page(rows, page).withColumn("page", F.lit(name))
+             for name, page in (("first", 0), ("opened", opened), ("last", 10**9))]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 def facet_last_page(spark, sf_dir):
     """A page past the end is the last one."""
     rows = filters.catalogue_rows(works_v(spark, sf_dir)).select("id", "title")
@@ -536,6 +554,14 @@ def topic_diffusion(spark, sf_dir):
     return trends.topic_diffusion(star_works(spark, sf_dir))
 
 
+def topic_diffusion_sketch(spark, sf_dir):
+    """Distinct names from sketches of two arrivals, the later one counted apart and merged."""
+    works = star_works(spark, sf_dir)
+    late = F.col("publication_year") >= 1998
+    parts = [materialize(trends.name_sketches(works.where(part)), "sketches") for part in (~late, late)]
+    return trends.sketched_diffusion(trends.merged_sketches(*parts))
+
+
 def topic_best_works(spark, sf_dir):
     return trends.topic_best_works(star_works(spark, sf_dir)).drop("url")
 
@@ -671,16 +697,16 @@ def index_doc(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     scan_works, scan_pruned, scan_year, preprints_dedup, raw_works_scan, oai_parse, ingest_resume,
-    ingest_progress, probe_limit, series_long, series_refresh, series_incremental, manifest_files, manifest_check,
+    ingest_progress, probe_limit, series_long, series_refresh, series_incremental, manifest_files, manifest_streamed, manifest_check,
     manifest_saved, ground_truth_rules, sink_preprints, sample_sink, works_source, schema_conformity, trend_published,
     manifest_years, rows_per_file, sink_roundtrip, shape_rules, restore_text, normalize_works,
     link_id_extract, institutions_dedup, date_placeholder, embed_text, catalog_rows, work_snippet,
     preprint_snippet, slice_filter, slice_filter_year, embeddable, search_title, search_topic,
-    search_category, facet_search, facet_page, facet_all_pages, facet_last_page, facet_values, works_by_year,
+    search_category, facet_search, facet_page, facet_all_pages, facet_index, facet_last_page, facet_values, works_by_year,
     embeddable_by_year, filter_funnel, count_filtered, completeness, top_languages, works_by_type,
     abstract_share, country_top, country_mentions, preprints_by_year, corpus_totals, table_summary,
     dup_counts, coverage_gap, gap_years, preprint_link, linked_preprints, acceptance,
-    topic_year_series, topic_share, trend_growth, trend_acceleration, topic_orgs, topic_diffusion,
+    topic_year_series, topic_share, trend_growth, trend_acceleration, topic_orgs, topic_diffusion, topic_diffusion_sketch,
     topic_best_works, topic_growth, trend_cards, sample_systematic, sample_stratified,
     sample_stratified_sizes, sample_uniform, sample_uniform_size, embed_chunks, embed_resume,
     l2_normalize, embedding_check, catalog_doc, index_doc,

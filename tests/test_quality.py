@@ -181,3 +181,33 @@ def test_catalogue_bounds_types_and_treats_null_years_alike(spark):
     assert scans() == 1
     assert doc["years"] == [2010, 2011, 2012] and doc["totals"]["works"] == 60 and sum(doc["by_year"]) == 54
     assert len(doc["by_type"]) == 2 and all(len(t["series"]) == 3 for t in doc["topics"])
+
+
+def test_streamed_digests_of_odd_files(spark, tmp_path):
+    contents = {"empty.bin": b"", "a b%20ü.bin": b"x" * 1000, "exact.bin": bytes(range(256)) * 4, "sub/long.bin": b"ab" * 5000}
+    for name, content in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    listed = tables.list_files(spark, str(tmp_path), pattern="*.bin")
+    got = {r.path: (r.bytes, r.sha256) for r in quality.streamed_manifest(listed, str(tmp_path), 256).collect()}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items() if c}      # empty: not listed
+
+
+def test_streamed_digest_of_a_file_beyond_two_gigabytes(spark, tmp_path):
+    """A sparse file, which ``sha2`` of its content could not take."""
+    size, piece = (2 << 30) + 12345, bytes(1 << 20)
+    with open(tmp_path / "big.bin", "wb") as f:
+        f.truncate(size)
+    row = quality.streamed_manifest(tables.list_files(spark, str(tmp_path), pattern="*.bin"), str(tmp_path)).first()
+    expected, left = hashlib.sha256(), size
+    while left:
+        expected.update(piece[:left])
+        left -= min(left, len(piece))
+    assert (row.bytes, row.sha256) == (size, expected.hexdigest())
+
+
+def test_a_file_that_changed_since_it_was_listed_is_an_error(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    listed = tables.list_files(spark, str(tmp_path), pattern="*.bin").withColumn("length", F.col("length") + 1)
+    with pytest.raises(Exception, match="listed with"):
+        quality.streamed_manifest(listed, str(tmp_path)).collect()

@@ -6,7 +6,7 @@ import pytest
 from helpers import works
 from pyspark.sql import functions as F
 
-from trendloom.operators import ranking, sampling
+from trendloom.operators import ordered_index, ranking, sampling
 
 
 def corpus(spark, n=1000, copies=1, year=lambda i: 2010 + i % 3):
@@ -62,6 +62,61 @@ def test_pages_need_a_unique_key(spark):
         ranking.page_of(spark.createDataFrame([("a",), ("a",)], "id string"), ["id"], 0, 2)
 
 
+@pytest.fixture(scope="module")
+def indexed(spark, tmp_path_factory):
+    """300 rows with tied and null orders and one null key, and their index in several ranges."""
+    rows = [(None if i == 7 else f"k{i:03}", None if i % 11 == 0 else i % 5, "x" * i) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, n int, wide string").repartition(3)
+    path = str(tmp_path_factory.mktemp("index") / "i")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered_index.write_index(df, ["n"], path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    expected = sorted(((r[1] if r[1] is not None else -1, r[0] or "", r[2]) for r in rows), key=lambda r: r[:2])
+    return df, ordered_index.OrderedIndex(spark, path), expected
+
+
+def test_pages_of_a_stored_index_are_the_order(indexed):
+    df, index, expected = indexed
+    assert index.rows == 300 and index.ranges.count() > 1 and "wide" not in index.keys.columns
+    for per_page, page in ((7, 0), (7, 20), (7, 42), (7, 99), (300, 0), (1, 150), (130, 1)):
+        last = -(-300 // per_page) - 1
+        at = min(page, last) * per_page
+        assert [r.wide for r in index.page(df, page, per_page).collect()] == [w for _, _, w in expected[at:at + per_page]]
+    numbers = {(r.n if r.n is not None else -1, r.id or ""): r.row_index for r in index.numbered().collect()}
+    assert numbers == {row[:2]: i for i, row in enumerate(expected)}
+    assert index.between(5, 5).count() == index.between(400, 500).count() == 0
+
+
+def test_a_page_of_a_stored_index_reads_its_ranges_and_sorts_no_keys(indexed):
+    _, index, _ = indexed
+    plan = index.between(0, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "ShuffleExchange" not in plan and "hashpartitioning" not in plan
+    assert "PartitionFilters: [isnotnull(__range" in plan        # only folders of the ranges that hold the page
+
+
+def test_place_of_a_key_in_a_stored_index(indexed):
+    _, index, expected = indexed
+    for n, key in ((None, "k000"), (0, "k005"), (3, "k"), (4, "zzz"), (99, ""), (2, "k152")):
+        wanted = (n if n is not None else -1, key)
+        assert index.place_of(n=n, id=key) == sum(row[:2] < wanted for row in expected)
+
+
+def test_index_of_nothing_and_of_repeated_keys(spark, fresh):
+    nothing = spark.createDataFrame([], "id string, n int")
+    ordered_index.write_index(nothing, ["n"], fresh("none"))
+    index = ordered_index.OrderedIndex(spark, fresh("none"))
+    assert index.rows == 0 and index.page(nothing, 2).collect() == [] and index.place_of(n=1, id="a") == 0
+    with pytest.raises(ValueError):
+        ordered_index.write_index(spark.createDataFrame([(1, "a"), (2, "a")], "n int, id string"), ["n"], fresh("two"))
+
+
+def test_chunks_keep_other_columns_and_store_keys_alone(spark):
+    df = spark.createDataFrame([(None, 0), ("b", 2), ("a", 1), ("c", 3)], "id string, v int")
+    assert sorted((r.v, r.row_index, r.chunk) for r in ranking.with_chunks(df, 3).collect()) == [(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 1)]
+
+
 def test_page_of_nothing(spark):
     assert ranking.page_of(spark.createDataFrame([], "id string"), ["id"], 3).collect() == []
 

@@ -143,3 +143,25 @@ def test_index_document(spark):
     assert doc.direction.years == [2015, 2021] and doc.validation.cutoff_year == 2021
     assert [c.name for c in doc.validation.negative_controls] == list(reports.NEGATIVE_CONTROLS)
     assert doc.validation.metric is None
+
+
+def test_sketches_of_years_merge_and_stay_within_their_error(spark):
+    """One topic with 20,000 orgs and one with few; the years of the first overlap in half of the names."""
+    many = spark.range(30_000).select(
+        F.col("id").cast("string").alias("id"), F.struct(F.lit("T1").alias("id"), F.lit("n").alias("name"), F.lit(0.9).cast("float").alias("score")).alias("primary_topic"),
+        (F.lit(2010) + F.floor(F.col("id") / 10_000)).cast("smallint").alias("publication_year"),
+        F.array(F.concat(F.lit("I"), (F.col("id") % 10_000 + F.floor(F.col("id") / 10_000) * 5_000).cast("string"))).alias("institution_names"),
+        F.array(F.lit("C1"), F.lit(""), F.lit(None).cast("string")).alias("institution_countries"))
+    few = works(spark, [dict(id=f"F{i}", primary_topic=topic("T2"), publication_year=2010 + i % 2, institution_names=[f"I{i % 7}"],
+                             institution_countries=None) for i in range(40)])
+    both = many.unionByName(few.select(*many.columns))
+    whole = trends.name_sketches(both)
+    parts = [trends.name_sketches(both.where(F.col("publication_year") == y)) for y in (2010, 2011, 2012)]
+    merged = trends.merged_sketches(*parts, parts[1])
+    for sketches in (whole, merged):
+        got = {r.topic_id: (r.organizations, r.countries) for r in trends.sketched_diffusion(sketches).collect()}
+        assert got["T1"][0] == pytest.approx(20_000, rel=3 * 1.04 / 2 ** (trends.SKETCH_LG_K / 2)) and got["T1"][1] == 1
+        assert got["T2"] == (7, 0)
+    exact = {r.topic_id: (r.organizations, r.countries) for r in trends.topic_diffusion(both).collect()}
+    assert exact == {"T1": (20_000, 1), "T2": (7, 0)}
+    assert trends.sketched_diffusion(trends.name_sketches(both.limit(0))).collect() == []

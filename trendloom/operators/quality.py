@@ -8,6 +8,7 @@ from trendloom.functions.numbers import ratio, round_exact
 from trendloom.operators.counts import duplicate_count, key_counts, labelled
 from trendloom.operators.filters import in_date_years
 from trendloom.session import materialize
+from trendloom.sources.digests import PIECE_BYTES, file_digests
 
 # Acceptance thresholds.
 MIN_ROWS = 100_000
@@ -136,13 +137,23 @@ def accepted(report: DataFrame) -> DataFrame:
 
 
 def manifest_files(files: DataFrame, root: str) -> DataFrame:
-    """``(path, bytes, sha256)`` of a ``binaryFile`` listing, paths relative to ``root``."""
-    base = root.rstrip("/") + "/"
-    relative = F.substring_index("path", base, -1)
-    return files.select(relative.alias("path"), F.col("length").alias("bytes"),
+    """``(path, bytes, sha256)`` of a ``binaryFile`` listing, paths relative to ``root``.
+
+    A file is one value here, so none may exceed 2 GB; ``streamed_manifest`` has no such bound.
+    """
+    return files.select(_relative(root), F.col("length").alias("bytes"),
                         F.sha2("content", 256).alias("sha256"))
 
 
+def streamed_manifest(files: DataFrame, root: str, piece: int = PIECE_BYTES) -> DataFrame:
+    """The same rows for files of any size: each is read in pieces, none is loaded whole."""
+    return file_digests(files, piece).select(_relative(root), "bytes", "sha256")
+
+
+def _relative(root: str) -> Column:
+    return F.substring_index("path", root.rstrip("/") + "/", -1).alias("path")
+
+
 def rows_per_file(table: DataFrame) -> DataFrame:
     """Rows of every file of a stored table, from the footers: no column is read."""
     return table.groupBy(F.col("_metadata.file_path").alias("path")) \

@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendloom.session import materialize
+from trendloom.operators.ordered_index import OrderedIndex, write_index
+from trendloom.session import materialize, scratch_path
 
 _LOCAL_BITS = 33          # monotonically_increasing_id keeps the row's place in its low 33 bits
 
@@ -49,32 +50,34 @@ def with_row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataF
     )
 
 
+def _index(df: DataFrame, order: list[str], key: str) -> OrderedIndex:
+    path = scratch_path(df.sparkSession, "ordered-index")
+    write_index(df, order, path, key)
+    return OrderedIndex(df.sparkSession, path, key)
+
+
 def with_chunks(df: DataFrame, chunk_size: int = 5000, key: str = "id") -> DataFrame:
-    """Number fixed-size chunks of the rows sorted by key."""
-    index = with_row_index(df, key)
-    return index.withColumn("chunk", F.floor(F.col("row_index") / chunk_size).cast("int"))
+    """Number fixed-size chunks of the rows sorted by key, which must be unique. Only keys are sorted and
+    stored; other columns meet them by key."""
+    numbered = _index(df, [key], key).numbered() \
+        .withColumn("chunk", F.floor(F.col("row_index") / chunk_size).cast("int"))
+    if df.columns == [key]:
+        return numbered
+    numbered = numbered.withColumnRenamed(key, "__key")
+    return df.join(numbered, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def with_pages(df: DataFrame, order: list[str], per_page: int = 40, key: str = "id") -> DataFrame:
     """``(*order, key, page)`` of every row in the total order ``order``, then ``key``; pages from 0."""
-    index = with_row_index(df.select(*dict.fromkeys([*order, key])), *dict.fromkeys([*order, key]))
-    return index.withColumn("page", F.floor(F.col("row_index") / per_page)).drop("row_index")
+    numbered = _index(df, order, key).numbered()
+    return numbered.withColumn("page", F.floor(F.col("row_index") / per_page)).drop("row_index")
 
 
 def page_of(df: DataFrame, order: list[str], page: int, per_page: int = 40, key: str = "id") -> DataFrame:
     """One page of a result; a page past the end becomes the last one.
 
     The order is made total by ``key``, which must be unique, so all pages together are the result,
-    each row once. Only the order columns and the key are sorted and numbered, in ranges; the page's
-    rows are then read by their keys.
+    each row once. This sorts the keys for a single page; to turn pages, write the index once and
+    ask it (``ordered_index``).
     """
-    total = [*dict.fromkeys([*order, key])]
-    index = materialize(with_row_index(df.select(*total), *total), "page-index")
-    rows = index.agg(F.count(F.lit(1))).first()[0]
-    page = max(0, min(page, max(1, -(-rows // per_page)) - 1))
-    first = page * per_page
-    picked = materialize(index.where(F.col("row_index").between(first, first + per_page - 1)).select(key), "page-keys")
-    found = df.join(F.broadcast(picked), key, "left_semi")          # at most per_page keys
-    if not index.join(F.broadcast(picked), key, "left_semi").groupBy(key).count().where("count > 1").isEmpty():
-        raise ValueError(f"{key} is not unique, so pages would not add up")
-    return found.select(*df.columns).orderBy(*total)
+    return _index(df, order, key).page(df, page, per_page)

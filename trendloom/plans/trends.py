@@ -16,6 +16,7 @@ MIN_WORKS = 400
 TOP_CARDS = 15
 BEST_WORKS = 6
 TOP_NAMES = 5
+SKETCH_LG_K = 12              # registers of a name sketch, as a power of two
 CATALOGUE_MIN_WORKS = 2000
 CATALOGUE_TOPICS = 40
 NO_SHARE = 0.01
@@ -172,6 +173,39 @@ def topic_diffusion(works: DataFrame) -> DataFrame:
     return name_spread(topic_name_counts(works))
 
 
+def name_sketches(works: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """HyperLogLog sketches of the distinct orgs and countries, ``(topic_id, year, kind, sketch)``.
+
+    Each is at most about ``2**lg_k`` bytes and merges, so a stored table of them is brought up to date from
+    new works alone (``merged_sketches``), and any span of years is estimated without the works.
+    """
+    lists = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(column).alias("names"))
+        for kind, column in (("org", "institution_names"), ("country", "institution_countries"))])
+    return (
+        with_topic(works).select("topic_id", "year", F.inline(lists))
+        .select("topic_id", "year", "kind", F.explode("names").alias("value")).where(F.col("value") != "")
+        .groupBy("topic_id", "year", "kind").agg(F.hll_sketch_agg("value", lg_k).alias("sketch"))
+    )
+
+
+def merged_sketches(*parts: DataFrame) -> DataFrame:
+    """One sketch per topic, year and kind from several tables of the same ``lg_k``; order and repeats of parts
+    do not matter."""
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return together.groupBy("topic_id", "year", "kind").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketched_diffusion(sketches: DataFrame) -> DataFrame:
+    """``topic_diffusion`` from sketches: estimates with a relative standard error of ``1.04 / sqrt(2**lg_k)``
+    (1.6 percent by default); a few hundred names are counted as they are."""
+    def estimate(kind: str) -> Column:
+        return F.hll_sketch_estimate(F.hll_union_agg(F.when(F.col("kind") == kind, F.col("sketch"))))
+    return sketches.groupBy("topic_id").agg(estimate("org").alias("organizations"), estimate("country").alias("countries"))
+
+
 def topic_best_works(works: DataFrame, k: int = BEST_WORKS) -> DataFrame:
     """The ``k`` most cited works per topic; equal citation counts go by id."""
     rows = with_topic(works).select(

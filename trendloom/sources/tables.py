@@ -161,7 +161,8 @@ def probe(df: DataFrame, limit: int) -> DataFrame:
 
 
 def list_files(spark: SparkSession, *roots: str, pattern: str = "*.parquet") -> DataFrame:
-    """All files under the folders with length and content; only read columns are loaded."""
+    """All files under the folders with length and content; only read columns are loaded. Spark's readers leave out
+    empty files, which a stored table has none of."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
         .option("pathGlobFilter", pattern).load(list(roots))
 
