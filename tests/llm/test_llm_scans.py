@@ -135,6 +135,19 @@ def test_masking(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "é [SECRET], end", 2: None, 3: "clean", 4: '[SECRET]" x'}
 
 
+def test_repositories_of_one_owner_decide_too(spark):
+    """Two values of one owner: in as many repositories as an owner may have, and in one more; copies of a row,
+    lost ids and a second owner count as they should."""
+    most = secrets.REPOSITORIES_PER_OWNER
+    kept, spread, shared = ("token=" + f"{word}Q9zX7vK3mB8" for word in ("kept", "spread", "shared"))
+    rows = [(i, kept, "a") for i in range(most)] * 2 + [(1000 + i, spread, "a") for i in range(most)] + [(None, spread, "a")]
+    rows += [(2000 + i, shared, "a") for i in range(most + 1)] + [(3000, shared, None)]
+    found = secrets.secret_digest(secrets.secret_scan(docs(spark, rows))).collect()
+    assert {(r.doc_id or 1000) // 1000: (r.n_live, r.n_copied) for r in found} == {0: (1, 0), 1: (0, 1), 2: (1, 0), 3: (1, 0)}
+    masked = secrets.without_live_secrets(docs(spark, rows)).groupBy("text").count().collect()
+    assert {r.text: r["count"] for r in masked} == {"[SECRET]": 3 * most + 2, spread: most + 1}
+
+
 def test_secrets_of_odd_rows(spark):
     rows = [(None, "token=abcdefghijkl", None), (1, "token=abcdefghijkl", None), (1, "token=abcdefghijkl", None), (2, None, None)]
     out = secrets.secret_digest(secrets.secret_scan(docs(spark, rows))).collect()

@@ -66,8 +66,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '')
 e AS ({parts}),
 c AS (SELECT * FROM e WHERE length(value) >= least AND (kind <> 'blob' OR (regexp_matches(value, '[0-9]')
     AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')))),
-o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM c JOIN d USING (r) GROUP BY value),
-j AS (SELECT c.*, owners <= {secrets.FEW_OWNERS} AND NOT regexp_matches(value, '{placeholder}') AS live
+o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT row(source, doc_id)) AS repositories
+    FROM c JOIN d USING (r) GROUP BY value),
+j AS (SELECT c.*, owners <= {secrets.FEW_OWNERS} AND repositories <= {secrets.REPOSITORIES_PER_OWNER} * owners AND NOT regexp_matches(value, '{placeholder}') AS live
     FROM c JOIN o USING (value)),
 g AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex, {listed} FILTER (kind <> 'blob') AS base, {listed} AS spans,

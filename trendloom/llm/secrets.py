@@ -2,8 +2,8 @@
 
 Patterns find candidate spans in every whole text. A candidate's value is hashed, and over the whole
 corpus each hash is counted by the distinct owners and repositories that hold it. A value that many
-owners hold is a copied example; one that few owners hold, and that does not look like a
-placeholder, looks live. Unlabelled high-entropy strings (kind ``blob``) are reported only when they
+owners hold, or that stands in many repositories for each of its owners, is a copied example; one that
+few owners hold in few repositories, and that does not look like a placeholder, looks live. Unlabelled high-entropy strings (kind ``blob``) are reported only when they
 look live; the spans of the base patterns are always reported, with their class.
 
 Everything is DataFrame functions. Spark gives matches but no places, so a span's place is the
@@ -36,6 +36,7 @@ LEAST = {"assign": 12, "access": 18, "hex": 16, "blob": 24}
 KINDS = ("assign", "access", "hex", "blob")
 PLACEHOLDER = r"(?i:example|sample|dummy|changeme|placeholder|x{4}|0{6}|123456)"
 FEW_OWNERS = 2
+REPOSITORIES_PER_OWNER = 100     # above it, on average over its owners, a value is a copied example
 _STEP = 256
 
 # A text without any of these has no candidate.
@@ -102,7 +103,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def spans_per_text(docs: DataFrame, owner: str = "source", repository: str = "doc_id", text: str = "text",
-                   few_owners: int = FEW_OWNERS) -> DataFrame:
+                   few_owners: int = FEW_OWNERS, per_owner: int = REPOSITORIES_PER_OWNER) -> DataFrame:
     """``digest, spans`` of every distinct text that has spans to report, each with its class and counts."""
     rows = docs.select(F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashed = F.transform(candidate_spans(F.col("text")), lambda s: F.struct(
@@ -115,7 +116,8 @@ def spans_per_text(docs: DataFrame, owner: str = "source", repository: str = "do
 
     each = found.groupBy("digest").agg(F.first("spans").alias("spans")) \
         .select("digest", F.explode("spans").alias("s"))
-    live = (F.col("n_owners") <= few_owners) & ~F.col("s.placeholder")
+    specific = (F.col("n_owners") <= few_owners) & (F.col("n_repositories") <= per_owner * F.col("n_owners"))
+    live = specific & ~F.col("s.placeholder")
     judged = each.join(ownership(found), F.col("s.hash") == F.col("hash")).select(
         "digest", F.struct("s.start", "s.order", "s.kind", "s.end", "hash", live.alias("live"),
                            "n_owners", "n_repositories").alias("s"))
@@ -124,10 +126,10 @@ def spans_per_text(docs: DataFrame, owner: str = "source", repository: str = "do
 
 
 def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", id_col: str = "doc_id",
-                text: str = "text", few_owners: int = FEW_OWNERS) -> DataFrame:
+                text: str = "text", few_owners: int = FEW_OWNERS, per_owner: int = REPOSITORIES_PER_OWNER) -> DataFrame:
     """One row per input row: id and its spans (array of structs with class and counts). ``repository``
     names a document's repository."""
-    per_text = spans_per_text(docs, owner, repository, text, few_owners)
+    per_text = spans_per_text(docs, owner, repository, text, few_owners, per_owner)
     out = docs.select(F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest")) \
         .join(per_text, "digest", "left")
     spans = F.coalesce(F.col("spans"), F.array().cast(per_text.schema["spans"].dataType))
@@ -166,10 +168,11 @@ def _masked(text: Column, spans: Column, mask: str) -> Column:
 
 
 def without_live_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id", text: str = "text",
-                         mask: str = "[SECRET]", few_owners: int = FEW_OWNERS) -> DataFrame:
+                         mask: str = "[SECRET]", few_owners: int = FEW_OWNERS,
+                         per_owner: int = REPOSITORIES_PER_OWNER) -> DataFrame:
     """``docs`` with every live-looking span masked; texts without one, copied examples and all other
     columns stay as they are."""
-    live = spans_per_text(docs, owner, repository, text, few_owners) \
+    live = spans_per_text(docs, owner, repository, text, few_owners, per_owner) \
         .select("digest", F.filter("spans", lambda s: s["live"]).alias("__live")).where(F.size("__live") > 0)
     live = materialize(live, "secret-live")
     live = sent_if_small(live, F.size("__live") * 128 + 48).withColumnRenamed("digest", "__digest")
