@@ -353,6 +353,7 @@ v AS (SELECT count(*) FILTER (NOT coalesce(name <> '', false)) AS a, count(*) FI
   SELECT id, row_number() OVER (ORDER BY id) - 1 AS row_index FROM w WHERE {_EMBEDDABLE})"""),
     "embed": _LETTERS,
     "embed_resume": _LETTERS,
+    "embed_store": _LETTERS,
     "l2_normalize": """WITH n AS (SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x * CAST(vec_id % 5 + 1 AS FLOAT) AS FLOAT)) AS e
   FROM embeddings), q AS (SELECT id, e, sqrt(list_sum(list_transform(e, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm FROM n)
   SELECT id, CAST(generate_subscripts(e, 1) - 1 AS INTEGER) AS at,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract.views import pre_v, pre_xml_v, raw_v, series_v, star_v, table, works_v
-from trendloom.operators import counts, embed, filters, normalize, quality, ranking, sampling
+from trendloom.operators import counts, embed, embedding_store, filters, normalize, quality, ranking, sampling
 from trendloom.operators.filters import SliceSpec
 from trendloom.operators.ordered_index import OrderedIndex, write_index
 from trendloom.plans import preview, reports, trends
@@ -651,6 +651,16 @@ def embed_resume(spark, sf_dir):
     return _components(embed.stored_embeddings(spark, path))
 
 
+def embed_store(spark, sf_dir):
+    """Year folders in buckets: other texts and some works first, then the corpus, then without the old texts."""
+    works, path = works_v(spark, sf_dir, heavy=True), scratch_path(spark, "vector-store")
+    early = works.withColumn("abstract", F.when(F.col("type") == "preprint", F.lit("draft")).otherwise(F.col("abstract")))
+    for state in (early, works):
+        embedding_store.embed_into_store(state, path, letter_encoder(), "letters", LETTERS, buckets=4)
+    embedding_store.compact(works, path, "letters")
+    return _components(embedding_store.read_store(spark, path, "letters"))
+
+
 def _scaled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.expr(
         "transform(embedding, x -> cast(x * (vec_id % 5 + 1) AS float))").alias("embedding"))
@@ -708,6 +718,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     dup_counts, coverage_gap, gap_years, preprint_link, linked_preprints, acceptance,
     topic_year_series, topic_share, trend_growth, trend_acceleration, topic_orgs, topic_diffusion, topic_diffusion_sketch,
     topic_best_works, topic_growth, trend_cards, sample_systematic, sample_stratified,
-    sample_stratified_sizes, sample_uniform, sample_uniform_size, embed_chunks, embed_resume,
+    sample_stratified_sizes, sample_uniform, sample_uniform_size, embed_chunks, embed_resume, embed_store,
     l2_normalize, embedding_check, catalog_doc, index_doc,
 )} | {"embed": embed_works}

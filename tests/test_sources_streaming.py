@@ -185,6 +185,20 @@ def test_a_trial_run_stops_and_the_next_one_goes_on(spark, fresh):
     assert first + ingest.ingest_works(spark, str(landing), out, mark) == 40
 
 
+def test_a_trial_run_is_bounded_by_bytes_where_files_are_not(spark, fresh, monkeypatch):
+    landing, out, mark = Path(fresh("landing")), fresh("out"), fresh("mark")
+    landing.mkdir()
+    lines = "".join('{"id": "W%d", "publication_year": 2020}\n' % i for i in range(50))
+    for i in range(30):
+        (landing / f"{i}.json").write_text(lines)
+    monkeypatch.setattr(ingest, "TRIAL_BYTES", 2 * len(lines))           # two files a batch
+    first = ingest.ingest_works(spark, str(landing), out, mark, stop_after=60)
+    assert 60 <= first < 30 * 50 and first % 100 == 0
+    assert first + ingest.ingest_works(spark, str(landing), out, mark, bytes_per_batch=10 * len(lines)) == 1500
+    with pytest.raises(ValueError):
+        ingest.ingest_works(spark, str(landing), out, mark, files_per_batch=1, bytes_per_batch=1)
+
+
 def test_unreadable_records_go_to_a_side_table_or_stop_the_run(spark, fresh):
     landing, out, rejects = Path(fresh("landing")), fresh("out"), fresh("rejects")
     landing.mkdir()

@@ -23,6 +23,7 @@ from trendloom.sources.tables import exists, has_parquet
 # A landed file is never too old: beyond this age the source would skip it without a word.
 MAX_FILE_AGE = "36500d"
 BAD_RECORD = "_corrupt_record"
+TRIAL_BYTES = 64 << 20             # a trial run's batches, where nothing else bounds them
 
 
 def stored_rows(spark: SparkSession, path: str) -> int:
@@ -47,7 +48,7 @@ def _run(query: StreamingQuery, stop_after: int | None) -> None:
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Callable[[DataFrame], DataFrame],
            out: str, checkpoint: str, folder: str, rows: int, source: str = "json",
            files_per_batch: int | None = None, rejects: str | None = None,
-           stop_after: int | None = None, **options: str) -> int:
+           stop_after: int | None = None, bytes_per_batch: int | None = None, **options: str) -> int:
     """Bring every file that landed since the last run into ``out``; returns the rows added.
 
     Rows are counted in the stored table. An unreadable record stops the run, unless ``rejects`` names a
@@ -55,12 +56,22 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Calla
     ``out``. Both come from one parse and one position: a batch writes its own folder ``ingest=...`` of either table, and a
     batch that runs again, also after a failure between the two writes, writes the same folders again. A table is
     filled either with or without ``rejects``. ``stop_after`` ends a trial run after about that many input rows.
+
+    ``files_per_batch`` or ``bytes_per_batch`` bound what a batch takes in, at least one file; a trial run takes in
+    64 MB at a time where neither is given, so it never starts on a whole landing.
     """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("bound a batch by files or by bytes, not by both")
+    if stop_after is not None and not files_per_batch:
+        bytes_per_batch = bytes_per_batch or TRIAL_BYTES
+
     def stream(mode: str, fields: T.StructType) -> DataFrame:
         reader = spark.readStream.format(source).schema(fields).option("maxFileAge", MAX_FILE_AGE) \
             .option("mode", mode).option("columnNameOfCorruptRecord", BAD_RECORD).options(**options)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        if bytes_per_batch:
+            reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
         return reader.load(landing)
     before = stored_rows(spark, out)
     if exists(spark, out) and exists(spark, f"{out}/_spark_metadata") != (rejects is None):
@@ -91,22 +102,23 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, shape: Calla
 
 def ingest_works(spark: SparkSession, landing: str, out: str, checkpoint: str,
                  files_per_batch: int | None = None, rejects: str | None = None,
-                 stop_after: int | None = None) -> int:
+                 stop_after: int | None = None, bytes_per_batch: int | None = None) -> int:
     """Landed work records to the works table in year folders."""
     def shape(raw: DataFrame) -> DataFrame:
         return works_from_raw(raw).withColumn("year", F.col("publication_year"))
     return ingest(spark, landing, RAW_WORK, shape, out, checkpoint, "year", WORK_ROWS,
-                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after)
+                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after, bytes_per_batch=bytes_per_batch)
 
 
 def ingest_preprints(spark: SparkSession, landing: str, out: str, checkpoint: str, oai_set: str,
                      files_per_batch: int | None = None, rejects: str | None = None,
-                     stop_after: int | None = None) -> int:
+                     stop_after: int | None = None, bytes_per_batch: int | None = None) -> int:
     """Landed protocol pages of one set to the preprint table in set folders."""
     def shape(records: DataFrame) -> DataFrame:
         return preprints_from_oai(records).withColumn("set", F.lit(oai_set))
     return ingest(spark, landing, RAW_PREPRINT, shape, out, checkpoint, "set", PREPRINT_ROWS, source="xml",
-                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after, rowTag="record")
+                  files_per_batch=files_per_batch, rejects=rejects, stop_after=stop_after,
+                  bytes_per_batch=bytes_per_batch, rowTag="record")
 
 
 def ingest_progress(stored: DataFrame, expected: DataFrame, limit: float = 0.02) -> DataFrame:
