@@ -219,6 +219,37 @@ def test_shards_are_near_equal_and_keep_equal_texts_together(spark, shards):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
 
 
+def test_cuts_are_the_weighted_medians_of_a_sorted_list(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab 12é\n", k=rng.choice([0, 3, 40, 400]))) for _ in range(300)] + ["same 1"] * 40
+    meta = sharding.with_metadata(docs(spark, list(enumerate(texts)))).withColumn("node", F.col("id") % 3).cache()
+    rows = meta.collect()
+    for dim, name in enumerate(sharding.DIMENSIONS):
+        asked = {}
+        for node in range(3):
+            mine = [r for r in rows if r.node == node]
+            asked[node] = (dim, min(r[name] for r in mine), max(r[name] for r in mine),
+                           sum(r.size for r in mine) * (node + 1) // 4)
+        for node, cut in sharding.weighted_cuts(meta, asked).items():
+            places = sorted((r[name] << 32 | r.text_crc32, r.size) for r in rows if r.node == node)
+            ways = {p: sum(size for q, size in places if q < p) for p in {q for q, _ in places} | {places[-1][0] + 1}}
+            assert cut.missed == min(abs(b - asked[node][3]) for b in ways.values())
+            assert abs(sum(size for q, size in places if q < cut.place) - asked[node][3]) == cut.missed
+
+
+def test_dimensions_are_metadata_of_the_text(spark):
+    got = sharding.with_metadata(docs(spark, [(1, "ab 12é\n3"), (2, None), (3, "")])).orderBy("id").collect()
+    assert [(r.size, r.beyond_ascii, r.lines, r.digits, r.word_length) for r in got] == [
+        (10, 1, 1, 375000, 4000), (1, 0, 0, 0, 0), (1, 0, 0, 0, 0)]
+
+
+def test_plans_do_not_grow_with_the_shards(spark):
+    rows = [(i, f"{i} " * (i % 7 + 3)) for i in range(400)]
+    few, many = (sharding.kd_leaves(sharding.with_metadata(docs(spark, rows)), n) for n in (2, 32))
+    assert len({r.node for r in many.select("node").distinct().collect()}) == 32
+    assert len(many._jdf.queryExecution().analyzed().toString()) < 1.2 * len(few._jdf.queryExecution().analyzed().toString())
+
+
 def test_shards_by_target_bytes_and_of_odd_tables(spark):
     rows = [(i, "x" * 99) for i in range(40)] + [(i, f"{i} " * 40) for i in range(40, 80)]
     found = sharding.kd_shards(docs(spark, rows), target_bytes=2500).collect()
