@@ -88,26 +88,30 @@ w AS (SELECT doc_id, 'W' || doc_id AS id,
   FROM documents)"""
 
 
-def star_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``WORKS`` from the order star: one work per line, topic = brand, org = supplier."""
-    line = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
-        "l_orderkey", "l_partkey")
+def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines with brand, supplier, nation and year: all a work of the star is made of, still narrow."""
+    line = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.year("o_orderdate").alias("y"), F.to_date("o_orderdate").alias("day"))
+        "o_orderkey", F.year("o_orderdate").cast("smallint").alias("publication_year"), F.to_date("o_orderdate").alias("day"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = (
+    return (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .drop("o_orderkey", "p_partkey", "s_suppkey", "s_nationkey", "n_nationkey")
     )
+
+
+def star_shape(lines: DataFrame) -> DataFrame:
+    """``WORKS`` from ``star_lines``: one work per line, topic = brand, org = supplier."""
     filled = {f.name: "NULL" for f in WORKS.fields} | {
         "id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
         "title": "concat('Line ', l_orderkey, ' of ', p_brand)",
-        "publication_year": "y",
+        "publication_year": "publication_year",
         "publication_date": "cast(day AS string)",
         "cited_by_count": "cast(l_extendedprice AS int)",
         "primary_topic": ("named_struct('id', concat('T/', p_brand), 'name', p_brand, "
@@ -116,7 +120,12 @@ def star_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         "institution_countries": "array(n_name)",
         "venue": "concat('Supplier ', l_suppkey)",
     }
-    return _select(joined, filled, WORKS)
+    return _select(lines, filled, WORKS)
+
+
+def star_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``WORKS`` from the order star."""
+    return star_shape(star_lines(spark, sf_dir))
 
 
 STAR_SQL = """

@@ -1,6 +1,8 @@
 """Writers. Every file is bounded in rows, and the commit protocol makes each write atomic."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,19 @@ def _spread(df: DataFrame, folder: str) -> DataFrame:
     return df.hint("rebalance", F.col(folder))
 
 
-def write_works(works: DataFrame, path: str, mode: str = "errorifexists",
-                rows: int = WORK_ROWS) -> None:
-    """Year folders of bounded zstd files; ``publication_year`` also stays inside the files."""
-    _spread(works.withColumn("year", F.col("publication_year")), "year").write.mode(mode) \
-        .partitionBy("year").option("compression", "zstd") \
+def write_works(works: DataFrame, path: str, mode: str = "errorifexists", rows: int = WORK_ROWS,
+                shape: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Year folders of bounded zstd files; ``publication_year`` also stays inside the files.
+
+    ``shape`` makes the works from other rows that have their ``publication_year``: these are then what is moved and
+    sorted into folders, and the wider works exist only on their way into the files.
+    """
+    if shape:
+        works = shape(_spread(works, "publication_year").sortWithinPartitions("publication_year")) \
+            .withColumn("year", F.col("publication_year"))
+    else:
+        works = _spread(works.withColumn("year", F.col("publication_year")), "year")
+    works.write.mode(mode).partitionBy("year").option("compression", "zstd") \
         .option("maxRecordsPerFile", rows).parquet(path)
 
 
