@@ -16,6 +16,7 @@ MIN_WORKS = 400
 TOP_CARDS = 15
 BEST_WORKS = 6
 TOP_NAMES = 5
+FLOOR_HEAPS = 64             # heaps per topic from which the floor of its best works is taken
 SKETCH_LG_K = 12              # registers of a name sketch, as a power of two
 CATALOGUE_MIN_WORKS = 2000
 CATALOGUE_TOPICS = 40
@@ -206,12 +207,30 @@ def sketched_diffusion(sketches: DataFrame) -> DataFrame:
     return sketches.groupBy("topic_id").agg(estimate("org").alias("organizations"), estimate("country").alias("countries"))
 
 
+def best_floor(works: DataFrame, k: int = BEST_WORKS) -> DataFrame:
+    """``(topic_id, floor)``: a citation count that the ``k`` most cited works of a topic reach, from counts alone.
+
+    The works of a topic are dealt over a few heaps by id; ``k`` heaps hold a work at or above the ``k``-th largest
+    of the heaps' maxima. A topic that fills fewer heaps has no floor.
+    """
+    heaps = with_topic(works).groupBy("topic_id", F.pmod(F.xxhash64("id"), F.lit(FLOOR_HEAPS)).alias("heap")) \
+        .agg(F.max(F.coalesce("cited_by_count", F.lit(0))).alias("floor"))
+    return top_per_group(heaps, "topic_id", [F.desc("floor"), F.asc("heap")], k) \
+        .where(F.col("rank") == k).select("topic_id", "floor")
+
+
 def topic_best_works(works: DataFrame, k: int = BEST_WORKS) -> DataFrame:
-    """The ``k`` most cited works per topic; equal citation counts go by id."""
+    """The ``k`` most cited works per topic; equal citation counts go by id.
+
+    Only works at or above their topic's floor are sorted with their texts: a handful per topic, and its ties.
+    """
+    floors = materialize(best_floor(works, k), "floors").withColumnRenamed("topic_id", "__topic")
     rows = with_topic(works).select(
         "topic_id", "id", "title", public_link(F.col("doi"), F.col("id")).alias("url"), "year",
         "venue", F.coalesce("cited_by_count", F.lit(0)).alias("cited_by"))
-    return top_per_group(rows, "topic_id", [F.desc("cited_by"), F.asc("id")], k)
+    high = rows.join(floors, F.col("topic_id") == F.col("__topic"), "left") \
+        .where(F.col("cited_by") >= F.coalesce("floor", F.col("cited_by"))).drop("__topic", "floor")
+    return top_per_group(high, "topic_id", [F.desc("cited_by"), F.asc("id")], k)
 
 
 def trend_cards(works: DataFrame, top: int = TOP_CARDS, min_works: int = MIN_WORKS,
