@@ -4,10 +4,12 @@ Both sides use integer arithmetic and whole texts only, so the two engines agree
 """
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.functions.arrays import bind
 from trendloom.schemas import PREPRINTS, RAW_WORK, WORKS
 
 
@@ -193,20 +195,24 @@ def pre_xml_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inverted_index(text: Column) -> Column:
-    """Word to positions of one text: sort its words once and cut the runs apart."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-
-    def by_runs(xs: Column) -> Column:
-        starts = F.filter(
-            F.transform(xs, lambda _, j: j),
-            lambda j: ~F.coalesce(F.get(xs, j - 1)["w"] == F.get(xs, j)["w"], F.lit(False)))
-        return bind(starts, lambda ss: F.map_from_arrays(
-            F.transform(ss, lambda s: F.get(xs, s)["w"]),
-            F.transform(ss, lambda s, k: F.transform(
-                F.slice(xs, s + 1, F.coalesce(F.get(ss, k + 1), F.size(xs)) - s),
-                lambda x: x["i"]))))
-    return bind(placed, by_runs)
+    """Word to positions of one text, words in order; null for null."""
+    kind = RAW_WORK["abstract_inverted_index"].dataType
+
+    @F.arrow_udf(kind)
+    def index(texts: pa.Array) -> pa.Array:
+        words, places, word_ends, row_ends = [], [], [0], [0]
+        for value in texts.to_pylist():
+            found = {}
+            for i, word in enumerate(w for w in re.split("[ \t\n\x0b\f\r]+", value or "") if w):
+                found.setdefault(word, []).append(i)
+            for word in sorted(found):
+                words.append(word)
+                places += found[word]
+                word_ends.append(len(places))
+            row_ends.append(len(words))
+        lists = pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(places, pa.int32()))
+        return pa.MapArray.from_arrays(pa.array(row_ends, pa.int32()), pa.array(words, pa.string()), lists)
+    return F.when(text.isNotNull(), index(text))
 
 
 def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +246,7 @@ def raw_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                              " CASE WHEN doc_id % 8 = 4 THEN concat('https://ARXIV.org/pdf/P', doc_id, '.pdf')"
                              " END, 'source', named_struct('display_name', " + _WORK["venue"] + "))"),
     }
-    index = F.when(F.expr("doc_id % 4 <> 3 AND doc_id % 40 <> 1"), inverted_index(F.col("text")))
+    index = inverted_index(F.when(F.expr("doc_id % 4 <> 3 AND doc_id % 40 <> 1"), F.col("text")))
     return _select(docs.withColumn("abstract_inverted_index", index), columns, RAW_WORK)
 
 

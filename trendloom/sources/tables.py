@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendloom.functions.records import records_from_lines
 from trendloom.schemas import PREPRINTS, RAW_LANDED, RAW_PREPRINT, RAW_WORK, WORKS
 
 
@@ -133,7 +134,7 @@ def land_raw_works(spark: SparkSession, landing: str, out: str, rows_per_file: i
     All other fields are parsed for good; the index, which is most of a record, is copied unparsed. A
     reader that asks for no abstract then neither reads nor parses it.
     """
-    spark.read.schema(RAW_LANDED).option("mode", "FAILFAST").json(landing).write \
+    records_from_lines(spark.read.text(landing), RAW_LANDED, "FAILFAST").write \
         .option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(out)
 
 
