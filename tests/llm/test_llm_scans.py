@@ -8,6 +8,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from trendloom.llm import decontaminate, licenses, secrets
 
@@ -83,6 +84,17 @@ def test_repeated_rows_and_lost_ids_keep_their_own_row(spark):
     assert sorted((r.doc_id or 0, r.n_base) for r in rows) == [(0, 1), (1, 0), (1, 1), (1, 1)]
 
 
+def test_word_characters_are_looked_up_one_by_one(spark):
+    """Every character counts as the contract says, and no class holds a range, which costs a call per character."""
+    chars = [chr(c) for c in [*range(0x500), 0x2028, 0x3000, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]]
+    text = "".join(f"{c}x {c} y{c}\n" for c in chars)
+    frame = docs(spark, [(1, text, "s")]).select(licenses.words_of(F.col("text")), licenses.word_count(F.col("text")))
+    words, count = frame.collect()[0]
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    assert words == re.findall(licenses.WORD, lowered) and count == len(words)
+    assert "-" not in licenses._LETTER + licenses._BETWEEN
+
+
 # Secrets
 
 def python_spans(text):
