@@ -31,6 +31,7 @@ from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ STRIPE_BYTES = 32 << 20
 STRIDE = 1000                # documents of one row-index entry
 KEEP_CHUNKS = 400_000        # entries of each of the two generations a worker keeps
 KEEP_CHARS = 16_000_000      # characters of each
-_BATCH_CHARS = 1 << 21       # text encoded at a time
+_BATCH_CHARS = 1 << 22       # text encoded at a time
 
 # The white space at which the vocabulary's pattern cuts.
 _RARE_WHITE = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -51,6 +52,7 @@ _CHUNK = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _OTHER_WHITE = re.compile(f"[{_RARE_WHITE}]")
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481]+)([.,;:!?]*)")
 _ID = attrgetter("id")
+_ALONE = "\n\n"              # marks a chunk with neither blank nor line end before it; regular texts hold no empty line
 
 
 class _Memory:
@@ -60,19 +62,22 @@ class _Memory:
     def __init__(self, make: Callable[[str], bytes]) -> None:
         self.make, self.young, self.old, self.chars = make, {}, {}, 0
 
-    def hold(self, chunks: set[str]) -> dict[str, bytes]:
-        """The young generation, with all of ``chunks`` in it."""
+    def all(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of ``chunks``."""
         if len(self.young) >= KEEP_CHUNKS or self.chars >= KEEP_CHARS:
             self.young, self.old, self.chars = {}, self.young, 0
         young, old, make = self.young, self.old.get, self.make
-        for chunk in chunks.difference(young):
-            young[chunk] = old(chunk) or make(chunk)
-            self.chars += len(chunk)
-        return young
+        found = list(map(young.get, chunks))
+        for at, ids in enumerate(found):
+            if ids is None:
+                chunk = chunks[at]
+                found[at] = young[chunk] = old(chunk) or make(chunk)
+                self.chars += len(chunk)
+        return found
 
 
 class ChunkEncoder:
-    """The library behind bounded memories of chunks: words after a blank, and all others."""
+    """The library behind a bounded memory of chunks, in which each stands without its blank or behind a mark."""
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -81,16 +86,18 @@ class ChunkEncoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.symbols = "".join(byte_symbols())
+        self.tokenize = self.library.model.tokenize
         self.newline = self._ids("\n")
         self.marks: dict[str, bytes] = {}
-        self.words, self.others = _Memory(self._after_blank), _Memory(self._chunk)
+        self.chunks = _Memory(self._marked)
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of a string that the vocabulary's pattern does not cut."""
-        found = self.library.model.tokenize(charmap_decode(piece.encode(), "strict", self.symbols)[0])
+        """Ids of letters that the vocabulary's pattern does not cut, or of a blank and letters."""
+        symbols = piece.replace(" ", self.symbols[32]) if piece.isascii() else charmap_decode(piece.encode(), "strict", self.symbols)[0]
+        found = self.tokenize(symbols)
         return array("I", map(_ID, found)).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
@@ -100,6 +107,12 @@ class ChunkEncoder:
         word, marks = plain.groups()
         return self._piece(word) + self._marks(marks)
 
+    def _marked(self, chunk: str) -> bytes:
+        """A chunk as it is remembered: alone, after a line end that is encoded with it, or after a blank."""
+        if chunk.startswith(_ALONE):
+            return self._chunk(chunk[len(_ALONE):])
+        return self.newline + self._chunk(chunk[1:]) if chunk[0] == "\n" else self._after_blank(chunk)
+
     def _after_blank(self, word: str) -> bytes:
         """A chunk without its blank; the word before punctuation is often known."""
         plain = _PLAIN.fullmatch(word)
@@ -108,7 +121,7 @@ class ChunkEncoder:
         letters, marks = plain.groups()
         if not marks:
             return self._piece(" " + letters)
-        return (self.words.young.get(letters) or self.words.old.get(letters) or self._piece(" " + letters)) + self._marks(marks)
+        return (self.chunks.young.get(letters) or self.chunks.old.get(letters) or self._piece(" " + letters)) + self._marks(marks)
 
     def _marks(self, marks: str) -> bytes:
         if marks not in self.marks:
@@ -122,30 +135,33 @@ class ChunkEncoder:
         return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n"
                     or text[-1] in " \n" or _OTHER_WHITE.search(text))
 
+    def _regular_texts(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of regular texts: each chunk of the batch is looked up once, and its ids are dealt to its places."""
+        marked = [_ALONE + text.replace("\n", " \n") for text in texts]
+        parts = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        places = parts.values.dictionary_encode()
+        known = self.chunks.all(places.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.cumsum([0, *map(len, known)], dtype=np.int32) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.Array.from_buffers(
+            pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(known))])).take(places.indices)
+        cuts = (4 * lists.offsets.to_numpy()[parts.offsets.to_numpy()]).tolist()
+        dealt = memoryview(lists.values.buffers()[1]).cast("B")
+        return (bytes(dealt[a:b]) for a, b in zip(cuts, cuts[1:]))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        words, others, cut = set(), set(), []
-        for text in texts:
+        out, regular = [], []
+        for at, text in enumerate(texts):
             if not text or any(s in text for s in self.special):
-                cut.append(None)
-            elif self._regular(text):
-                lines = [line.split(" ") for line in text.split("\n")]
-                others.update([line[0] for line in lines])
-                for line in lines:
-                    words.update(line[1:])
-                cut.append(lines)
-            else:
-                cut.append(_CHUNK.findall(text))
-                others.update(cut[-1])
-        word, other = self.words.hold(words).__getitem__, self.others.hold(others).__getitem__
-        out = []
-        for text, parts in zip(texts, cut):
-            if parts is None:
                 out.append(self._ids(text) if text else b"")
-            elif isinstance(parts[0], str):
-                out.append(b"".join(map(other, parts)))
+            elif self._regular(text):
+                out.append(b"")
+                regular.append(at)
             else:
-                out.append(self.newline.join([other(line[0]) + b"".join(map(word, line[1:])) for line in parts]))
+                out.append(b"".join(self.chunks.all([_ALONE + chunk for chunk in _CHUNK.findall(text)])))
+        if regular:
+            for at, ids in zip(regular, self._regular_texts([texts[i] for i in regular])):
+                out[at] = ids
         return out
 
 
