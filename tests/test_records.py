@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from contract.views import inverted_index
 from trendloom.functions.records import records_from_lines
+from trendloom.functions.text import _read_index, restore_text
+from trendloom.operators.normalize import parsed_index, restored_abstract
 from trendloom.schemas import RAW_LANDED
 
 BAD = T.StructField("_bad", T.StringType())
@@ -51,3 +53,32 @@ def test_inverted_index_of_odd_texts(spark):
     assert [g if g is None else [tuple(e) for e in g] for g in got] == [
         [("a", [1]), ("b", [0, 2]), ("\x85c", [3])], [], None, [],
         [("Z", [0]), ("a", [1]), ("é", [2]), ("😀", [3])]]
+
+
+PLAIN = ['{"x":[0,2],"y\\"z\\u00e9":[1]}', "{}", '{"x":[0],"x":[1]}', '{"x":[]}', ' { "a" : [ 3 , -1 ] , "":[0], "b":[3,3]} ',
+         '{"\\ud83d\\ude00 \\/":[1],"k $1 \\\\":[3]}', '{"x":[2147483647,-2147483648]}']
+ODD = ['{"x":null}', '{"x":[1,null]}', '{"\\ud83d":[1]}']
+BROKEN = ["[]", "null", '{"x":{}}', '{"x":[2147483648]}', '{"x":[1.5]}', '{"x":[true]}', '{"x":[01]}', '{"x":[1],}', '{"x":1}', '{"x":["y"]}']
+
+
+def test_landed_indexes_restore_as_the_parser_reads_them(spark):
+    """Plain ones without the parser, whose table of field names grows with every word; all others through it."""
+    texts = [*PLAIN, *ODD, None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, abstract_inverted_index string")
+    got = frame.select("i", restored_abstract(frame).alias("t"), restore_text(parsed_index(frame)).alias("want")).collect()
+    assert [r.t for r in got] == [r.want for r in got] and len(got) == len(texts)
+    assert got[0].t == 'x y"zé x' and got[4].t == "a  b" and got[2].t == "x x"
+    assert [_read_index(t)[0] for t in texts[:-1]] == [True] * len(PLAIN) + [False] * len(ODD)
+    assert not any(_read_index(t)[0] for t in BROKEN)
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_what_is_no_index_stays_an_error(spark, text):
+    frame = spark.createDataFrame([(text,)], "abstract_inverted_index string")
+    try:
+        want = [r[0] for r in frame.select(restore_text(parsed_index(frame))).collect()]
+    except Exception:
+        with pytest.raises(Exception, match="(?i)malformed|failfast"):
+            frame.select(restored_abstract(frame)).collect()
+    else:
+        assert [r[0] for r in frame.select(restored_abstract(frame)).collect()] == want

@@ -1,4 +1,4 @@
-"""Raw nested records to the two fixed tables, each as one projection without Python code."""
+"""Raw nested records to the two fixed tables, each as one projection; Python code reads landed inverted indexes alone."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trendloom.functions.arrays import bind, drop_blank, keep_edges, or_empty
 from trendloom.functions.text import (
-    collapse, empty_to_null, link_id, restore_text, short_id, strip,
+    collapse, empty_to_null, link_id, restore_landed_text, restore_text, short_id, strip,
 )
 from trendloom.schemas import PREPRINTS, RAW_WORK, TOPIC, WORKS
 
@@ -56,21 +56,28 @@ def parsed_index(raw: DataFrame, column: str = "abstract_inverted_index") -> Col
     return F.from_json(column, RAW_WORK[column].dataType, {"mode": "FAILFAST"})
 
 
+def restored_abstract(raw: DataFrame, column: str = "abstract_inverted_index") -> Column:
+    """The text of the inverted index, be it a map or landed as text."""
+    parsed = parsed_index(raw, column)
+    if raw.schema[column].dataType.typeName() != "string":
+        return restore_text(parsed)
+    return restore_landed_text(F.col(column), parsed)
+
+
 def works_from_raw(raw: DataFrame, old_style_ids: bool = False) -> DataFrame:
     """Nested work records to the ``WORKS`` table, one row each; the inverted index may be text."""
     location = F.col("primary_location")
     subfield = short_id(F.col("primary_topic.subfield.id"))
     authorships = or_empty(F.col("authorships"), f"struct<institutions:array<{_INSTITUTIONS}>>")
     topics = F.transform(F.col("topics"), topic_struct)
-    shaped = raw.withColumns({
-        "institutions": institution_lists(authorships), "abstract_inverted_index": parsed_index(raw)})
+    shaped = raw.withColumns({"institutions": institution_lists(authorships), "abstract": restored_abstract(raw)})
     columns = {
         "id": short_id(F.col("id")),
         "doi": F.col("doi"),
         "arxiv_id": link_id(F.col("ids"), location["landing_page_url"], location["pdf_url"],
                             old_style_ids),
         "title": F.col("title"),
-        "abstract": restore_text(F.col("abstract_inverted_index")),
+        "abstract": F.col("abstract"),
         "publication_year": F.expr("try_cast(publication_year AS SMALLINT)"),
         "publication_date": empty_to_null(F.col("publication_date")),
         "date_is_placeholder": placeholder_date(F.col("publication_date")),
