@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from contract.views import inverted_index
 from trendloom.functions.records import records_from_lines
-from trendloom.functions.text import _read_index, restore_text
+from trendloom.functions.text import _index_reader, restore_text
 from trendloom.operators.normalize import parsed_index, restored_abstract
 from trendloom.schemas import RAW_LANDED
 
@@ -68,8 +68,8 @@ def test_landed_indexes_restore_as_the_parser_reads_them(spark):
     got = frame.select("i", restored_abstract(frame).alias("t"), restore_text(parsed_index(frame)).alias("want")).collect()
     assert [r.t for r in got] == [r.want for r in got] and len(got) == len(texts)
     assert got[0].t == 'x y"zé x' and got[4].t == "a  b" and got[2].t == "x x"
-    assert [_read_index(t)[0] for t in texts[:-1]] == [True] * len(PLAIN) + [False] * len(ODD)
-    assert not any(_read_index(t)[0] for t in BROKEN)
+    assert [_index_reader()(t)[0] for t in texts[:-1]] == [True] * len(PLAIN) + [False] * len(ODD)
+    assert not any(_index_reader()(t)[0] for t in BROKEN)
 
 
 @pytest.mark.parametrize("text", BROKEN)

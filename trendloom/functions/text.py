@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from itertools import chain
 
 import pyarrow as pa
@@ -100,24 +101,27 @@ def restore_text(index: Column) -> Column:
     return bind(bind(bound, words), lambda w: F.when(F.size(w) > 0, F.array_join(w, " ")))
 
 
-def _read_index(text: str) -> tuple[bool, str | None]:
-    """Whether a text is a plain inverted index, whole numbers of 32 bits under each word, and the text it restores."""
-    try:
-        entries = json.loads(text, object_pairs_hook=tuple)
-        if type(entries) is not tuple or not all(type(places) is list for _, places in entries):
+def _index_reader() -> Callable[[str], tuple[bool, str | None]]:
+    """The reader of plain indexes, made inside a function so that it travels whole and workers need not import this module."""
+    def read_index(text: str) -> tuple[bool, str | None]:
+        """Whether a text is a plain inverted index, whole numbers of 32 bits under each word, and the text it restores."""
+        try:
+            entries = json.loads(text, object_pairs_hook=tuple)
+            if type(entries) is not tuple or not all(type(places) is list for _, places in entries):
+                return False, None
+            places = list(chain.from_iterable([places for _, places in entries]))
+            if not places:
+                return True, None
+            if set(map(type, places)) != {int} or min(places) < -2**31 or max(places) >= 2**31:
+                return False, None
+            at = {place: word for word, places in entries for place in places}
+            restored = " ".join([at[place] for place in sorted(at)])
+            if "\\" in text:
+                restored.encode()
+            return True, restored
+        except (ValueError, RecursionError):
             return False, None
-        places = list(chain.from_iterable([places for _, places in entries]))
-        if not places:
-            return True, None
-        if set(map(type, places)) != {int} or min(places) < -2**31 or max(places) >= 2**31:
-            return False, None
-        at = {place: word for word, places in entries for place in places}
-        restored = " ".join([at[place] for place in sorted(at)])
-        if "\\" in text:
-            restored.encode()
-        return True, restored
-    except (ValueError, RecursionError):
-        return False, None
+    return read_index
 
 
 def restore_landed_text(index: Column, parsed: Column) -> Column:
@@ -127,9 +131,11 @@ def restore_landed_text(index: Column, parsed: Column) -> Column:
     slows down as a corpus grows. A plain index is read without it; whatever else the text holds is left to ``parsed``, the
     index as the parser reads it.
     """
+    read_index = _index_reader()
+
     @F.arrow_udf("struct<plain: boolean, text: string>")
     def read(texts: pa.Array) -> pa.Array:
-        found = [_read_index(text.as_py()) if text.is_valid else (True, None) for text in texts]
+        found = [read_index(text.as_py()) if text.is_valid else (True, None) for text in texts]
         return pa.StructArray.from_arrays(
             [pa.array([plain for plain, _ in found], pa.bool_()), pa.array([text for _, text in found], pa.string())],
             ["plain", "text"])
