@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
 
@@ -78,6 +79,45 @@ def test_manifest_of_real_files(spark, fresh, tmp_path):
     assert json.loads(text)["rows_total"] == 10 and json.loads(text)["years"]["2011"]["rows"] == 5
 
 
+@pytest.fixture
+def small_values(spark):
+    """A session in which no file over 8 KB can be read as one value."""
+    name = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(name, "8192")
+    yield
+    spark.conf.unset(name)
+
+
+ODD = {"a b.parquet": bytes(range(256)) * 400, "year=2010/x%20y.parquet": b"ended\n" * 5000,
+       "year=2011/[a]{b}.parquet": b"x" * 100_001 + b"\n" + b"y" * 8192, "cr.parquet": b"\r\n\r" * 9000,
+       "mark.parquet": b"\xef\xbb\xbf" + b"z" * 9000, "mark_ended.parquet": b"\xef\xbb\xbf" + b"z\n" * 9000,
+       "only_mark.parquet": b"\xef\xbb\xbf", "line.parquet": b"\n", "zero.parquet": bytes(70_000),
+       "packed.gz": gzip.compress(b"abc" * 9), "none.parquet": b""}
+
+
+@pytest.mark.parametrize("store", ["", "viewfs://manifest/in"])
+def test_manifest_of_files_larger_than_a_value(spark, small_values, tmp_path, store):
+    for name, content in ODD.items():
+        file = tmp_path / "in" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(content)
+    spark.conf.set("fs.viewfs.mounttable.manifest.link./in", f"file://{tmp_path}/in")
+    root = store or f"{tmp_path}/in"
+    files = quality.manifest_files(tables.list_files(spark, root, pattern="*"), root)
+    assert {r.path: (r.bytes, r.sha256) for r in files.collect()} == {
+        k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in ODD.items() if v}
+
+
+def test_manifest_of_a_file_that_changes_is_an_error(spark, tmp_path):
+    (tmp_path / "a.parquet").write_bytes(bytes(100_000))
+    spark.conf.set("fs.viewfs.mounttable.shorter.link./in", f"file://{tmp_path}")
+    root = "viewfs://shorter/in"
+    files = quality.manifest_files(tables.list_files(spark, root), root)
+    (tmp_path / "a.parquet").write_bytes(bytes(50_000))
+    with pytest.raises(Exception, match="bytes, listed with 100000"):
+        files.collect()
+
+
 def test_manifest_differences(spark):
     saved = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, sha256 string")
     found = spark.createDataFrame([("a", "1"), ("b", "x"), ("d", "4")], "path string, sha256 string")

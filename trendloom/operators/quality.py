@@ -8,7 +8,7 @@ from trendloom.functions.numbers import ratio, round_exact
 from trendloom.operators.counts import duplicate_count, key_counts, labelled
 from trendloom.operators.filters import in_date_years
 from trendloom.session import materialize
-from trendloom.sources.digests import PIECE_BYTES, file_digests
+from trendloom.sources.digests import PIECE_BYTES, file_digests, read_digests
 
 # Acceptance thresholds.
 MIN_ROWS = 100_000
@@ -139,14 +139,13 @@ def accepted(report: DataFrame) -> DataFrame:
 def manifest_files(files: DataFrame, root: str) -> DataFrame:
     """``(path, bytes, sha256)`` of a ``binaryFile`` listing, paths relative to ``root``.
 
-    A file is one value here, so none may exceed 2 GB; ``streamed_manifest`` has no such bound.
+    Files of any size, on any file system Spark reads: none is loaded whole.
     """
-    return files.select(_relative(root), F.col("length").alias("bytes"),
-                        F.sha2("content", 256).alias("sha256"))
+    return read_digests(files).select(_relative(root), "bytes", "sha256")
 
 
 def streamed_manifest(files: DataFrame, root: str, piece: int = PIECE_BYTES) -> DataFrame:
-    """The same rows for files of any size: each is read in pieces, none is loaded whole."""
+    """The same rows by pyarrow's file systems alone, in pieces of the given size."""
     return file_digests(files, piece).select(_relative(root), "bytes", "sha256")
 
 
