@@ -4,7 +4,9 @@ import gzip
 import hashlib
 import json
 
+import pandas as pd
 import pytest
+from contract.queries import QUERIES
 from helpers import preprints, works
 from pyspark.sql import functions as F
 
@@ -118,6 +120,23 @@ def test_manifest_of_a_file_that_changes_is_an_error(spark, tmp_path):
         files.collect()
 
 
+@pytest.fixture
+def small_tables(tmp_path):
+    """A folder of three driver tables, of which documents are over 8 KB."""
+    text = [hashlib.sha256(bytes([i])).hexdigest() * 4 for i in range(60)]
+    docs = pd.DataFrame({"doc_id": range(60), "text": text, "lang": "en", "source": "s", "n_chars": 256})
+    for name, df in (("documents", docs), ("pages", docs.head(2)), ("labels", docs.tail(2))):
+        df.to_parquet(tmp_path / f"{name}.parquet")
+    assert (tmp_path / "documents.parquet").stat().st_size > 8192
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["manifest_check"])
+def test_manifest_queries_load_no_file_whole(spark, small_values, small_tables, name):
+    assert dict(QUERIES[name](spark, small_tables).collect()) == {
+        "documents.parquet": "ok", "pages.parquet": "changed", "labels.parquet": "extra", "gone.parquet": "missing"}
+
+
 def test_manifest_differences(spark):
     saved = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, sha256 string")
     found = spark.createDataFrame([("a", "1"), ("b", "x"), ("d", "4")], "path string, sha256 string")
