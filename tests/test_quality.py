@@ -131,7 +131,7 @@ def small_tables(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["manifest_check"])
+@pytest.mark.parametrize("name", ["manifest_check", "manifest_saved"])
 def test_manifest_queries_load_no_file_whole(spark, small_values, small_tables, name):
     assert dict(QUERIES[name](spark, small_tables).collect()) == {
         "documents.parquet": "ok", "pages.parquet": "changed", "labels.parquet": "extra", "gone.parquet": "missing"}
