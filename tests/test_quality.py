@@ -137,6 +137,11 @@ def test_manifest_queries_load_no_file_whole(spark, small_values, small_tables,
         "documents.parquet": "ok", "pages.parquet": "changed", "labels.parquet": "extra", "gone.parquet": "missing"}
 
 
+def test_acceptance_loads_no_file_whole(spark, small_values, small_tables):
+    report = {r.check: r.value for r in QUERIES["acceptance"](spark, small_tables).collect()}
+    assert (report["works"], report["manifest_problems"], report["preprints_in_range"]) == (60, 3, 60)
+
+
 def test_manifest_differences(spark):
     saved = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "path string, sha256 string")
     found = spark.createDataFrame([("a", "1"), ("b", "x"), ("d", "4")], "path string, sha256 string")
